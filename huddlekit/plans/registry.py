@@ -1,12 +1,22 @@
 """Registered queries and their DuckDB oracle SQL."""
 from __future__ import annotations
 
-from huddlekit.plans import scheme
+from huddlekit.plans import players, scheme
 
 QUERIES = {
     "team_week_fingerprint": scheme.team_week_fingerprint_q,
+    "weekly_position_rank": players.weekly_position_rank,
+    "points_weekly": players.points_weekly_q,
+    "resolve_exact_id": players.resolve_exact_id,
+    "resolve_by_name_refusing": players.resolve_by_name_refusing,
+    "resolve_mixed": players.resolve_mixed,
 }
 
 ORACLE_SQL = {
     "team_week_fingerprint": scheme.TEAM_WEEK_FINGERPRINT_SQL,
+    "weekly_position_rank": players.WEEKLY_POSITION_RANK_SQL,
+    "points_weekly": players.POINTS_WEEKLY_SQL,
+    "resolve_exact_id": players.RESOLVE_EXACT_ID_SQL,
+    "resolve_by_name_refusing": players.RESOLVE_BY_NAME_SQL,
+    "resolve_mixed": players.RESOLVE_MIXED_SQL,
 }
