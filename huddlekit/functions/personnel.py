@@ -32,10 +32,13 @@ def modern_tokens(x) -> Column:
     return F.filter(trimmed, lambda t: t != F.lit(""))
 
 
+def _count_label(tokens: Column, label: str) -> Column:
+    return F.size(F.filter(tokens, lambda t: t == F.lit(label))).cast("long")
+
+
 def parse_modern(x) -> dict[str, Column]:
     tokens = modern_tokens(x)
-    out = {f"n_{lab.lower()}": F.size(F.filter(tokens, lambda t, lab=lab: t == F.lit(lab))).cast("long")
-           for lab in COUNT_LABELS}
+    out = {f"n_{lab.lower()}": _count_label(tokens, lab) for lab in COUNT_LABELS}
     out["plausible"] = (F.size(tokens) == MODERN_PLAYER_COUNT) & (out["n_qb"] == MODERN_QB_COUNT)
     return out
 

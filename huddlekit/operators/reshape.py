@@ -42,7 +42,7 @@ def reconcile_eras(df: DataFrame, season_arg: int | None = None) -> DataFrame:
     upstream season, then the season of ``dt``, then the load argument.
     """
     up_season = to_long(first_present(df, "season"))
-    dt = first_present(df, "dt").cast("timestamp")
+    dt = first_present(df, "dt")
     arg = F.lit(season_arg).cast("long")
     legacy = up_season.isNotNull()
     name = F.when(legacy, legacy_name(first_present(df, "first_name", dtype="string"),

@@ -1,7 +1,7 @@
 """Registered queries and their DuckDB oracle SQL."""
 from __future__ import annotations
 
-from huddlekit.plans import players, scheme
+from huddlekit.plans import layouts, players, scheme
 
 QUERIES = {
     "team_week_fingerprint": scheme.team_week_fingerprint_q,
@@ -10,6 +10,13 @@ QUERIES = {
     "resolve_exact_id": players.resolve_exact_id,
     "resolve_by_name_refusing": players.resolve_by_name_refusing,
     "resolve_mixed": players.resolve_mixed,
+    "unpivot_sides": layouts.unpivot_sides_q,
+    "two_era_reconcile": layouts.two_era_reconcile,
+    "key_from_id": layouts.key_from_id,
+    "personnel_modern": layouts.personnel_modern,
+    "personnel_legacy": layouts.personnel_legacy,
+    "personnel_dispatch": layouts.personnel_dispatch,
+    "page_fields": layouts.page_fields,
 }
 
 ORACLE_SQL = {
@@ -19,4 +26,11 @@ ORACLE_SQL = {
     "resolve_exact_id": players.RESOLVE_EXACT_ID_SQL,
     "resolve_by_name_refusing": players.RESOLVE_BY_NAME_SQL,
     "resolve_mixed": players.RESOLVE_MIXED_SQL,
+    "unpivot_sides": layouts.UNPIVOT_SIDES_SQL,
+    "two_era_reconcile": layouts.TWO_ERA_SQL,
+    "key_from_id": layouts.KEY_FROM_ID_SQL,
+    "personnel_modern": layouts.PERSONNEL_MODERN_SQL,
+    "personnel_legacy": layouts.PERSONNEL_LEGACY_SQL,
+    "personnel_dispatch": layouts.PERSONNEL_DISPATCH_SQL,
+    "page_fields": layouts.PAGE_FIELDS_SQL,
 }
