@@ -1,36 +1,68 @@
 """Registered queries and their DuckDB oracle SQL."""
 from __future__ import annotations
 
-from huddlekit.plans import layouts, players, scheme
+from huddlekit.plans import checks, landing, layouts, loads, players, scheme
 
 QUERIES = {
     "team_week_fingerprint": scheme.team_week_fingerprint_q,
     "weekly_position_rank": players.weekly_position_rank,
     "points_weekly": players.points_weekly_q,
+    "unpivot_sides": layouts.unpivot_sides_q,
+    "two_era_reconcile": layouts.two_era_reconcile,
     "resolve_exact_id": players.resolve_exact_id,
     "resolve_by_name_refusing": players.resolve_by_name_refusing,
     "resolve_mixed": players.resolve_mixed,
-    "unpivot_sides": layouts.unpivot_sides_q,
-    "two_era_reconcile": layouts.two_era_reconcile,
-    "key_from_id": layouts.key_from_id,
     "personnel_modern": layouts.personnel_modern,
     "personnel_legacy": layouts.personnel_legacy,
     "personnel_dispatch": layouts.personnel_dispatch,
     "page_fields": layouts.page_fields,
+    "key_from_id": layouts.key_from_id,
+    "conform_feed_a": landing.conform_feed_a_q,
+    "conform_feed_b": landing.conform_feed_b_q,
+    "upsert_result": loads.upsert_result,
+    "replace_partition": loads.replace_partition,
+    "pending_chunks": loads.pending_chunks,
+    "check_resolution": checks.check_resolution,
+    "check_grain": checks.check_grain,
+    "check_reconcile": checks.check_reconcile,
+    "check_rate_denominators": checks.check_rate_denominators,
+    "check_fill_matrix": checks.check_fill_matrix,
+    "check_summary": checks.check_summary,
+    "drift": checks.drift,
+    "tenure_stints": checks.tenure_stints,
+    "before_after": checks.before_after_q,
+    "play_level_join": checks.play_level_join,
+    "bridge_left_join": checks.bridge_left_join,
 }
 
 ORACLE_SQL = {
     "team_week_fingerprint": scheme.TEAM_WEEK_FINGERPRINT_SQL,
     "weekly_position_rank": players.WEEKLY_POSITION_RANK_SQL,
     "points_weekly": players.POINTS_WEEKLY_SQL,
+    "unpivot_sides": layouts.UNPIVOT_SIDES_SQL,
+    "two_era_reconcile": layouts.TWO_ERA_SQL,
     "resolve_exact_id": players.RESOLVE_EXACT_ID_SQL,
     "resolve_by_name_refusing": players.RESOLVE_BY_NAME_SQL,
     "resolve_mixed": players.RESOLVE_MIXED_SQL,
-    "unpivot_sides": layouts.UNPIVOT_SIDES_SQL,
-    "two_era_reconcile": layouts.TWO_ERA_SQL,
-    "key_from_id": layouts.KEY_FROM_ID_SQL,
     "personnel_modern": layouts.PERSONNEL_MODERN_SQL,
     "personnel_legacy": layouts.PERSONNEL_LEGACY_SQL,
     "personnel_dispatch": layouts.PERSONNEL_DISPATCH_SQL,
     "page_fields": layouts.PAGE_FIELDS_SQL,
+    "key_from_id": layouts.KEY_FROM_ID_SQL,
+    "conform_feed_a": landing.CONFORM_FEED_A_SQL,
+    "conform_feed_b": landing.CONFORM_FEED_B_SQL,
+    "upsert_result": loads.UPSERT_RESULT_SQL,
+    "replace_partition": loads.REPLACE_PARTITION_SQL,
+    "pending_chunks": loads.PENDING_CHUNKS_SQL,
+    "check_resolution": checks.CHECK_RESOLUTION_SQL,
+    "check_grain": checks.CHECK_GRAIN_SQL,
+    "check_reconcile": checks.CHECK_RECONCILE_SQL,
+    "check_rate_denominators": checks.CHECK_RATE_DENOMINATORS_SQL,
+    "check_fill_matrix": checks.CHECK_FILL_MATRIX_SQL,
+    "check_summary": checks.CHECK_SUMMARY_SQL,
+    "drift": checks.DRIFT_SQL,
+    "tenure_stints": checks.TENURE_STINTS_SQL,
+    "before_after": checks.BEFORE_AFTER_SQL,
+    "play_level_join": checks.PLAY_LEVEL_JOIN_SQL,
+    "bridge_left_join": checks.BRIDGE_LEFT_JOIN_SQL,
 }
