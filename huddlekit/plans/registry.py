@@ -1,7 +1,7 @@
 """Registered queries and their DuckDB oracle SQL."""
 from __future__ import annotations
 
-from huddlekit.plans import checks, landing, layouts, loads, players, scheme
+from huddlekit.plans import checks, landing, layouts, loads, players, scheme, streams
 
 QUERIES = {
     "team_week_fingerprint": scheme.team_week_fingerprint_q,
@@ -33,6 +33,7 @@ QUERIES = {
     "before_after": checks.before_after_q,
     "play_level_join": checks.play_level_join,
     "bridge_left_join": checks.bridge_left_join,
+    "stream_snapshot": streams.stream_snapshot,
 }
 
 ORACLE_SQL = {
@@ -65,4 +66,5 @@ ORACLE_SQL = {
     "before_after": checks.BEFORE_AFTER_SQL,
     "play_level_join": checks.PLAY_LEVEL_JOIN_SQL,
     "bridge_left_join": checks.BRIDGE_LEFT_JOIN_SQL,
+    "stream_snapshot": streams.STREAM_SNAPSHOT_SQL,
 }
