@@ -126,13 +126,12 @@ def conform_feed_b(docs: DataFrame, snapshot_date: str, *, raw: str = "raw",
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole-file JSON text (one document per file) with the path's partition
     columns, for feeds whose shape varies per document."""
-    return (spark.read.option("wholetext", True).text(path)
-            .withColumnRenamed("value", "raw"))
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "raw")
 
 
 # --- wiki pages ---------------------------------------------------------------
 
-WIKI_DOC = "struct<parse:struct<title:string,wikitext:string>,error:struct<code:string,info:string>>"
+WIKI_DOC = "parse struct<title:string,wikitext:string>, error struct<code:string,info:string>"
 
 
 def read_wiki_pages(spark: SparkSession, path: str) -> DataFrame:

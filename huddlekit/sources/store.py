@@ -111,6 +111,7 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
     else:
         spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} SELECT * FROM _huddlekit_merged")
     spark.catalog.dropTempView("_huddlekit_merged")
+    spark.catalog.refreshTable(table)
     return n
 
 
@@ -150,6 +151,7 @@ def replace_season(spark: SparkSession, table: str, df: DataFrame, season: int,
     spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} PARTITION (`{column}` = {int(season)}) "
               f"SELECT {sel} FROM _huddlekit_season")
     spark.catalog.dropTempView("_huddlekit_season")
+    spark.catalog.refreshTable(table)
     return result
 
 

@@ -40,7 +40,9 @@ def upsert_stream(stream: DataFrame, table: str, keys: list[str], checkpoint: st
                   transform: Callable[[DataFrame], DataFrame] | None = None,
                   available_now: bool = True):
     """Start a query that upserts every micro-batch into catalog table
-    ``table``; with ``available_now`` it processes what has landed and stops."""
+    ``table``; with ``available_now`` it processes what has landed and stops.
+    The query runs in a cloned session: refresh the table in the calling
+    session (``spark.catalog.refreshTable``) before reading it there."""
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch) if transform else batch
         upsert(rows.sparkSession, table, rows.dropDuplicates(), keys, partition_by=partition_by)
