@@ -35,6 +35,20 @@ def to_long(x) -> Column:
     return F.coalesce(exact, via_double)
 
 
+def to_long_in(df: DataFrame, name: str) -> Column:
+    """``to_long`` of column ``name`` of ``df``, skipping the text round trip
+    when the column is already numeric (integral doubles only)."""
+    from pyspark.sql import types as T
+    dtype = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return c.cast("long")
+    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        d = c.cast("double")
+        return F.when((d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18)), d.cast("long"))
+    return to_long(c)
+
+
 def strict_long(x) -> Column:
     """Strict integer parse of a string: digits only (after trim), else NULL."""
     return F.trim(_c(x).cast("string")).try_cast("long")

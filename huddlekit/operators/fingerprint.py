@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from huddlekit.functions.exprs import count_true, is_charted, optional, safe_rate, to_long
+from huddlekit.functions.exprs import count_true, is_charted, optional, safe_rate, to_long_in
 from huddlekit.functions.personnel import MODERN_FROM_SEASON, parse_legacy, parse_modern
 
 # The play types a fingerprint is computed over.
@@ -62,7 +62,7 @@ def filtered_plays(plays: DataFrame) -> DataFrame:
     or week are dropped explicitly (they would form a NULL group otherwise)."""
     return (plays
             .where(F.col("play_type").isin(*PLAY_TYPES))
-            .withColumn("play_id", to_long("play_id")))
+            .withColumn("play_id", to_long_in(plays, "play_id")))
 
 
 def base_metrics(fp: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def _sum_where(cond: Column, value: Column) -> Column:
 def participation_partials(part: DataFrame, with_personnel: bool = False) -> DataFrame:
     """One row per play: coverage, pressure and (optionally) personnel counts."""
     keys = _keys(part)
-    p = part.withColumn("play_id", to_long("play_id"))
+    p = part.withColumn("play_id", to_long_in(part, "play_id"))
     mz = optional(p, "defense_man_zone_type", "string")
     charted = is_charted(mz)
     dib = F.trim(optional(p, "defenders_in_box").cast("string")).try_cast("double")
@@ -125,7 +125,7 @@ def participation_partials(part: DataFrame, with_personnel: bool = False) -> Dat
 
 def ftn_partials(ftn: DataFrame) -> DataFrame:
     keys = _keys(ftn)
-    f = ftn.withColumn("play_id", to_long("play_id"))
+    f = ftn.withColumn("play_id", to_long_in(ftn, "play_id"))
     blitzers = F.trim(optional(f, "n_blitzers").cast("string")).try_cast("double")
     rushers = F.trim(optional(f, "n_pass_rushers").cast("string")).try_cast("double")
 

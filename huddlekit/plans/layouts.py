@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from huddlekit.functions.exprs import season_week_from_key
-from huddlekit.functions.personnel import parse_legacy, parse_modern, personnel_counts
+from huddlekit.functions.personnel import parse_legacy, parse_modern, with_personnel
 from huddlekit.operators.pages import role_rows
 from huddlekit.operators.reshape import reconcile_eras, season_guard, unpivot_sides
 from huddlekit.plans.tables import table
@@ -212,10 +212,10 @@ def personnel_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def personnel_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _snap_encodings(spark, sf_dir)
-    pc = personnel_counts("season", "offense_positions", "offense_personnel",
-                          modern_from=PERSONNEL_MODERN_FROM)
-    return _counts_frame(df, pc, extra=(pc["personnel_source"].alias("personnel_source"),))
+    df = with_personnel(_snap_encodings(spark, sf_dir), "season", "offense_positions",
+                        "offense_personnel", modern_from=PERSONNEL_MODERN_FROM)
+    return df.select("l_orderkey", "l_linenumber", "personnel_source", "n_rb", "n_te", "n_wr",
+                     "n_qb", "plausible")
 
 
 SQL_MODERN_TOKENS = ("list_filter(list_transform(string_split(coalesce(offense_positions, ''), ';'), "

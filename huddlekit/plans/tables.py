@@ -6,7 +6,19 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Parallelize a scan that yields fewer splits than the cluster has cores
+    (a single-row-group file cannot be split, so its scan stage would run
+    as one task). Filters and column pruning still reach the scan through
+    the round-robin repartition. A scan of many files or row groups already
+    has enough splits and is returned unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
