@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from huddlekit.functions.exprs import to_long
+from huddlekit.operators.skew import left_lookup
 
 # Generational suffixes dropped from the end of a merge name.
 NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "v")
@@ -51,7 +52,7 @@ def resolve_by_id(facts: DataFrame, bridge: DataFrame, *, fact_id: str = "source
                   bridge_id: str = "mfl_id", target: str = "gsis_id",
                   out: str = "gsis_id_resolved") -> DataFrame:
     u = _unique_bridge(bridge, [to_long(bridge_id)], target)
-    return (facts.join(u, to_long(fact_id) == F.col("_k0"), "left")
+    return (left_lookup(facts, u, to_long(fact_id), "_k0")
             .withColumn(out, F.col("_rid")).drop("_k0", "_rid"))
 
 
@@ -61,11 +62,11 @@ def resolve_by_name(facts: DataFrame, bridge: DataFrame, *, name: str = "player_
                     out: str = "gsis_id_resolved") -> DataFrame:
     u = _unique_bridge(bridge, [F.nullif(normalize_merge_name(bridge_name), F.lit("")),
                                 F.coalesce(F.col(bridge_position), F.lit(""))], target)
-    fk_name = normalize_merge_name(name)
+    fk_name = F.nullif(normalize_merge_name(name), F.lit(""))
     fk_pos = F.coalesce(F.col(position), F.lit(""))
-    cond = (fk_name == F.col("_k0")) & (fk_pos == F.col("_k1")) & (fk_name != F.lit(""))
-    return (facts.join(u, cond, "left").withColumn(out, F.col("_rid"))
-            .drop("_k0", "_k1", "_rid"))
+    j = left_lookup(facts.withColumn("_fpos", fk_pos), u, fk_name, "_k0",
+                    extra_condition=F.col("_fpos") == F.col("_k1"))
+    return j.withColumn(out, F.col("_rid")).drop("_fpos", "_k0", "_k1", "_rid")
 
 
 def resolve_ids(adp: DataFrame, bridge: DataFrame, *, by_id_source: str = "mfl",
@@ -79,12 +80,14 @@ def resolve_ids(adp: DataFrame, bridge: DataFrame, *, by_id_source: str = "mfl",
                                           F.coalesce(F.col("position"), F.lit(""))], "gsis_id") \
         .withColumnRenamed("_k0", "_nm_k").withColumnRenamed("_k1", "_ps_k") \
         .withColumnRenamed("_rid", "_nm_r")
-    nm = normalize_merge_name("player_name")
+    nm = F.nullif(normalize_merge_name("player_name"), F.lit(""))
     ps = F.coalesce(F.col("position"), F.lit(""))
-    j = adp.join(id_bridge, (F.col("source") == by_id_source)
-                 & (to_long("source_player_id") == F.col("_id_k")), "left")
-    j = j.join(name_bridge, (F.col("source") == by_name_source) & (nm == F.col("_nm_k"))
-               & (ps == F.col("_ps_k")) & (nm != F.lit("")), "left")
+    base = adp.withColumn("_is_id", F.coalesce(F.col("source") == by_id_source, F.lit(False))) \
+        .withColumn("_is_nm", F.coalesce(F.col("source") == by_name_source, F.lit(False))) \
+        .withColumn("_ps", ps)
+    j = left_lookup(base, id_bridge, F.when(F.col("_is_id"), to_long("source_player_id")), "_id_k")
+    j = left_lookup(j, name_bridge, F.when(F.col("_is_nm"), nm), "_nm_k",
+                    extra_condition=F.col("_ps") == F.col("_ps_k"))
     resolved = F.when(F.col("source") == by_id_source, F.col("_id_r")) \
         .when(F.col("source") == by_name_source, F.col("_nm_r"))
     cols = [resolved.alias(out) if c == out else F.col(c) for c in adp.columns]

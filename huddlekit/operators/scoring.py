@@ -1,9 +1,11 @@
 """Weekly fantasy scoring and positional ranks."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from huddlekit.operators.skew import dense_rank_by_value
+
 RANK_GROUP = ("season", "week", "position")
 
 
@@ -17,16 +19,10 @@ def half_ppr(standard, receptions) -> Column:
 def dense_rank_desc(df: DataFrame, value: str, group: tuple[str, ...] | list[str] = RANK_GROUP,
                     out: str = "position_rank_ppr") -> DataFrame:
     """Dense rank of ``value`` (highest first) inside ``group``. A row with a
-    NULL value or a NULL group key gets a NULL rank and does not take a rank
-    from others: those rows sit in their own window partition and are masked."""
-    group = list(group)
-    rankable = F.col(value).isNotNull()
-    for g in group:
-        rankable = rankable & F.col(g).isNotNull()
-    # The flag is part of the partition key, so unrankable rows never share a
-    # window partition with rankable ones.
-    w = Window.partitionBy(*group, rankable.alias("_rankable")).orderBy(F.col(value).desc())
-    return df.withColumn(out, F.when(rankable, F.dense_rank().over(w).cast("long")))
+    NULL value or a NULL group key gets a NULL rank and takes no rank from
+    the others. Ranked over distinct values (see ``skew.dense_rank_by_value``)
+    so a hot group is not sorted whole in one task."""
+    return dense_rank_by_value(df, value, list(group), out)
 
 
 def points_weekly(stats: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from huddlekit.operators.fingerprint import team_week_fingerprint, unique_on
 from huddlekit.operators.quality import (fill_matrix_check, grain_checks, rate_denominator_checks,
                                          reconcile_check, resolution_check, summarize)
 from huddlekit.operators.scoring import points_weekly
+from huddlekit.operators.skew import left_lookup
 from huddlekit.operators.trends import before_after, day_over_day, stint_summary, stints
 from huddlekit.plans import players, scheme
 from huddlekit.plans.tables import rounded, table
@@ -258,7 +259,7 @@ def bridge_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), F.col("s_suppkey")).alias("pfr_id"),
         F.concat(F.col("s_name"), F.lit(" (alt)")).alias("bridge_name"))
     b = unique_on(bridge.unionByName(extra).where(F.col("pfr_id").isNotNull()), ["pfr_id"])
-    j = snaps.join(b, snaps.pfr_player_id == b.pfr_id, "left")
+    j = left_lookup(snaps, b, F.col("pfr_player_id"), "pfr_id")
     return j.select("l_orderkey", "l_linenumber", "pfr_player_id", "bridge_name")
 
 
