@@ -46,6 +46,14 @@ def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType
     spark.sql(sql)
 
 
+def clustered(df: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFrame:
+    """Cluster rows for writing without partitioning: range-partition on the
+    clustering columns and sort within each task, so every written file
+    covers a narrow key range and Parquet min/max statistics skip files and
+    row groups for filters on those columns."""
+    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+
+
 def check_keys(staged: DataFrame, keys: list[str] | tuple[str, ...], schema_cols=None) -> None:
     """Keys must exist; staged keys must be non-NULL and unique. One
     aggregate pass; only two numbers reach the driver."""
