@@ -25,7 +25,7 @@ def dense_rank_desc(df: DataFrame, value: str, group: tuple[str, ...] | list[str
     return dense_rank_by_value(df, value, list(group), out)
 
 
-def points_weekly(stats: DataFrame) -> DataFrame:
+def points_weekly(stats: DataFrame, *, rank: bool = True) -> DataFrame:
     """Player stats -> weekly points. PPR is carried from the feed, never
     recomputed; half-PPR is derived; rank is by PPR within (season, week,
     position)."""
@@ -38,4 +38,4 @@ def points_weekly(stats: DataFrame) -> DataFrame:
         F.col("fantasy_points").cast("double").alias("fantasy_points_standard"),
         half_ppr("fantasy_points", "receptions").alias("fantasy_points_half_ppr"),
         F.col("fantasy_points_ppr").cast("double").alias("fantasy_points_ppr"))
-    return dense_rank_desc(df, "fantasy_points_ppr")
+    return dense_rank_desc(df, "fantasy_points_ppr") if rank else df

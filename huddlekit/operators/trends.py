@@ -47,3 +47,16 @@ def before_after(summary: DataFrame, keys: list[str], label: str) -> DataFrame:
     return summary.select("*", F.lag(label).over(w).alias(f"prev_{label}"),
                           F.lag("avg_value").over(w).alias("prev_avg"),
                           (F.col("avg_value") - F.lag("avg_value").over(w)).alias("delta"))
+
+
+def market_vs_output(market: DataFrame, output: DataFrame, *, id_col: str = "gsis_id",
+                     value: str = "fantasy_points_ppr") -> DataFrame:
+    """Each market row next to the realised output of its resolved player:
+    output is totalled per player first (partial aggregation), then looked up
+    with a NULL-guarded left join, so unresolved rows neither match nor pile
+    onto one reducer."""
+    from huddlekit.operators.skew import left_lookup
+    totals = (output.where(F.col(id_col).isNotNull())
+              .groupBy(F.col(id_col).alias("_pid"))
+              .agg(F.sum(value).alias("total_points"), F.count(F.lit(1)).alias("weeks")))
+    return left_lookup(market, totals, F.col(id_col), "_pid").drop("_pid")

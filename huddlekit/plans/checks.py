@@ -20,7 +20,8 @@ from huddlekit.operators.quality import (fill_matrix_check, grain_checks, rate_d
                                          reconcile_check, resolution_check, summarize)
 from huddlekit.operators.scoring import points_weekly
 from huddlekit.operators.skew import left_lookup
-from huddlekit.operators.trends import before_after, day_over_day, stint_summary, stints
+from huddlekit.operators.trends import (before_after, day_over_day, market_vs_output, stint_summary,
+                                        stints)
 from huddlekit.plans import players, scheme
 from huddlekit.plans.tables import rounded, table
 
@@ -68,7 +69,7 @@ CHECK_GRAIN_SQL = " UNION ALL ".join(_sql_grain(n, c) for n, c in GRAINS.items()
 
 
 def check_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile_check(points_weekly(players._line_stats(spark, sf_dir)))
+    return reconcile_check(points_weekly(players._line_stats(spark, sf_dir), rank=False))
 
 
 CHECK_RECONCILE_SQL = f"""
@@ -276,3 +277,21 @@ s AS (SELECT l_orderkey, l_linenumber,
 SELECT s.l_orderkey, s.l_linenumber, s.pfr_player_id, u.bridge_name
 FROM s LEFT JOIN u ON s.pfr_player_id = u.pfr_id
 """
+
+
+def adp_vs_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name-resolved market rows (parts) against the weekly points of the
+    resolved player (line items of that part)."""
+    market = players.resolve_by_name_refusing(spark, sf_dir)
+    pts = points_weekly(players._line_stats(spark, sf_dir), rank=False) \
+        .withColumn("gsis_id", F.concat(F.lit("P"), F.col("gsis_id")))
+    return rounded(market_vs_output(market, pts))
+
+
+ADP_VS_POINTS_SQL = f"""
+WITH m AS ({players.RESOLVE_BY_NAME_SQL}),
+p AS (SELECT 'P' || gsis_id AS pid, sum(fantasy_points_ppr) AS total_points, count(*) AS weeks
+      FROM ({players.LINE_STATS_SQL}) GROUP BY 1)
+SELECT m.p_partkey, m.player_name, m.position, m.gsis_id, round(p.total_points, 6) AS total_points, p.weeks
+FROM m LEFT JOIN p ON m.gsis_id = p.pid
+"""

@@ -34,6 +34,7 @@ QUERIES = {
     "play_level_join": checks.play_level_join,
     "bridge_left_join": checks.bridge_left_join,
     "stream_snapshot": streams.stream_snapshot,
+    "adp_vs_points": checks.adp_vs_points,
 }
 
 ORACLE_SQL = {
@@ -67,4 +68,5 @@ ORACLE_SQL = {
     "play_level_join": checks.PLAY_LEVEL_JOIN_SQL,
     "bridge_left_join": checks.BRIDGE_LEFT_JOIN_SQL,
     "stream_snapshot": streams.STREAM_SNAPSHOT_SQL,
+    "adp_vs_points": checks.ADP_VS_POINTS_SQL,
 }
