@@ -140,7 +140,7 @@ SELECT 'mfl' AS source, CAST(year(ts) AS BIGINT) AS season,
        CASE WHEN event_type = 'error' THEN NULL ELSE round(value + bump, 6) END AS adp,
        CAST(NULL AS VARCHAR) AS adp_formatted, CAST(NULL AS DOUBLE) AS adp_stdev,
        CAST(k % 5 + 1 AS BIGINT) AS adp_earliest_pick, CAST(k + 5 AS BIGINT) AS adp_latest_pick,
-       CAST(user_id * 2 AS BIGINT) AS times_drafted, round(k + 0.5, 6) AS draft_selected_pct,
+       CAST(user_id * 2 AS BIGINT) AS times_drafted, round(CAST(k AS DOUBLE) + 0.5, 6) AS draft_selected_pct,
        CAST(k AS BIGINT) AS source_rank, CAST(user_id AS BIGINT) AS total_drafts,
        CAST(NULL AS BIGINT) AS bye, CAST(NULL AS DATE) AS window_start_date,
        CAST(NULL AS DATE) AS window_end_date,

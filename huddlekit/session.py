@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (builder
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("HUDDLEKIT_DRIVER_MEMORY", "8g")))
+    if os.environ.get("HUDDLEKIT_WAREHOUSE"):
+        builder = builder.config("spark.sql.warehouse.dir", os.environ["HUDDLEKIT_WAREHOUSE"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

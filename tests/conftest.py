@@ -9,7 +9,9 @@ from huddlekit.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    # managed tables created by tests go to a per-run folder, not the repo
+    os.environ.setdefault("HUDDLEKIT_WAREHOUSE", str(tmp_path_factory.mktemp("warehouse")))
     s = local_session(cores=4, shuffle_partitions=4, app="huddlekit-tests")
     yield s
     s.stop()
