@@ -67,7 +67,7 @@ CHUNK_SEASON = 2023
 
 def _era_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ev = table(spark, sf_dir, "events")
-    legacy = ev.where(F.col("ts") < F.lit(ERA_SPLIT).cast("timestamp")).select(
+    legacy = ev.where(F.col("ts") < F.lit(ERA_SPLIT).cast("timestamp_ntz")).select(
         F.when(F.col("event_type") == "error", F.lit(2024)).otherwise(F.lit(2023))
          .cast("double").alias("season"),
         (F.floor((F.dayofyear("ts") - 1) / 7) + 1).cast("double").alias("week"),
@@ -79,7 +79,7 @@ def _era_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         F.round("value").cast("long").cast("string").alias("depth_team"),
         F.substring("props", 7, 1).alias("depth_position"),
         F.lit("Offense").alias("formation"))
-    modern = ev.where(F.col("ts") >= F.lit(ERA_SPLIT).cast("timestamp")).select(
+    modern = ev.where(F.col("ts") >= F.lit(ERA_SPLIT).cast("timestamp_ntz")).select(
         F.col("ts").alias("dt"), F.col("event_type").alias("team"),
         F.col("user_id").cast("string").alias("gsis_id"),
         F.concat(F.lit("u"), F.col("user_id"), F.lit(" n"), F.col("event_id")).alias("player_name"),

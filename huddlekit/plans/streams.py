@@ -18,14 +18,14 @@ from huddlekit.plans.tables import rounded, table
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
     T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
-    T.StructField("captured_at", T.TimestampType()), T.StructField("capture_day", T.DateType()),
+    T.StructField("captured_at", T.TimestampNTZType()), T.StructField("capture_day", T.DateType()),
 ])
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select("event_id", "user_id", "event_type", "value",
-                     F.col("ts").cast("timestamp").alias("captured_at"),
+                     F.col("ts").alias("captured_at"),
                      F.to_date("ts").alias("capture_day"))
 
 
@@ -44,7 +44,7 @@ def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     out = spark.read.parquet(target).select(
         "event_id", "user_id", "event_type", "value",
-        F.col("captured_at").cast("timestamp_ntz").alias("captured_at"), "capture_day")
+        "captured_at", "capture_day")
     return rounded(out)
 
 

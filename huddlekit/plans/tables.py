@@ -15,10 +15,12 @@ def spread(df: DataFrame) -> DataFrame:
     as one task). Filters and column pruning still reach the scan through
     the round-robin repartition. A scan of many files or row groups already
     has enough splits and is returned unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a Spark Connect session): leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from huddlekit.sources.store import upsert
 
@@ -31,7 +32,12 @@ def snapshot_stream(spark: SparkSession, landing: str, schema, *, fmt: str = "pa
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.load(landing)
     if dedupe_window and grain and event_time:
-        df = df.withWatermark(event_time, dedupe_window).dropDuplicatesWithinWatermark(grain)
+        # a watermark needs a TIMESTAMP column; a wall-clock (NTZ) capture
+        # time is read in the session time zone for it
+        df = (df.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+              .withWatermark("_event_time", dedupe_window)
+              .dropDuplicatesWithinWatermark(grain)
+              .drop("_event_time"))
     return df
 
 

@@ -12,7 +12,7 @@ def test_replay_is_noop_and_dedupe_window(spark, tmp_path):
     rows = [(i, i % 3, "click", float(i), f"2024-01-0{1 + i % 3} 10:00:00") for i in range(9)]
     df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, ts string") \
         .select("event_id", "user_id", "event_type", "value",
-                F.to_timestamp("ts").alias("captured_at"), F.to_date("ts").alias("capture_day"))
+                F.to_timestamp_ntz("ts").alias("captured_at"), F.to_date("ts").alias("capture_day"))
     df.write.mode("append").parquet(landing)
     df.write.mode("append").parquet(landing)           # duplicate delivery
     name = f"st_{uuid.uuid4().hex[:10]}"
