@@ -153,15 +153,29 @@ def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFr
     adp = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
     resolved = resolve_ids(adp, bridge)
     staged = _stage(spark, resolved, "adp")
-    upsert(spark, table, staged, list(ADP_GRAIN), partition_by=("snapshot_date",))
+    # REQUIRED columns are enforced per chunk: a chunk with a violating row
+    # is logged as failed and kept out of the upsert; the others still load.
+    required = [f.name for f in ADP_SCHEMA.fields if not f.nullable and f.name != "ingested_at"]
+    violation = F.lit(False)
+    for c in required:
+        violation = violation | F.col(c).isNull()
     per_chunk = staged.groupBy(*CHUNK_KEYS).agg(
         F.count(F.lit(1)).alias("rows"),
+        F.count_if(violation).alias("violations"),
         F.avg(F.col("gsis_id").isNotNull().cast("double")).alias("resolution_rate"))
+    clean = per_chunk.where("violations = 0").select(*CHUNK_KEYS)
+    upsert(spark, table, staged.join(clean, CHUNK_KEYS, "left_semi"), list(ADP_GRAIN),
+           partition_by=("snapshot_date",))
     all_chunks = chunks[0] if len(chunks) == 1 else chunks[0].unionByName(chunks[1])
+    status = (F.when(F.col("violations") > 0, "failed").when(F.col("rows") > 0, "success")
+              .otherwise("empty"))
+    error = F.when(F.col("violations") > 0, F.concat(
+        F.col("violations").cast("string"), F.lit(f" row(s) with NULL in a required column {required}")))
     log = (all_chunks.distinct().join(per_chunk, CHUNK_KEYS, "left")
-           .select(*CHUNK_KEYS, F.when(F.col("rows") > 0, "success").otherwise("empty").alias("status"),
-                   F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "resolution_rate",
-                   F.lit(None).cast("string").alias("error"), F.current_timestamp().alias("run_at"),
+           .select(*CHUNK_KEYS, status.alias("status"),
+                   F.when(F.coalesce("violations", F.lit(0)) == 0, F.coalesce("rows", F.lit(0)))
+                    .cast("long").alias("rows"), "resolution_rate",
+                   F.substring(error, 1, 4000).alias("error"), F.current_timestamp().alias("run_at"),
                    F.lit(snapshot_date).cast("date").alias("snapshot_date")))
     log = _stage(spark, log, "adp-log")
     append_run_log(log, log_path)

@@ -26,20 +26,27 @@ RESOLUTION_FLOOR = 0.60
 RECONCILE_TOLERANCE = 0.01
 
 
+def scoped(df: DataFrame, season: int | None, column: str = "season") -> DataFrame:
+    """Restrict a check to one season (a partition filter on a table
+    partitioned by season, so only that partition is read)."""
+    return df if season is None else df.where(F.col(column) == F.lit(season))
+
+
 def resolution_check(df: DataFrame, *, source: str = "source", id_col: str = "gsis_id",
-                     floor: float = RESOLUTION_FLOOR) -> DataFrame:
-    g = df.groupBy(source).agg(F.count(F.lit(1)).alias("n"),
+                     floor: float = RESOLUTION_FLOOR, season: int | None = None) -> DataFrame:
+    """Resolved share per source against a floor; report ordered by source."""
+    g = scoped(df, season).groupBy(source).agg(F.count(F.lit(1)).alias("n"),
                                F.count(id_col).alias("n_resolved"))
     rate = F.try_divide(F.col("n_resolved").cast("double"), F.col("n").cast("double"))
     return g.select(F.concat(F.lit("resolution_rate["), F.col(source), F.lit("]")).alias("check"),
                     "n", "n_resolved", F.round(rate, 6).alias("rate"),
-                    (F.coalesce(rate, F.lit(0.0)) >= floor).alias("passed"))
+                    (F.coalesce(rate, F.lit(0.0)) >= floor).alias("passed")).orderBy("check")
 
 
-def grain_checks(df: DataFrame, grain: list[str], name: str) -> DataFrame:
+def grain_checks(df: DataFrame, grain: list[str], name: str, *, season: int | None = None) -> DataFrame:
     """Duplicate groups at the grain and the largest group, one pass. Two
     check rows: no duplicates, and snapshot idempotency (max rows = 1)."""
-    per = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_c"))
+    per = scoped(df, season).groupBy(*grain).agg(F.count(F.lit(1)).alias("_c"))
     s = per.agg(F.count(F.lit(1)).alias("groups"),
                 F.count_if(F.col("_c") > 1).cast("long").alias("dup_groups"),
                 F.max("_c").cast("long").alias("max_rows"))
@@ -52,23 +59,23 @@ def grain_checks(df: DataFrame, grain: list[str], name: str) -> DataFrame:
 
 def reconcile_check(df: DataFrame, *, by: str = "season", standard: str = "fantasy_points_standard",
                     receptions: str = "receptions", ppr: str = "fantasy_points_ppr",
-                    tol: float = RECONCILE_TOLERANCE) -> DataFrame:
+                    tol: float = RECONCILE_TOLERANCE, season: int | None = None) -> DataFrame:
     bad = F.abs((F.col(standard) + F.col(receptions)) - F.col(ppr)) > tol
-    return (df.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
+    return (scoped(df, season).groupBy(by).agg(F.count(F.lit(1)).alias("n"),
                                F.count_if(bad).cast("long").alias("n_unreconciled"))
             .select(F.lit("ppr_reconciles").alias("check"), by, "n", "n_unreconciled",
                     ((F.col("n_unreconciled") == 0) & (F.col("n") > 0)).alias("passed")))
 
 
 def rate_denominator_checks(df: DataFrame, *, by: str = "season",
-                            pairs=RATE_DENOMINATOR_PAIRS) -> DataFrame:
+                            pairs=RATE_DENOMINATOR_PAIRS, season: int | None = None) -> DataFrame:
     """All pairs in one scan (2 counts per pair), then unpivoted to one row
     per (group, pair)."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for rate, den in pairs:
         aggs.append(F.count_if(F.col(rate).isNotNull() & F.col(den).isNull()).alias(f"{rate}__nd"))
         aggs.append(F.count_if(F.col(rate).isNotNull() & (F.col(rate) > 1.0)).alias(f"{rate}__o1"))
-    g = df.groupBy(by).agg(*aggs)
+    g = scoped(df, season).groupBy(by).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(f"scheme_denominators[{rate}]").alias("check"),
                               F.col(f"{rate}__nd").cast("long").alias("null_denominator"),
                               F.col(f"{rate}__o1").cast("long").alias("over_one"))
@@ -81,13 +88,14 @@ def rate_denominator_checks(df: DataFrame, *, by: str = "season",
 def fill_matrix_check(df: DataFrame, filled, *, by: str = "season", zero_groups=(),
                       ceiling: float = 1.0, tolerance: float = 0.001) -> DataFrame:
     """Fill rate of a column per group against documented bounds: exactly 0
-    in ``zero_groups``, at most ``ceiling`` elsewhere (within tolerance)."""
+    in ``zero_groups``, at most ``ceiling`` elsewhere (within tolerance).
+    Report ordered by group."""
     g = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.count_if(filled).cast("long").alias("n_filled"))
     rate = F.col("n_filled") / F.col("n")
     zero = F.col(by).isin(*zero_groups) if zero_groups else F.lit(False)
     ok = F.when(zero, F.abs(rate) <= tolerance).otherwise(rate <= ceiling + tolerance)
     return g.select(F.lit("fill_matrix").alias("check"), by, "n", "n_filled",
-                    F.round(rate, 6).alias("fill_rate"), ok.alias("passed"))
+                    F.round(rate, 6).alias("fill_rate"), ok.alias("passed")).orderBy(by)
 
 
 def summarize(*checks: DataFrame) -> DataFrame:

@@ -75,6 +75,17 @@ def check_keys(staged: DataFrame, keys: list[str] | tuple[str, ...], schema_cols
         raise ValueError(f"{row['dups']} duplicated key(s) {list(keys)} in the staged rows")
 
 
+def check_required(df: DataFrame, required: list[str] | tuple[str, ...]) -> None:
+    """Fail the load when a REQUIRED column holds NULLs (Parquet does not
+    enforce nullability), listing the count per column. One aggregation."""
+    if not required:
+        return
+    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
+    bad = {c: row[c] for c in required if row[c]}
+    if bad:
+        raise ValueError(f"NULL values in required columns: {bad}")
+
+
 def merge_upsert(target: DataFrame, staged: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
     """Rows after MERGE ... WHEN MATCHED UPDATE WHEN NOT MATCHED INSERT."""
     keys = list(keys)
@@ -89,13 +100,14 @@ def _stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] | tuple[str, ...],
-           *, partition_by: tuple[str, ...] = ()) -> int:
+           *, partition_by: tuple[str, ...] = (), required: tuple[str, ...] = ()) -> int:
     """Upsert ``staged`` into catalog table ``table``; returns rows staged.
     An empty batch is a no-op."""
     target = spark.table(table)
     cols = target.columns
     staged = staged.select(*cols)
     check_keys(staged, keys, cols)
+    check_required(staged, [c for c in required if c not in keys])
     obs = Observation("staged")
     st = _stage(spark, staged.observe(obs, F.count(F.lit(1)).alias("n")), "batch")
     n = obs.get["n"]
@@ -131,12 +143,13 @@ class WriteSeasonResult:
 
 
 def replace_season(spark: SparkSession, table: str, df: DataFrame, season: int,
-                   *, column: str = "season") -> WriteSeasonResult:
+                   *, column: str = "season", required: tuple[str, ...] = ()) -> WriteSeasonResult:
     """Replace partition ``column = season`` of ``table`` with the rows of
     ``df`` that belong to it. A frame without the season column is taken to
     be the chunk itself."""
     target_cols = spark.table(table).columns
     data_cols = [c for c in target_cols if c != column]
+    check_required(df, [c for c in required if c in df.columns])
     if column in df.columns:
         belongs = F.coalesce(F.col(column) == F.lit(season), F.lit(False))
         obs = Observation("season_guard")

@@ -50,6 +50,23 @@ def test_sync_adp_idempotent_with_log(spark, tmp_path):
     assert t.by_status == {"success": 3, "empty": 3} and t.run_failed is False
 
 
+def test_sync_adp_isolates_a_chunk_with_required_nulls(spark, tmp_path):
+    root = tmp_path / "ffc"
+    for teams, players in ((10, [{"player_id": 1, "name": "X", "adp": None}]),
+                           (12, [{"player_id": 2, "name": "Y", "adp": 3.0}])):
+        d = root / "season=2024" / "scoring_format=ppr" / f"teams={teams}"
+        d.mkdir(parents=True)
+        (d / "doc.json").write_text(json.dumps(_doc(players)))
+    bridge = spark.createDataFrame([], "mfl_id long, gsis_id string, merge_name string, position string")
+    table = _name("adp")
+    log = {r.teams: (r.status, r.rows) for r in sync_adp(
+        spark, table, "2024-08-04", bridge, str(tmp_path / "runs"),
+        feed_a_docs=read_feed_a(spark, str(root))).collect()}
+    assert log == {10: ("failed", None), 12: ("success", 1)}
+    spark.catalog.refreshTable(table)
+    assert [r.source_player_id for r in spark.table(table).collect()] == ["2"]
+
+
 def test_load_seasons(spark, tmp_path):
     land = tmp_path / "land"
     spark.createDataFrame([("2016_01_A_B", 1.0, "x")], "nflverse_game_id string, play_id double, t string") \

@@ -90,3 +90,14 @@ def test_run_log(spark, tmp_path):
     assert log.where("status = 'failed'").first().error == "x" * 4000
     done = sorted(tuple(r) for r in completed(log, ["source", "season"]).collect())
     assert done == [("ffc", 2015), ("ffc", 2016)]
+
+
+def test_required_columns_enforced(spark, tmp_path):
+    name = _table(spark, tmp_path)
+    bad = spark.createDataFrame([(1, "d", None)], "k long, day string, v double")
+    with pytest.raises(ValueError, match="required"):
+        upsert(spark, name, bad, ["k"], required=("v",))
+    season = _season_table(spark, tmp_path)
+    with pytest.raises(ValueError, match="required"):
+        replace_season(spark, season, spark.createDataFrame([(None, 2025)], "val double, season long"),
+                       2025, required=("val",))
