@@ -105,14 +105,18 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
     An empty batch is a no-op."""
     target = spark.table(table)
     cols = target.columns
-    staged = staged.select(*cols)
-    check_keys(staged, keys, cols)
-    check_required(staged, [c for c in required if c not in keys])
+    missing = [k for k in keys if k not in cols]
+    if missing:
+        raise ValueError(f"merge keys not in schema: {missing}")
+    # stage once, then validate the written copy: the batch's lineage is
+    # computed a single time however many checks run on it
     obs = Observation("staged")
-    st = _stage(spark, staged.observe(obs, F.count(F.lit(1)).alias("n")), "batch")
+    st = _stage(spark, staged.select(*cols).observe(obs, F.count(F.lit(1)).alias("n")), "batch")
     n = obs.get["n"]
     if n == 0:
         return 0
+    check_keys(st, keys, cols)
+    check_required(st, [c for c in required if c not in keys])
     scope = target
     if partition_by:
         scope = target.join(st.select(*partition_by).distinct(), list(partition_by), "left_semi")
@@ -149,7 +153,6 @@ def replace_season(spark: SparkSession, table: str, df: DataFrame, season: int,
     be the chunk itself."""
     target_cols = spark.table(table).columns
     data_cols = [c for c in target_cols if c != column]
-    check_required(df, [c for c in required if c in df.columns])
     if column in df.columns:
         belongs = F.coalesce(F.col(column) == F.lit(season), F.lit(False))
         obs = Observation("season_guard")
@@ -160,10 +163,12 @@ def replace_season(spark: SparkSession, table: str, df: DataFrame, season: int,
         # the guard's counts come from the same pass that stages the rows
         st = _stage(spark, observed.withColumn("_keep", belongs), "season")
         keep = st.where("_keep").drop("_keep")
+        check_required(keep, [c for c in required if c in keep.columns])
         m = obs.get
         result = WriteSeasonResult(int(m["written"]), int(m["dropped"]), tuple(m["offending"] or ()))
     else:
         keep = _stage(spark, df, "season")
+        check_required(keep, [c for c in required if c in keep.columns])
         result = WriteSeasonResult(keep.count(), 0, ())
     sel = ", ".join((f"`{c}`" if c in keep.columns else f"CAST(NULL AS STRING) AS `{c}`")
                     if c != INGESTED_AT or c in keep.columns else "current_timestamp()"
