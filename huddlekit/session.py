@@ -58,3 +58,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def cluster_settings(input_bytes: int, cores: int, *, target_partition_bytes: int = 128 << 20) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of Parquet.
+
+    The initial shuffle width gives every reducer about one target-sized
+    slice of the input, between three and twenty waves of the cores (past
+    that the map-output bookkeeping on the driver grows faster than the
+    benefit); AQE then coalesces small partitions back toward the advisory
+    size and splits skewed ones, so a stage neither spills from oversized
+    partitions nor pays for many empty ones. Apply with ``spark.conf.set``
+    before building the plans.
+    """
+    width = min(max(3 * cores, -(-input_bytes // target_partition_bytes)), 20 * cores)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
