@@ -39,6 +39,11 @@ def gate(chunks: DataFrame, *, season_col: str = "season", min_season: dict | in
 
 
 def pending(chunks: DataFrame, log: DataFrame, keys: list[str]) -> DataFrame:
-    """Chunks still to load: not gated and not completed in the run log."""
+    """Chunks still to load: not gated and not completed in the run log.
+
+    ``keys`` decides what counts as done. A daily snapshot capture must
+    include the capture day in its keys (or not resume at all): keyed on
+    (source, season, format, teams) alone, a resumed run would skip every
+    chunk already captured on an earlier day."""
     todo = chunks.where(F.col("gated").isNull()).drop("gated")
     return todo.join(completed(log, keys), keys, "left_anti")

@@ -204,8 +204,17 @@ def run_log_rows(chunks: DataFrame, status, rows=None, error=None, version: str
                          F.current_timestamp().alias("run_at"), F.lit(version).alias("version"))
 
 
-def append_run_log(log_rows: DataFrame, path: str) -> None:
-    log_rows.write.mode("append").parquet(path)
+def append_run_log(log_rows: DataFrame, path: str) -> bool:
+    """Append run-log rows. A failed append is reported (False, and logged)
+    but never raised: the data it describes is already written and the
+    writes are idempotent, so a later rerun repairs the log."""
+    import logging
+    try:
+        log_rows.write.mode("append").parquet(path)
+        return True
+    except Exception as exc:  # noqa: BLE001 - the load itself succeeded
+        logging.getLogger(__name__).error("run-log append to %s failed: %s", path, exc)
+        return False
 
 
 def completed(log: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import types as T
 
 from huddlekit.operators.contracts import (ADP_SCHEMA, ADP_SPECS, ColumnSpec, align_to_schema,
-                                           declared_type, spec_names, specs_from_frame, to_struct)
+                                           contract_report, declared_type, spec_names, specs_from_frame,
+                                           to_struct)
 
 
 def test_spec_validation():
@@ -51,3 +52,12 @@ def test_align_and_coerce(spark):
     assert r1.ingested_at is not None
     missing = align_to_schema(spark.createDataFrame([(1,)], "z int"), schema, stamp=False)
     assert missing.columns == ["a", "b", "c", "d", "e", "f"] and missing.first().a is None
+
+
+def test_contract_report_is_a_report(spark):
+    schema = to_struct([ColumnSpec("week", "INT64", valid_range=(1, 22)),
+                        ColumnSpec("source", "STRING", valid_values=("ffc", "mfl"))])
+    df = spark.createDataFrame([(1, "ffc"), (30, "xyz"), (None, None)], "week long, source string")
+    got = {(r.column, r.rule): r.outside for r in contract_report(df, schema).collect()}
+    assert got == {("week", "valid_range"): 1, ("source", "valid_values"): 1}
+    assert df.count() == 3
