@@ -36,13 +36,17 @@ def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed.write.mode("append").parquet(landing)
     landed.where(F.col("event_type") == "click").write.mode("append").parquet(landing)
     name = f"snap_{uuid.uuid4().hex[:12]}"
-    create_table_if_missing(spark, name, SNAPSHOT_SCHEMA, location=target)
-    q = upsert_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), name, ["event_id"], ckpt)
+    # partitioned by capture day: a batch rewrites only the days it touches
+    create_table_if_missing(spark, name, SNAPSHOT_SCHEMA, partition_by=("capture_day",), location=target)
+    keys = ["event_id", "capture_day"]
+    q = upsert_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), name, keys, ckpt,
+                      partition_by=("capture_day",))
     q.awaitTermination()
     # a second run over the same landing folder finds nothing new
-    q = upsert_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), name, ["event_id"], ckpt)
+    q = upsert_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), name, keys, ckpt,
+                      partition_by=("capture_day",))
     q.awaitTermination()
-    out = spark.read.parquet(target).select(
+    out = spark.read.schema(SNAPSHOT_SCHEMA).parquet(target).select(
         "event_id", "user_id", "event_type", "value",
         "captured_at", "capture_day")
     return rounded(out)
