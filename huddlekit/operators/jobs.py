@@ -26,7 +26,8 @@ from huddlekit.operators.contracts import (ADP_GRAIN, ADP_SCHEMA, ColumnSpec, al
 from huddlekit.operators.identity import resolve_ids
 from huddlekit.operators.pages import coordinators
 from huddlekit.sources.feeds import conform_feed_a, conform_feed_b, feed_a_document_totals
-from huddlekit.sources.store import _ident, _stage, append_run_log, create_table_if_missing, upsert
+from huddlekit.sources.store import (_ident, _stage, append_run_log, clustered, create_table_if_missing,
+                                     upsert)
 
 # --- the id bridge contract ---------------------------------------------------
 
@@ -100,7 +101,10 @@ def load_seasons(spark: SparkSession, spec: TableSpec, table: str, seasons: list
         sel = [F.col(c) if c in keep.columns else F.lit(None).alias(c) for c in data_cols]
         if "ingested_at" in data_cols and "ingested_at" not in keep.columns:
             sel[data_cols.index("ingested_at")] = F.current_timestamp().alias("ingested_at")
-        keep.select(*sel, F.col(spec.partition)).createOrReplaceTempView("_huddlekit_seasons")
+        rows = keep.select(*sel, F.col(spec.partition))
+        if spec.cluster_by:
+            rows = clustered(rows, [spec.partition, *spec.cluster_by])
+        rows.createOrReplaceTempView("_huddlekit_seasons")
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
@@ -130,6 +134,7 @@ def load_seasons(spark: SparkSession, spec: TableSpec, table: str, seasons: list
 # --- snapshot jobs -------------------------------------------------------------------
 
 CHUNK_KEYS = ["source", "season", "scoring_format", "teams"]
+ADP_CLUSTER = ("season", "source", "scoring_format", "teams")
 
 
 def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFrame, log_path: str, *,
@@ -165,7 +170,7 @@ def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFr
         F.avg(F.col("gsis_id").isNotNull().cast("double")).alias("resolution_rate"))
     clean = per_chunk.where("violations = 0").select(*CHUNK_KEYS)
     upsert(spark, table, staged.join(clean, CHUNK_KEYS, "left_semi"), list(ADP_GRAIN),
-           partition_by=("snapshot_date",))
+           partition_by=("snapshot_date",), cluster_by=ADP_CLUSTER)
     all_chunks = chunks[0] if len(chunks) == 1 else chunks[0].unionByName(chunks[1])
     status = (F.when(F.col("violations") > 0, "failed").when(F.col("rows") > 0, "success")
               .otherwise("empty"))
@@ -211,7 +216,8 @@ def sync_coordinators(spark: SparkSession, table: str, pages: DataFrame, source:
     upserted on (season, team, role)."""
     create_table_if_missing(spark, table, COORDINATOR_SCHEMA)
     rows = coordinators(pages, keep=("season", "team", "retrieved_at")).withColumn("source", F.lit(source))
-    return upsert(spark, table, align_to_schema(rows, COORDINATOR_SCHEMA), ["season", "team", "role"])
+    return upsert(spark, table, align_to_schema(rows, COORDINATOR_SCHEMA), ["season", "team", "role"],
+                  cluster_by=("season", "team"))
 
 
 def run_tallies(log: DataFrame) -> DataFrame:

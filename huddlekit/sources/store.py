@@ -100,9 +100,13 @@ def _stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] | tuple[str, ...],
-           *, partition_by: tuple[str, ...] = (), required: tuple[str, ...] = ()) -> int:
+           *, partition_by: tuple[str, ...] = (), required: tuple[str, ...] = (),
+           cluster_by: tuple[str, ...] = ()) -> int:
     """Upsert ``staged`` into catalog table ``table``; returns rows staged.
-    An empty batch is a no-op."""
+    An empty batch is a no-op. With ``cluster_by`` the rewritten rows are
+    range-partitioned and sorted on (partition columns, cluster columns), so
+    files cover narrow key ranges and a large partition is written by many
+    tasks."""
     target = spark.table(table)
     cols = target.columns
     missing = [k for k in keys if k not in cols]
@@ -120,7 +124,10 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
     scope = target
     if partition_by:
         scope = target.join(st.select(*partition_by).distinct(), list(partition_by), "left_semi")
-    merged = _stage(spark, merge_upsert(scope.select(*cols), st, keys), "merged")
+    merged_rows = merge_upsert(scope.select(*cols), st, keys)
+    if cluster_by:
+        merged_rows = clustered(merged_rows, [*partition_by, *cluster_by])
+    merged = _stage(spark, merged_rows, "merged")
     merged.createOrReplaceTempView("_huddlekit_merged")
     if partition_by:
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
