@@ -6,10 +6,10 @@
   The NULL-key rows are split off, given NULL lookup columns and unioned back
   (no shuffle for them).
 * ``dense_rank_by_value``: dense rank computed over the *distinct* values of
-  each group, then joined back on (group, value). The window partition holds
-  one row per distinct value instead of one per input row, so a hot group
-  with repeated values does not land whole on one task; the join back is an
-  equi-join that AQE can split when one (group, value) is hot.
+  each group, range-partitioned so that even a group with a third of all
+  distinct values is ranked by many tasks (local ranks plus per-slice
+  offsets), then joined back on (group, value); AQE can split that join when
+  one (group, value) is hot.
 """
 from __future__ import annotations
 
@@ -33,13 +33,34 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: Column, right_key:
 
 def dense_rank_by_value(df: DataFrame, value: str, group: list[str], out: str) -> DataFrame:
     """Dense rank of ``value`` descending within ``group``; rows with a NULL
-    value or a NULL group key get a NULL rank."""
+    value or a NULL group key get a NULL rank.
+
+    1. distinct (group, value) pairs (aggregation with map-side combine);
+    2. range-partition them on (group, value desc): a group holding a third
+       of the values spans many partitions instead of one task;
+    3. rank inside each (partition, group) slice, and shift the slice by the
+       number of the group's values in earlier partitions (a small table,
+       one row per slice);
+    4. join the ranks back on (group, value).
+    The range-partitioned values are checkpointed to the shared checkpoint
+    folder so both uses see the same partition ids (and a lost executor
+    recomputes nothing upstream)."""
+    from huddlekit.session import ensure_checkpoint_dir
     rankable = F.col(value).isNotNull()
     for g in group:
         rankable = rankable & F.col(g).isNotNull()
     values = df.where(rankable).select(*group, value).distinct()
-    w = Window.partitionBy(*group).orderBy(F.col(value).desc())
-    ranks = values.withColumn(out, F.dense_rank().over(w).cast("long"))
+    ensure_checkpoint_dir(df.sparkSession)
+    ordered = (values.repartitionByRange(*[F.col(g).asc() for g in group], F.col(value).desc())
+               .withColumn("_pid", F.spark_partition_id())
+               .checkpoint(eager=True))
+    in_slice = Window.partitionBy("_pid", *group).orderBy(F.col(value).desc())
+    local = ordered.withColumn("_local", F.row_number().over(in_slice))
+    slices = ordered.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    ranks = local.join(offsets, ["_pid", *group]).select(
+        *group, value, (F.col("_off") + F.col("_local")).cast("long").alias(out))
     keys = [*group, value]
     ranked = df.where(rankable).join(ranks, keys, "inner")
     unranked = df.where(~rankable).withColumn(out, F.lit(None).cast("long"))

@@ -35,3 +35,23 @@ def test_left_lookup_matches_join(spark):
     got = sorted(tuple(r) for r in left_lookup(left, right, F.col("k"), "rk").select("id", "k", "val").collect())
     want = sorted(tuple(r) for r in left.join(right, left.k == right.rk, "left").select("id", "k", "val").collect())
     assert got == want and len(got) == 300
+
+
+def test_dense_rank_hot_group_spans_many_slices(spark):
+    rnd = random.Random(11)
+    rows = [(i, "hot", float(rnd.randint(0, 500))) for i in range(3000)] + \
+           [(3000 + i, "cold", float(rnd.randint(0, 50))) for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, g string, v double")
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = dense_rank_by_value(df, "v", ["g"], "r")
+        got = {r.id: r.r for r in out.collect()}
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc())
+    want = {r.id: r.r for r in df.select("id", F.dense_rank().over(w).alias("r")).collect()}
+    assert got == want
