@@ -142,7 +142,7 @@ def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFr
     """All landed documents of one capture day in one plan. Returns the run
     log rows appended: 'success' with rows written, or 'empty' for a chunk
     whose documents had no players."""
-    create_table_if_missing(spark, table, ADP_SCHEMA, partition_by=("snapshot_date",))
+    create_table_if_missing(spark, table, ADP_SCHEMA, partition_by=("snapshot_date",), cluster_by=ADP_CLUSTER)
     frames, chunks = [], []
     if feed_a_docs is not None:
         frames.append(conform_feed_a(feed_a_docs, snapshot_date))
@@ -211,13 +211,16 @@ COORDINATOR_SCHEMA = to_struct([
     ingested_at_spec()])
 
 
+COORDINATOR_CLUSTER = ("season", "team")
+
+
 def sync_coordinators(spark: SparkSession, table: str, pages: DataFrame, source: str = "wikipedia") -> int:
     """Team-season pages (season, team, wikitext, retrieved_at) -> OC/DC rows
     upserted on (season, team, role)."""
-    create_table_if_missing(spark, table, COORDINATOR_SCHEMA)
+    create_table_if_missing(spark, table, COORDINATOR_SCHEMA, cluster_by=COORDINATOR_CLUSTER)
     rows = coordinators(pages, keep=("season", "team", "retrieved_at")).withColumn("source", F.lit(source))
     return upsert(spark, table, align_to_schema(rows, COORDINATOR_SCHEMA), ["season", "team", "role"],
-                  cluster_by=("season", "team"))
+                  cluster_by=COORDINATOR_CLUSTER)
 
 
 def run_tallies(log: DataFrame) -> DataFrame:

@@ -33,10 +33,35 @@ def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+MAX_CLUSTER_COLUMNS = 4
+_LAYOUT_TYPES = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType, T.DateType,
+                 T.TimestampType, T.TimestampNTZType, T.BooleanType, T.DecimalType)
+
+
+def check_layout(schema: T.StructType, partition_by=(), cluster_by=(), *, table: str = "") -> None:
+    """Layout guard: partition and clustering columns must be declared,
+    of a type with exact equality (no floating point, no nested types), and
+    there are at most four clustering columns. Raised at declaration time,
+    before anything is written."""
+    by_name = {f.name: f.dataType for f in schema.fields}
+    if len(cluster_by) > MAX_CLUSTER_COLUMNS:
+        raise ValueError(f"{table}: at most {MAX_CLUSTER_COLUMNS} clustering columns, got {list(cluster_by)}")
+    for role, cols in (("partition", partition_by), ("clustering", cluster_by)):
+        for c in cols:
+            if c not in by_name:
+                raise ValueError(f"{table}: {role} column {c!r} is not declared")
+            if not isinstance(by_name[c], _LAYOUT_TYPES):
+                raise ValueError(f"{table}: {role} column {c!r} has type "
+                                 f"{by_name[c].simpleString()}, which cannot be a {role} key")
+
+
 def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType, *,
-                            partition_by: tuple[str, ...] = (), location: str | None = None) -> None:
+                            partition_by: tuple[str, ...] = (), location: str | None = None,
+                            cluster_by: tuple[str, ...] = ()) -> None:
     """Declared schema, Parquet, optional partition columns (a partition
-    column keeps its declared type, unlike a path-inferred one)."""
+    column keeps its declared type, unlike a path-inferred one). The layout
+    is validated first (``check_layout``)."""
+    check_layout(schema, partition_by, cluster_by, table=name)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     sql = f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({cols}) USING parquet"
     if partition_by:
