@@ -72,28 +72,32 @@ def resolve_by_name(facts: DataFrame, bridge: DataFrame, *, name: str = "player_
 def resolve_ids(adp: DataFrame, bridge: DataFrame, *, by_id_source: str = "mfl",
                 by_name_source: str = "ffc", out: str = "gsis_id") -> DataFrame:
     """Dispatcher: rows of ``by_id_source`` resolve by exact id, rows of
-    ``by_name_source`` by name; every row is kept and the column set is
-    unchanged (``out`` is overwritten)."""
-    id_bridge = _unique_bridge(bridge, [to_long("mfl_id")], "gsis_id") \
-        .withColumnRenamed("_k0", "_id_k").withColumnRenamed("_rid", "_id_r")
+    ``by_name_source`` by name, other sources stay unresolved; every row is
+    kept and the column set is unchanged (``out`` is overwritten).
+
+    Rows are routed to exactly one path (a union of disjoint branches, no
+    shuffle for the routing), so each row is parsed and joined once, and
+    inside each path NULL keys bypass the join."""
+    is_id = F.coalesce(F.col("source") == by_id_source, F.lit(False))
+    is_nm = F.coalesce(F.col("source") == by_name_source, F.lit(False))
+    id_bridge = _unique_bridge(bridge, [to_long("mfl_id")], "gsis_id")
     name_bridge = _unique_bridge(bridge, [F.nullif(normalize_merge_name("merge_name"), F.lit("")),
-                                          F.coalesce(F.col("position"), F.lit(""))], "gsis_id") \
-        .withColumnRenamed("_k0", "_nm_k").withColumnRenamed("_k1", "_ps_k") \
-        .withColumnRenamed("_rid", "_nm_r")
-    nm = F.nullif(normalize_merge_name("player_name"), F.lit(""))
-    ps = F.coalesce(F.col("position"), F.lit(""))
-    base = adp.withColumn("_is_id", F.coalesce(F.col("source") == by_id_source, F.lit(False))) \
-        .withColumn("_is_nm", F.coalesce(F.col("source") == by_name_source, F.lit(False))) \
-        .withColumn("_ps", ps)
-    j = left_lookup(base, id_bridge, F.when(F.col("_is_id"), to_long("source_player_id")), "_id_k")
-    j = left_lookup(j, name_bridge, F.when(F.col("_is_nm"), nm), "_nm_k",
-                    extra_condition=F.col("_ps") == F.col("_ps_k"))
-    resolved = F.when(F.col("source") == by_id_source, F.col("_id_r")) \
-        .when(F.col("source") == by_name_source, F.col("_nm_r"))
-    cols = [resolved.alias(out) if c == out else F.col(c) for c in adp.columns]
-    if out not in adp.columns:
-        cols.append(resolved.alias(out))
-    return j.select(*cols)
+                                          F.coalesce(F.col("position"), F.lit(""))], "gsis_id")
+
+    def finish(df: DataFrame, resolved) -> DataFrame:
+        cols = [resolved.alias(out) if c == out else F.col(c) for c in adp.columns]
+        if out not in adp.columns:
+            cols.append(resolved.alias(out))
+        return df.select(*cols)
+
+    by_id = left_lookup(adp.where(is_id), id_bridge, to_long("source_player_id"), "_k0")
+    by_name = left_lookup(adp.where(is_nm).withColumn("_ps", F.coalesce(F.col("position"), F.lit(""))),
+                          name_bridge, F.nullif(normalize_merge_name("player_name"), F.lit("")), "_k0",
+                          extra_condition=F.col("_ps") == F.col("_k1"))
+    other = adp.where(~is_id & ~is_nm)
+    return (finish(by_id, F.col("_rid"))
+            .unionByName(finish(by_name, F.col("_rid")))
+            .unionByName(finish(other, F.lit(None).cast("string"))))
 
 
 def resolution_rate(df: DataFrame, id_col: str = "gsis_id") -> Column:
