@@ -223,6 +223,37 @@ def sync_coordinators(spark: SparkSession, table: str, pages: DataFrame, source:
                   cluster_by=COORDINATOR_CLUSTER)
 
 
+def coordinator_pages(spark: SparkSession, landed: DataFrame, seasons: list[int],
+                      teams: list[str]) -> DataFrame:
+    """The requested season x team pages (work matrix of the arguments) next
+    to the landed page documents, matched on the page title (spaces and
+    underscores are the same). A page that was not landed, or came back as
+    an error, keeps its row with NULL wikitext and ``missing`` set."""
+    from huddlekit.operators.increment import work_matrix
+    from huddlekit.operators.pages import page_title
+    work = work_matrix(spark, {"season": [int(s) for s in seasons], "team": list(teams)}) \
+        .withColumn("title_key", page_title(F.col("season").cast("long"), "team"))
+    docs = (landed.where(F.col("wikitext").isNotNull())
+            .select(F.replace(F.col("title"), F.lit(" "), F.lit("_")).alias("title_key"), "wikitext")
+            .dropDuplicates(["title_key"]))
+    return (work.join(docs, "title_key", "left")
+            .select(F.col("season").cast("long").alias("season"), "team", "title_key", "wikitext",
+                    F.col("wikitext").isNull().alias("missing")))
+
+
+def sync_coordinators_from_pages(spark: SparkSession, table: str, landed: DataFrame, seasons: list[int],
+                                 teams: list[str]) -> DataFrame:
+    """JOB-3: requested pages -> OC/DC rows upserted; returns the tally
+    (pages requested, found, missing, rows written) as one row."""
+    pages = coordinator_pages(spark, landed, seasons, teams)
+    found = pages.where(~F.col("missing")).withColumn("retrieved_at", F.current_timestamp())
+    n = sync_coordinators(spark, table, found)
+    return pages.agg(F.count(F.lit(1)).alias("requested"),
+                     F.count_if(~F.col("missing")).alias("found"),
+                     F.count_if("missing").alias("missing"),
+                     F.lit(n).cast("long").alias("rows_written"))
+
+
 def run_tallies(log: DataFrame) -> DataFrame:
     """Rows per status in a run log, plus whether the run failed overall
     (nothing succeeded and something failed)."""

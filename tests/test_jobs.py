@@ -143,3 +143,16 @@ def test_page_title_and_clustered(spark):
         "2024_Green_Bay_Packers_season", None]
     c = clustered(spark.range(100).withColumn("k", F.col("id") % 7), ["k"])
     assert c.count() == 100
+
+
+def test_coordinator_job_from_landed_pages(spark, tmp_path):
+    d = tmp_path / "wiki"
+    d.mkdir()
+    (d / "a.json").write_text(json.dumps({"parse": {"title": "2024 Green Bay Packers season",
+        "wikitext": "{{Infobox\n| off_coach = [[Adam Stenavich]]\n| def_coach = [[Jeff Hafley]]\n}}"}}))
+    (d / "b.json").write_text(json.dumps({"error": {"code": "missingtitle"}}))
+    from huddlekit.operators.jobs import sync_coordinators_from_pages
+    from huddlekit.sources.feeds import read_wiki_pages
+    table = _name("coord")
+    t = sync_coordinators_from_pages(spark, table, read_wiki_pages(spark, str(d)), [2023, 2024], ["GB"]).first()
+    assert (t.requested, t.found, t.missing, t.rows_written) == (2, 1, 1, 2)
