@@ -35,3 +35,22 @@ def test_guard_refuses_bad_layouts():
         check_layout(s, ("season",), ())
     with pytest.raises(ValueError, match="at most 4"):
         check_layout(s, (), ("a",) * 5)
+
+
+def test_season_scoped_check_prunes_partitions(spark, tmp_path):
+    import uuid
+
+    from huddlekit.operators.quality import reconcile_check
+    from huddlekit.sources.store import create_table_if_missing
+    name = f"pw_{uuid.uuid4().hex[:10]}"
+    schema = T.StructType([T.StructField("fantasy_points_standard", T.DoubleType()),
+                           T.StructField("receptions", T.LongType()),
+                           T.StructField("fantasy_points_ppr", T.DoubleType()),
+                           T.StructField("season", T.LongType())])
+    create_table_if_missing(spark, name, schema, partition_by=("season",), location=str(tmp_path / name))
+    spark.createDataFrame([(10.0, 2, 12.0, 2024), (5.0, 1, 9.0, 2025)], schema).write.insertInto(name)
+    out = reconcile_check(spark.table(name), season=2025)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan and "(season#" in plan and "= 2025)" in plan
+    r = out.first()
+    assert (r.season, r.n, r.n_unreconciled, r.passed) == (2025, 1, 1, False)
