@@ -57,3 +57,13 @@ def upsert_stream(stream: DataFrame, table: str, keys: list[str], checkpoint: st
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def stage_stream(stream: DataFrame, staging: str, checkpoint: str):
+    """Callback-free variant: land the stream in a Parquet staging folder
+    (the file sink's commit log makes each batch exactly-once), then upsert
+    from the staging folder as a batch with ``sources.store.upsert``. Read the
+    folder back with ``spark.read.parquet(staging)``: the reader follows the
+    sink's log and sees only committed files."""
+    return (stream.writeStream.format("parquet").option("path", staging)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

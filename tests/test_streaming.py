@@ -33,3 +33,24 @@ def test_replay_is_noop_and_dedupe_window(spark, tmp_path):
     upsert_stream(s, name2, ["event_id"], str(tmp_path / "ckpt2")).awaitTermination()
     spark.catalog.refreshTable(name2)
     assert spark.table(name2).count() == 9
+
+
+def test_stage_then_batch_upsert(spark, tmp_path):
+    from huddlekit.sources.store import upsert
+    from huddlekit.streaming.snapshot import stage_stream
+    landing = str(tmp_path / "landing")
+    df = spark.createDataFrame([(i, 1, "view", 1.0, "2024-01-02 00:00:00") for i in range(5)],
+                               "event_id long, user_id long, event_type string, value double, ts string") \
+        .select("event_id", "user_id", "event_type", "value",
+                F.to_timestamp_ntz("ts").alias("captured_at"), F.to_date("ts").alias("capture_day"))
+    df.write.parquet(landing)
+    staging, ckpt = str(tmp_path / "staging"), str(tmp_path / "ckpt")
+    stage_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), staging, ckpt).awaitTermination()
+    stage_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), staging, ckpt).awaitTermination()
+    name = f"st_{uuid.uuid4().hex[:10]}"
+    create_table_if_missing(spark, name, SNAPSHOT_SCHEMA, location=str(tmp_path / "t"))
+    staged = spark.read.parquet(staging)
+    assert staged.count() == 5                      # the rerun added no files
+    upsert(spark, name, staged, ["event_id"])
+    upsert(spark, name, staged, ["event_id"])
+    assert spark.table(name).count() == 5
