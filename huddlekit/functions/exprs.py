@@ -49,6 +49,19 @@ def to_long_in(df: DataFrame, name: str) -> Column:
     return to_long(c)
 
 
+def to_double_in(df: DataFrame, name: str | None) -> Column:
+    """``to_double`` of column ``name`` of ``df`` (a typed NULL when the
+    column is absent), with no text round trip for numeric columns."""
+    from pyspark.sql import types as T
+    if name is None or name not in df.columns:
+        return F.lit(None).cast("double")
+    dtype = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dtype, T.NumericType):
+        return c.cast("double")
+    return to_double(c)
+
+
 def strict_long(x) -> Column:
     """Strict integer parse of a string: digits only (after trim), else NULL."""
     return F.trim(_c(x).cast("string")).try_cast("long")

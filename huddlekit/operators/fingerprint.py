@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from huddlekit.functions.exprs import count_true, is_charted, optional, safe_rate, to_long_in
+from huddlekit.functions.exprs import count_true, is_charted, optional, safe_rate, to_double_in, to_long_in
 from huddlekit.functions.personnel import MODERN_FROM_SEASON, parse_legacy, parse_modern
 
 # The play types a fingerprint is computed over.
@@ -96,7 +96,7 @@ def participation_partials(part: DataFrame, with_personnel: bool = False) -> Dat
     p = part.withColumn("play_id", to_long_in(part, "play_id"))
     mz = optional(p, "defense_man_zone_type", "string")
     charted = is_charted(mz)
-    dib = F.trim(optional(p, "defenders_in_box").cast("string")).try_cast("double")
+    dib = to_double_in(p, "defenders_in_box")
     wp = optional(p, "was_pressure", "boolean")
     aggs = [
         F.count(F.lit(1)).alias("_part_rows"),
@@ -126,8 +126,8 @@ def participation_partials(part: DataFrame, with_personnel: bool = False) -> Dat
 def ftn_partials(ftn: DataFrame) -> DataFrame:
     keys = _keys(ftn)
     f = ftn.withColumn("play_id", to_long_in(ftn, "play_id"))
-    blitzers = F.trim(optional(f, "n_blitzers").cast("string")).try_cast("double")
-    rushers = F.trim(optional(f, "n_pass_rushers").cast("string")).try_cast("double")
+    blitzers = to_double_in(f, "n_blitzers")
+    rushers = to_double_in(f, "n_pass_rushers")
 
     def flag(name: str) -> Column:
         return count_true(F.coalesce(optional(f, name, "boolean"), F.lit(False)))
