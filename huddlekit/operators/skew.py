@@ -42,18 +42,18 @@ def dense_rank_by_value(df: DataFrame, value: str, group: list[str], out: str) -
        number of the group's values in earlier partitions (a small table,
        one row per slice);
     4. join the ranks back on (group, value).
-    The range-partitioned values are checkpointed to the shared checkpoint
-    folder so both uses see the same partition ids (and a lost executor
-    recomputes nothing upstream)."""
-    from huddlekit.session import ensure_checkpoint_dir
+    The range-partitioned values, with their partition id as a column, are
+    written once to the shared checkpoint folder and read back, so both uses
+    see the same partition ids (and a lost executor recomputes nothing
+    upstream)."""
+    from huddlekit.sources.store import _stage
     rankable = F.col(value).isNotNull()
     for g in group:
         rankable = rankable & F.col(g).isNotNull()
     values = df.where(rankable).select(*group, value).distinct()
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = (values.repartitionByRange(*[F.col(g).asc() for g in group], F.col(value).desc())
-               .withColumn("_pid", F.spark_partition_id())
-               .checkpoint(eager=True))
+    ordered = _stage(df.sparkSession,
+                     values.repartitionByRange(*[F.col(g).asc() for g in group], F.col(value).desc())
+                     .withColumn("_pid", F.spark_partition_id()), "rank-slices")
     in_slice = Window.partitionBy("_pid", *group).orderBy(F.col(value).desc())
     local = ordered.withColumn("_local", F.row_number().over(in_slice))
     slices = ordered.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
