@@ -127,8 +127,8 @@ def load_seasons(spark: SparkSession, spec: TableSpec, table: str, seasons: list
         .select(F.lit(spec.name).alias("table_name"), "season", "status", "rows",
                 F.substring("error", 1, 4000).alias("error"), F.current_timestamp().alias("run_at"),
                 F.lit("").alias("version"))
-    append_run_log(log, log_path)
-    return log
+    written = append_run_log(log, log_path)
+    return log.withColumn("log_written", F.lit(written))
 
 
 # --- snapshot jobs -------------------------------------------------------------------
@@ -183,8 +183,8 @@ def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFr
                    F.substring(error, 1, 4000).alias("error"), F.current_timestamp().alias("run_at"),
                    F.lit(snapshot_date).cast("date").alias("snapshot_date")))
     log = _stage(spark, log, "adp-log")
-    append_run_log(log, log_path)
-    return log
+    written = append_run_log(log, log_path)
+    return log.withColumn("log_written", F.lit(written))
 
 
 def sync_bridge(spark: SparkSession, table: str, raw: DataFrame) -> int:
@@ -256,9 +256,12 @@ def sync_coordinators_from_pages(spark: SparkSession, table: str, landed: DataFr
 
 def run_tallies(log: DataFrame) -> DataFrame:
     """Rows per status in a run log, plus whether the run failed overall
-    (nothing succeeded and something failed)."""
-    g = log.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    (nothing succeeded and something failed) and, for the rows a job
+    returned, how many could not be appended to the log."""
+    lost = (F.count_if(~F.col("log_written")) if "log_written" in log.columns else F.lit(0)).alias("_lost")
+    g = log.groupBy("status").agg(F.count(F.lit(1)).alias("n"), lost)
     ok = F.coalesce(F.sum(F.when(F.col("status").isin("success", "empty"), F.col("n"))), F.lit(0))
     bad = F.coalesce(F.sum(F.when(F.col("status") == "failed", F.col("n"))), F.lit(0))
     return g.agg(F.map_from_entries(F.collect_list(F.struct("status", "n"))).alias("by_status"),
-                 ((ok == 0) & (bad > 0)).alias("run_failed"))
+                 ((ok == 0) & (bad > 0)).alias("run_failed"),
+                 F.sum("_lost").cast("long").alias("log_failures"))

@@ -47,7 +47,7 @@ def test_sync_adp_idempotent_with_log(spark, tmp_path):
     spark.catalog.refreshTable(table)
     assert spark.table(table).groupBy("snapshot_date").count().count() == 2
     t = run_tallies(spark.read.parquet(log_path)).first()
-    assert t.by_status == {"success": 3, "empty": 3} and t.run_failed is False
+    assert t.by_status == {"success": 3, "empty": 3} and t.run_failed is False and t.log_failures == 0
 
 
 def test_sync_adp_isolates_a_chunk_with_required_nulls(spark, tmp_path):
