@@ -29,40 +29,47 @@ def legacy_name(first: Column, last: Column) -> Column:
     return F.trim(F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit(""))))
 
 
-DEPTH_COLUMNS = ("season", "week", "team", "gsis_id", "player_name", "position",
-                 "pos_rank", "pos_name", "formation", "pos_slot", "dt", "source_era")
+DEPTH_COLUMNS = ("season", "week", "team", "gsis_id", "player_name", "position", "depth_rank",
+                 "depth_position", "formation", "pos_slot", "source_era")
 
 
 def reconcile_eras(df: DataFrame, season_arg: int | None = None) -> DataFrame:
     """Reconcile the legacy layout (season, week, club_code, first/last name,
     position, depth_team, depth_position, formation) and the modern layout (dt,
-    team, player_name, pos_abb, pos_rank, pos_name, pos_slot) into one core.
+    team, player_name, pos_abb, pos_rank, pos_name, pos_slot) into one core
+    (``DEPTH_COLUMNS``).
 
     Era per row: legacy iff the upstream ``season`` is set. Season precedence:
-    upstream season, then the season of ``dt``, then the load argument.
+    upstream season, then the season of ``dt``, then the load argument. The
+    display name falls back to first + last (so two missing parts give '').
+    ``pos_slot`` is text (its upstream type differs between vintages).
     """
+    from pyspark.sql import types as T
+
+    from huddlekit.operators.contracts import coerce
     up_season = to_long(first_present(df, "season"))
     dt = first_present(df, "dt")
     arg = F.lit(season_arg).cast("long")
     legacy = up_season.isNotNull()
-    name = F.when(legacy, legacy_name(first_present(df, "first_name", dtype="string"),
-                                      first_present(df, "last_name", dtype="string")))
+    name = F.coalesce(first_present(df, "player_name", dtype="string"),
+                      legacy_name(first_present(df, "first_name", dtype="string"),
+                                  first_present(df, "last_name", dtype="string")))
+    slot = coerce(df, "pos_slot", T.StringType()) if "pos_slot" in df.columns else F.lit(None).cast("string")
     return df.select(
         F.coalesce(up_season, season_from_date(dt), arg).alias("season"),
         to_long(first_present(df, "week")).alias("week"),
         F.coalesce(first_present(df, "club_code", dtype="string"),
                    first_present(df, "team", dtype="string")).alias("team"),
         first_present(df, "gsis_id", dtype="string").alias("gsis_id"),
-        F.coalesce(name, first_present(df, "player_name", dtype="string")).alias("player_name"),
+        name.alias("player_name"),
         F.coalesce(first_present(df, "position", dtype="string"),
                    first_present(df, "pos_abb", dtype="string")).alias("position"),
         F.coalesce(to_long(first_present(df, "depth_team")),
-                   to_long(first_present(df, "pos_rank"))).alias("pos_rank"),
+                   to_long(first_present(df, "pos_rank"))).alias("depth_rank"),
         F.coalesce(first_present(df, "depth_position", dtype="string"),
-                   first_present(df, "pos_name", dtype="string")).alias("pos_name"),
+                   first_present(df, "pos_name", dtype="string")).alias("depth_position"),
         first_present(df, "formation", dtype="string").alias("formation"),
-        to_long(first_present(df, "pos_slot", dtype="string")).alias("pos_slot"),
-        dt.alias("dt"),
+        slot.alias("pos_slot"),
         F.when(legacy, F.lit("legacy")).otherwise(F.lit("modern")).alias("source_era"))
 
 

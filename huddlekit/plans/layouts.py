@@ -104,16 +104,16 @@ WITH legacy AS (
          CAST(floor((dayofyear(ts) - 1) / 7) + 1 AS BIGINT) AS week,
          event_type AS team, CAST(user_id AS VARCHAR) AS gsis_id,
          trim('u' || user_id || ' ' || coalesce(CASE WHEN value >= 5 THEN 'n' || event_id END, '')) AS player_name,
-         event_type AS position, CAST(round(value) AS BIGINT) AS pos_rank,
-         substr(props, 7, 1) AS pos_name, 'Offense' AS formation,
-         CAST(NULL AS BIGINT) AS pos_slot, CAST(NULL AS TIMESTAMP) AS dt, 'legacy' AS source_era
+         event_type AS position, CAST(round(value) AS BIGINT) AS depth_rank,
+         substr(props, 7, 1) AS depth_position, 'Offense' AS formation,
+         CAST(NULL AS VARCHAR) AS pos_slot, 'legacy' AS source_era
   FROM events WHERE ts < TIMESTAMP '{ERA_SPLIT}'),
 modern AS (
   SELECT CAST(year(ts) - CASE WHEN month(ts) <= 2 THEN 1 ELSE 0 END AS BIGINT) AS season,
          CAST(NULL AS BIGINT) AS week, event_type AS team, CAST(user_id AS VARCHAR) AS gsis_id,
          'u' || user_id || ' n' || event_id AS player_name, event_type AS position,
-         CAST(round(value) AS BIGINT) AS pos_rank, substr(props, 7, 1) AS pos_name,
-         CAST(NULL AS VARCHAR) AS formation, event_id % 4 AS pos_slot, ts AS dt,
+         CAST(round(value) AS BIGINT) AS depth_rank, substr(props, 7, 1) AS depth_position,
+         CAST(NULL AS VARCHAR) AS formation, CAST(event_id % 4 AS VARCHAR) AS pos_slot,
          'modern' AS source_era
   FROM events WHERE ts >= TIMESTAMP '{ERA_SPLIT}')
 SELECT * FROM (SELECT * FROM legacy UNION ALL SELECT * FROM modern) WHERE season = {CHUNK_SEASON}

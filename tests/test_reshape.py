@@ -64,8 +64,9 @@ def test_two_eras(spark):
     assert out["00-1"].player_name == "Jordan Love" and out["00-1"].source_era == "legacy"
     assert out["00-2"].player_name == ""       # two missing parts: '' not NULL
     assert out["00-3"].season == 2025          # derived from the date, beats the argument
-    assert out["00-3"].team == "KC" and out["00-3"].pos_rank == 1 and out["00-3"].pos_slot == 7
-    assert out["00-1"].pos_rank == 1 and out["00-1"].week == 1
+    assert out["00-3"].team == "KC" and out["00-3"].depth_rank == 1 and out["00-3"].pos_slot == "7"
+    assert out["00-1"].depth_rank == 1 and out["00-1"].week == 1 and out["00-1"].depth_position == "QB"
+    assert "dt" not in reconcile_eras(both).columns
 
 
 @pytest.mark.parametrize("seasons,written,dropped", [([2025, 2025, 2026], 2, 1), ([2025, None], 1, 1),
