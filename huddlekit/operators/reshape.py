@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from huddlekit.functions.exprs import first_present, lenient_date, season_from_date, to_long
 
 
-def unpivot_sides(schedules: DataFrame) -> DataFrame:
+def unpivot_sides(schedules: DataFrame, season: int | None = None) -> DataFrame:
     """One game row with home/away columns -> two team rows (``team``,
     ``opponent``, ``is_home``, ``head_coach``). A single pass: ``inline`` over
-    a two-element array, no union and no second scan. Empty in, empty out."""
+    a two-element array, no union and no second scan. Empty in, empty out.
+    ``season`` stamps the load's season; without it the schedule's own
+    ``season`` column is kept."""
     date = lenient_date(first_present(schedules, "gameday", "game_date", dtype="string"))
     home = F.struct(F.col("home_team").alias("team"), F.col("away_team").alias("opponent"),
                     F.lit(True).alias("is_home"), F.col("home_coach").alias("head_coach"))
     away = F.struct(F.col("away_team").alias("team"), F.col("home_team").alias("opponent"),
                     F.lit(False).alias("is_home"), F.col("away_coach").alias("head_coach"))
     return (schedules
-            .select("game_id", F.col("season").cast("long").alias("season"),
+            .select("game_id", (F.lit(season) if season is not None else F.col("season"))
+                    .cast("long").alias("season"),
                     F.col("week").cast("long").alias("week"), date.alias("game_date"),
                     F.inline(F.array(home, away))))
 
