@@ -25,13 +25,15 @@ def dense_rank_desc(df: DataFrame, value: str, group: tuple[str, ...] | list[str
     return dense_rank_by_value(df, value, list(group), out)
 
 
-def points_weekly(stats: DataFrame, *, rank: bool = True) -> DataFrame:
-    """Player stats -> weekly points. PPR is carried from the feed, never
-    recomputed; half-PPR is derived; rank is by PPR within (season, week,
-    position)."""
+def points_weekly(stats: DataFrame, *, rank: bool = True, season: int | None = None) -> DataFrame:
+    """Player stats -> weekly points. The feed's player id is the gsis id
+    (both are kept); PPR is carried from the feed, never recomputed;
+    half-PPR is derived; rank is by PPR within (season, week, position).
+    ``season`` stamps the load's season instead of the feed's column."""
     df = stats.select(
-        F.col("season").cast("long").alias("season"),
+        (F.lit(season) if season is not None else F.col("season")).cast("long").alias("season"),
         F.col("week").cast("long").alias("week"),
+        F.col("player_id").cast("string").alias("player_id"),
         F.col("player_id").cast("string").alias("gsis_id"),
         F.col("player_name"), F.col("position"), F.col("team"),
         F.col("receptions").cast("long").alias("receptions"),

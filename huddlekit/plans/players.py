@@ -81,7 +81,7 @@ FROM lineitem
 
 POINTS_WEEKLY_SQL = f"""
 WITH s AS ({LINE_STATS_SQL})
-SELECT season, week, gsis_id, player_name, position, team, receptions,
+SELECT season, week, gsis_id AS player_id, gsis_id, player_name, position, team, receptions,
        round(fantasy_points_standard, 6) AS fantasy_points_standard,
        round(fantasy_points_standard + 0.5 * receptions, 6) AS fantasy_points_half_ppr,
        round(fantasy_points_ppr, 6) AS fantasy_points_ppr,
