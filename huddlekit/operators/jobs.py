@@ -206,8 +206,8 @@ def sync_rankings(spark: SparkSession, table: str, rankings: DataFrame) -> int:
 COORDINATOR_SCHEMA = to_struct([
     ColumnSpec("season", "INT64", "REQUIRED"), ColumnSpec("team", "STRING", "REQUIRED"),
     ColumnSpec("role", "STRING", "REQUIRED", valid_values=("OC", "DC")),
-    ColumnSpec("name", "STRING", "REQUIRED"), ColumnSpec("source", "STRING", "REQUIRED"),
-    ColumnSpec("confidence", "FLOAT64", "REQUIRED"), ColumnSpec("retrieved_at", "TIMESTAMP"),
+    ColumnSpec("name", "STRING"), ColumnSpec("source", "STRING"),
+    ColumnSpec("confidence", "FLOAT64"), ColumnSpec("retrieved_at", "TIMESTAMP", "REQUIRED"),
     ingested_at_spec()])
 
 
