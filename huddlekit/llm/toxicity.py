@@ -8,9 +8,9 @@ exactly zero, so the model that is sent to the scoring tasks is a short list
 of (index, weight).
 
 The classifier is fitted on at most ``max_rows`` labelled rows of each class
-(those of the smallest id hash), dealt into a fixed number of shards; each
-epoch every shard runs FTRL from the common state and the states are merged
-per coordinate by a Spark aggregation. Every text is scored whole.
+(those of the smallest id hash), dealt into a fixed number of shards; in each
+round every shard runs FTRL passes from the common state, and the changes are
+averaged per coordinate by a Spark aggregation. Every text is scored whole.
 """
 from __future__ import annotations
 
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from huddlekit.llm.common import WordHash, blobs, cut, mix
 
 BITS = 20
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.6, 0.1
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.1
+LEAST_ROWS = 3      # features of fewer rows of a shard are not learned
 # bytes that are letters or digits, lower-cased; the rest become blanks
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
                for b in range(256))
@@ -67,21 +68,24 @@ def ftrl_weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, w)
 
 
-def ftrl_pass(texts: list[bytes], labels: np.ndarray, cost: np.ndarray, z: np.ndarray, n: np.ndarray) -> None:
-    """One pass over the rows, updating the state in place."""
-    features = Features()
-    bias = np.array([1 << BITS])
-    for text, y, c in zip(texts, labels, cost):
-        idx = np.concatenate([np.unique(features(text)), bias])
-        w = ftrl_weights(z[idx], n[idx])
-        g = c * (sigmoid(w.sum()) - y)
-        sigma = (np.sqrt(n[idx] + g * g) - np.sqrt(n[idx])) / ALPHA
-        z[idx] += g - sigma * w
-        n[idx] += g * g
-
-
-def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows: int = 6000, shards: int = 8,
-                 epochs: int = 3, id_col: str = "doc_id", text_col: str = "text",
+def ftrl_passes(texts: list[bytes], labels: np.ndarray, z: np.ndarray, n: np.ndarray, passes: int) -> None:
+    """Passes over the rows in the given order, updating the state in place."""
+    features, bias = Features(), 1 << BITS
+    rows = [np.unique(features(t)).astype(np.int32) for t in texts]
+    seen = np.bincount(np.concatenate(rows), minlength=bias + 1) if rows else np.zeros(bias + 1)
+    rows = [np.append(r[seen[r] >= LEAST_ROWS], bias) for r in rows]
+    for _ in range(passes):
+        for idx, y in zip(rows, labels):
+            n0 = n[idx]
+            w = ftrl_weights(z[idx], n0)
+            g = sigmoid(w.sum()) - y
+            n1 = n0 + g * g
+            z[idx] += g - (np.sqrt(n1) - np.sqrt(n0)) / ALPHA * w
+            n[idx] = n1
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows: int = 5000, shards: int = 4,
+                 rounds: int = 3, passes: int = 2, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
     """(indices, weights) of the fitted model; the last index is the bias.
 
@@ -105,8 +109,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
     z, n = np.zeros(size), np.zeros(size)
     if len(n_of) < 2:
         return np.empty(0, np.int64), np.empty(0)
-    weight = {0: 1.0, 1: min(20.0, max(1.0, n_of[0] / n_of[1]))}
-    for _ in range(epochs):
+    for _ in range(rounds):
         used = np.flatnonzero(n)
         state = spark.sparkContext.broadcast((used, z[used], n[used]))
 
@@ -115,8 +118,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
             at, z_at, n_at = state.value
             z1[at], n1[at] = z_at, n_at
             part = part.sort_values(["order", "text"])
-            y = part["y"].to_numpy(float)
-            ftrl_pass([t.encode() for t in part["text"]], y, np.where(y > 0, weight[1], weight[0]), z1, n1)
+            ftrl_passes([t.encode() for t in part["text"]], part["y"].to_numpy(float), z1, n1, passes)
             z0, n0 = np.zeros(size), np.zeros(size)
             z0[at], n0[at] = z_at, n_at
             idx = np.flatnonzero(n1 != n0)
@@ -124,9 +126,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
 
         merged = (sample.groupBy("shard").applyInPandas(learn, "idx long, dz double, dn double")
                   .groupBy("idx").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn"))
-                  .toPandas())    # at most 2**BITS + 1 rows
-        z[merged["idx"]] += merged["dz"]
-        n[merged["idx"]] += merged["dn"]
+                  .toArrow())    # at most 2**BITS + 1 rows
+        idx = merged["idx"].to_numpy()
+        z[idx] += merged["dz"].to_numpy()
+        n[idx] += merged["dn"].to_numpy()
         state.destroy()
     w = ftrl_weights(z, n)
     idx = np.flatnonzero(w)
