@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from huddlekit.llm import license_scan, mixing, sharding, token_counts, toxicity
+from huddlekit.llm import jaccard_join, license_scan, mixing, sharding, token_counts, toxicity
 from huddlekit.llm.common import read
 
 
@@ -15,6 +15,10 @@ def id_crc(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_mix_sources": op2_mix_sources,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
