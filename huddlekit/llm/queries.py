@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from huddlekit.llm import jaccard_join, license_scan, mixing, sharding, token_counts, toxicity
+from huddlekit.llm import decontamination, hmm, jaccard_join, license_scan, mixing, sharding, token_counts, toxicity
 from huddlekit.llm.common import read
 
 
@@ -23,6 +23,14 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.hmm_scores(read(spark, sf_dir, "documents"), id_crc() % 5 == 1)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = id_crc() % 5 == 0
@@ -49,6 +57,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_mix_sources": op2_mix_sources,
+    "op4_hidden_markov": op4_hidden_markov,
+    "op5_decontamination": op5_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_license_scan": op9_license_scan,
