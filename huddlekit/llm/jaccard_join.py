@@ -417,14 +417,13 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, id_col
 
 def one_per_component(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component kept: the row whose id is the
-    component id. Rows without shingles are kept; of rows repeating the kept
-    id, the one with the smallest text stays; rows with a null id are kept
-    only if nothing in their component has an id (then the smallest text)."""
+    """``docs`` without the rows whose component holds a smaller id: of each
+    group of near copies the row with the smallest id stays. Rows without
+    shingles or with a null id stay, and rows repeating a kept id stay with
+    it."""
     found = jaccard_components(docs, k=k, percent=percent, id_col=id_col, text_col=text_col)
-    losers = (found.filter("n_shingles > 0 and (doc_id is null or doc_id <> component_id)")
-              .select(F.col("doc_id").alias("lost_id")).distinct())
-    winners = found.filter("n_shingles > 0 and doc_id = component_id").select(F.col("doc_id").alias("lost_id"))
-    # an id can be repeated: it is lost only if it wins nowhere
-    lost = losers.join(winners.distinct(), "lost_id", "left_anti")
+    # an id can be repeated: it is lost only if no row of it is kept
+    lost = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("lost_id"))
+               .agg(F.min((F.col("doc_id") != F.col("component_id")).cast("int")).alias("lost"))
+               .filter("lost = 1").select("lost_id"), "lost")
     return docs.join(lost, docs[id_col].cast("long") == F.col("lost_id"), "left_anti")

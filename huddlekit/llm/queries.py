@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from huddlekit.llm import decontamination, hmm, jaccard_join, license_scan, mixing, sharding, token_counts, toxicity
+from huddlekit.llm import decontamination, hmm, jaccard_join, license_scan, mixing, sharding, token_counts, toxicity, vector_tree, warc
 from huddlekit.llm.common import read
 
 
@@ -23,6 +23,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read(spark, sf_dir, "pages"), least_bytes=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.hmm_scores(read(spark, sf_dir, "documents"), id_crc() % 5 == 1)
 
@@ -31,6 +36,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tree.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = id_crc() % 5 == 0
@@ -57,8 +66,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_mix_sources": op2_mix_sources,
+    "op3_warc": op3_warc,
     "op4_hidden_markov": op4_hidden_markov,
     "op5_decontamination": op5_decontamination,
+    "op6_vector_tree": op6_vector_tree,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_license_scan": op9_license_scan,

@@ -173,3 +173,10 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, id_
             yield pa.RecordBatch.from_arrays([b.column(0), s], names=["doc_id", "score"])
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return src.mapInArrow(run, "doc_id long, score double")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, usable: Column, *, threshold: float = 0.5,
+                  **options) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more."""
+    model = fit_toxicity(docs, labels, usable, **options)
+    return score_toxicity(docs, model, carry=True).filter(F.col("toxic_score") < threshold).select(*docs.columns)
