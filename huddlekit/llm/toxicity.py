@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from huddlekit.llm.common import WordHash, blobs, cut, mix
 
@@ -157,14 +158,15 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, id_
     if carry:
         name = "toxic_score"
         docs = docs.drop(name)
-        at, schema = docs.columns.index(text_col), docs.schema
+        at = docs.columns.index(text_col)
+        schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
         def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             score = scorer()
             for b in batches:
                 s = pa.array([score(t) for t in blobs(b.column(at))], pa.float64())
                 yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*b.schema.names, name])
-        return docs.mapInArrow(run_all, schema.add(name, "double"))
+        return docs.mapInArrow(run_all, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer()
