@@ -13,7 +13,7 @@ one class; the join runs over classes and is exact up to hash collisions:
    leave room for a link. A long list is thereby spread over many tasks.
    Inside a meeting, entries pass a length, a position and a difference
    filter (a 256-bit parity map whose Hamming distance never exceeds the
-   size of the symmetric difference).
+   size of the symmetric difference; survivors pass a wider one).
 3. Answer-level skipping: a first round verifies only each entry's nearest
    partner. Sets it connects share a component, so no pair inside one is
    looked at again. Of the pairs left between components, those of the
@@ -61,6 +61,24 @@ def parity_map(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1).tobytes()
 
 
+def wide_map(s: np.ndarray) -> bytes:
+    """A parity map whose width grows with the set (256 bits, 2048 beyond 400
+    shingles, 16384 beyond 4000)."""
+    bits = 8 if len(s) <= 400 else 11 if len(s) <= 4000 else 14
+    return np.packbits(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1).tobytes()
+
+
+def map_distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two wide maps, the wider folded by exclusive or."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) == len(b):
+        return int(np.bitwise_count(a ^ b).sum())
+    if len(a) < len(b):
+        a, b = b, a
+    folded = np.packbits(np.bitwise_xor.reduce(np.unpackbits(a).reshape(8 * len(b), -1), axis=1))
+    return int(np.bitwise_count(folded ^ b).sum())
+
+
 def may_link(n1, n2, delta, percent: int):
     """Whether a symmetric difference of ``delta`` still allows a link; with
     the exact difference, whether the sets link."""
@@ -136,19 +154,19 @@ def classes_with_prefixes(docs: DataFrame, rank: np.ndarray, k: int, percent: in
                     continue
                 size = len(s) - -(-percent * len(s) // 100) + 1
                 first = np.lexsort((s, order[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:size]
-                rows.append((doc_id, signature(s), len(s), key, s[first].tobytes(), parity_map(s)))
-            cols = list(zip(*rows)) if rows else [[]] * 6
+                rows.append((doc_id, signature(s), len(s), key, s[first].tobytes(), parity_map(s), wide_map(s)))
+            cols = list(zip(*rows)) if rows else [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(),
-                                                       pa.binary()))],
-                names=["doc_id", "sig", "n", "text_key", "prefix", "parity"])
+                                                       pa.binary(), pa.binary()))],
+                names=["doc_id", "sig", "n", "text_key", "prefix", "parity", "wide"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
-        run, "doc_id long, sig binary, n long, text_key long, prefix binary, parity binary")
+        run, "doc_id long, sig binary, n long, text_key long, prefix binary, parity binary, wide binary")
     # all rows of a class agree on n, prefix and parity; text_key is that of one of them
     merged = rows.groupBy("sig").agg(F.min("doc_id").alias("min_doc"), F.min("n").alias("n"),
                                      F.min("text_key").alias("text_key"), F.first("prefix").alias("prefix"),
-                                     F.first("parity").alias("parity"))
+                                     F.first("parity").alias("parity"), F.first("wide").alias("wide"))
     return cut(merged.select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
 
 
@@ -279,10 +297,25 @@ def candidate_pairs(tagged: DataFrame, percent: int, nearest: bool) -> DataFrame
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def still_possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide maps still allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            far = [map_distance(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
+            ok = may_link(b.column(2).to_numpy(), b.column(3).to_numpy(), np.array(far, np.int64), percent)
+            yield b.select([0, 1]).filter(pa.array(np.asarray(ok, bool)))
+
+    def side(x: str) -> DataFrame:
+        return classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "wide_a", "wide_b")
+    return both.mapInArrow(run, "a long, b long")
+
+
 # ---- verification ------------------------------------------------------------------------------
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """``cid, n, items`` of the wanted classes, from one more pass over the
+    """``sig, items`` of the wanted classes, from one more pass over the
     texts. A fixed-size filter over hashed text keys keeps other texts from
     being hashed and shuffled; the join on signatures is exact."""
     bucket = F.pmod("text_key", F.lit(1 << FILTER_BITS))
@@ -301,11 +334,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     reread = docs.select("text", F.pmod(F.xxhash64("text"), F.lit(1 << FILTER_BITS)).alias("k"))
     rows = reread.mapInArrow(run, "sig binary, items binary")
-    return rows.join(wanted.select("sig", "cid", "n"), "sig").dropDuplicates(["cid"]).select("cid", "n", "items")
+    return rows.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"])
 
 
-def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, na, nb, delta``: exact symmetric differences of pairs."""
+def differences(pairs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``a, b, na, nb, delta``: exact symmetric differences of pairs. Pairs
+    meet the sets by signature, the key the sets are already dealt by."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             delta = []
@@ -319,16 +353,20 @@ def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(delta, pa.int64())],
                                              names=["a", "b", "na", "nb", "delta"])
 
-    one = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("items").alias("sa"))
-    two = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("items").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
+    def named(x: str) -> DataFrame:
+        return wanted.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"sig_{x}"))
+
+    keyed = pairs.join(named("a"), "a").join(named("b"), "b")
+    both = keyed.join(sets.select(F.col("sig").alias("sig_a"), F.col("items").alias("sa")), "sig_a") \
+                .join(sets.select(F.col("sig").alias("sig_b"), F.col("items").alias("sb")), "sig_b") \
+                .select("a", "b", "na", "nb", "sa", "sb")
     return both.mapInArrow(run, "a long, b long, na long, nb long, delta long")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, name: str) -> DataFrame:
     ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     wanted = cut(classes.select("cid", "sig", "n", "text_key").join(ends, "cid"), "wanted")
-    return cut(differences(pairs, sets_of(docs, wanted, k)), name)
+    return cut(differences(pairs, sets_of(docs, wanted, k), wanted), name)
 
 
 def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -338,7 +376,8 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     tagged = cut(meetings(lists, percent).join(classes.select("cid", "parity"), "cid"), "meetings")
     linked = may_link(F.col("na"), F.col("nb"), F.col("delta"), percent)
 
-    near = cut(candidate_pairs(tagged.withColumn("comp", F.col("cid")), percent, nearest=True), "near")
+    near = candidate_pairs(tagged.withColumn("comp", F.col("cid")), percent, nearest=True)
+    near = cut(still_possible(near, classes, percent), "near")
     first = verified(docs, near, classes, k, "differences").withColumn("linked", linked)
     links = first.filter("linked").select("a", "b")
     labels = components(links)
@@ -346,7 +385,8 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     named = (tagged.join(labels.withColumnRenamed("v", "cid"), "cid", "left")
              .withColumn("comp", F.coalesce("root", "cid")).drop("root"))
     left = candidate_pairs(named, percent, nearest=False)
-    left = cut(left.join(first.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    left = left.join(first.select("a", "b"), ["a", "b"], "left_anti")
+    left = cut(still_possible(left, classes, percent), "rest")
     if left.isEmpty():
         return links
     return links.unionByName(derived_links(docs, left, first, classes, k, percent))
@@ -408,7 +448,8 @@ def jaccard_components(docs: DataFrame, *, k: int = 3, percent: int = 90, id_col
                    .withColumn("root", F.coalesce("root", "cid"))
     smallest = named.groupBy("root").agg(F.min("min_doc").alias("component_id"))
     size = members.filter("sig is not null").groupBy("sig").agg(F.count(F.lit(1)).alias("class_size"))
-    by_sig = named.join(smallest, "root").join(size, "sig").select("sig", "component_id", "class_size")
+    # written first, so that both sides of the next join are plain and a hot class can be split
+    by_sig = cut(named.join(smallest, "root").join(size, "sig").select("sig", "component_id", "class_size"), "named")
     found = members.filter("sig is not null").join(by_sig, "sig").drop("sig")
     alone = members.filter("sig is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"),
                                                  F.lit(1).cast("long").alias("class_size"))
