@@ -220,7 +220,7 @@ class Encoder:
         self.log_c = np.append(np.log10(counts + 0.5), np.zeros(len(tail)))
         own = self.class_of < classes.first      # a class of one word: P(word | class) = 1
         self.log_word = np.where(own, 0.0, self.log_c - log_den[self.class_of])
-        self.known = np.append(np.ones(len(words)), np.zeros(len(tail)))
+        self.known = np.append(counts > 0, np.zeros(len(tail)))
 
     def __call__(self, text: bytes | None):
         words = words_of(text or b"")
@@ -355,9 +355,12 @@ def hmm_scores(docs: DataFrame, held_out: Column, *, states: int = 6, head: int
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(sums["n"]), int(sums["v"])
 
-    top = counts.orderBy(F.desc("c"), "word").limit(table).toArrow()
-    words, times = top["word"].to_pylist(), top["c"].to_numpy().astype(float)
-    classes = Classes([w for w in words if w != END][:head], spread)
+    is_end = F.col("word") == F.lit(bytearray(END))
+    ends = counts.filter(is_end).first()        # the end is in the table however rare it is
+    top = counts.filter(~is_end).orderBy(F.desc("c"), "word").limit(table).toArrow()
+    words = [END, *top["word"].to_pylist()]
+    times = np.append(ends["c"] if ends else 0, top["c"].to_numpy()).astype(float)
+    classes = Classes(words[1:head + 1], spread)
     by_class = counts.mapInArrow(class_totals(classes), "class long, n long, v long").groupBy("class").agg(
         F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow()      # at most one row per class
     total, kinds = np.zeros(classes.size), np.zeros(classes.size)

@@ -77,25 +77,32 @@ def pack_shards(docs: DataFrame, n_shards: int = 16, *, heavy_share: int = 200,
     pieces_of: dict[str, int] = {}
     for r in sorted(heavy_rows, key=lambda r: r["key"]):
         # rows are whole: a group that is one row cannot be cut
-        pieces = min(int(r["rows"]), 4 * int(np.ceil(r["share"]))) if r["share"] > 1 else 1
-        pieces_of[r["key"]] = pieces
-        for p in range(pieces):
-            names.append((r["key"], p, 0))
-            sizes.append([r[d] / pieces for d in DIMS])
+        pieces_of[r["key"]] = min(int(r["rows"]), 8 * int(np.ceil(r["share"]))) if r["share"] > 1 else 1
+        if pieces_of[r["key"]] == 1:
+            names.append((r["key"], 0, 0))
+            sizes.append([float(r[d]) for d in DIMS])
+    many = spark.createDataFrame([(bytearray.fromhex(k), n) for k, n in pieces_of.items()],
+                                 "group_key binary, pieces int")
+    piece = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece")
+    if max(pieces_of.values(), default=1) > 1:      # at most 8 pieces for each shard's worth
+        cut_groups = (rows.join(F.broadcast(many.filter("pieces > 1")), "group_key")
+                      .groupBy(F.hex("group_key").alias("key"), piece)
+                      .agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")))
+        for r in sorted(cut_groups.collect(), key=lambda r: (r["key"], r["piece"])):
+            names.append((r["key"], r["piece"], 0))
+            sizes.append([float(r[d]) for d in DIMS])
     for r in sorted(bundles, key=lambda r: r["bundle"]):
         names.append((None, 0, r["bundle"]))
         sizes.append([float(r[d]) for d in DIMS])
     shards = place(np.array(sizes, float).reshape(-1, len(DIMS)), n_shards)
 
-    heavy_to = spark.createDataFrame([(bytearray.fromhex(k), p, pieces_of[k], int(s))
+    heavy_to = spark.createDataFrame([(bytearray.fromhex(k), p, int(s))
                                       for (k, p, _), s in zip(names, shards) if k is not None],
-                                     "group_key binary, piece int, pieces int, heavy_shard int")
+                                     "group_key binary, piece int, heavy_shard int")
     bundle_to = spark.createDataFrame([(b, int(s)) for (k, _, b), s in zip(names, shards) if k is None],
                                       "bundle int, bundle_shard int")
-    many = heavy_to.select("group_key", "pieces").distinct()
-    piece = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.coalesce("pieces", F.lit(1))).cast("int")
     placed = (rows.join(F.broadcast(many), "group_key", "left").withColumn("piece", piece)   # bounded: see above
-              .join(F.broadcast(heavy_to.drop("pieces")), ["group_key", "piece"], "left")
+              .join(F.broadcast(heavy_to), ["group_key", "piece"], "left")
               .withColumn("bundle", bundle).join(F.broadcast(bundle_to), "bundle", "left")
               .select("doc_id", "size", "text_crc32", "tokens",
                       F.coalesce("heavy_shard", "bundle_shard").alias("shard")))
