@@ -16,11 +16,14 @@ def test_entry_smoke(spark):
     assert "plays" in df.columns and "man_rate" in df.columns
 
 
+OWN = sorted(set(E.queries()) - set(E.LLM_QUERIES))
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(OWN) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_runs(spark, name):
     df = E.queries()[name](spark, SF)
     schema = df.schema
