@@ -44,7 +44,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 class WordHash(dict):
     """word bytes -> 64-bit hash, memoized up to a fixed number of words."""
 
-    LIMIT = 1_000_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

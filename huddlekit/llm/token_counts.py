@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from huddlekit.llm.common import blobs
 
 BATCH_BYTES = 1 << 18      # bytes of text given to the library at once
-REMEMBERED = 500_000       # parts whose length is kept by a task
+REMEMBERED = 200_000       # parts whose length is kept by a task
 REMEMBERED_BYTES = 64      # longer parts are not kept
 
 
