@@ -21,7 +21,9 @@ def to_double(x) -> Column:
 
 
 def _try_double(c: Column) -> Column:
-    return F.trim(c.cast("string")).try_cast("double")
+    text = F.trim(c.cast("string"))
+    # Java's number suffixes ('8658d', '1f') are junk here
+    return F.when(~text.rlike(r"[0-9.][dDfF]$"), text.try_cast("double"))
 
 
 def to_long(x) -> Column:
