@@ -1,5 +1,6 @@
 """Data-quality checks returned as DataFrames of ``(check, passed, ...)`` rows.
-Each check is one aggregation pass; zero rows in scope is a failure."""
+Each check is one aggregation pass. Zero rows in scope is a failure: a grouped
+report over an empty scope holds one failed row (n = 0), never no row."""
 from __future__ import annotations
 
 from functools import reduce
@@ -32,15 +33,27 @@ def scoped(df: DataFrame, season: int | None, column: str = "season") -> DataFra
     return df if season is None else df.where(F.col(column) == F.lit(season))
 
 
+def _or_failed(report: DataFrame, rows: DataFrame, *checks: str) -> DataFrame:
+    """``report``, plus one failed row per check when ``rows`` is empty
+    (found by reading a single row)."""
+    none = rows.limit(1).agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+    none = none.select("n", F.explode(F.array(*[F.lit(c) for c in checks])).alias("check"),
+                       F.lit(False).alias("passed"))
+    return report.unionByName(none.select(*[
+        (F.col(f.name) if f.name in none.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in report.schema.fields]))
+
+
 def resolution_check(df: DataFrame, *, source: str = "source", id_col: str = "gsis_id",
                      floor: float = RESOLUTION_FLOOR, season: int | None = None) -> DataFrame:
     """Resolved share per source against a floor; report ordered by source."""
-    g = scoped(df, season).groupBy(source).agg(F.count(F.lit(1)).alias("n"),
-                               F.count(id_col).alias("n_resolved"))
+    rows = scoped(df, season)
+    g = rows.groupBy(source).agg(F.count(F.lit(1)).alias("n"), F.count(id_col).alias("n_resolved"))
     rate = F.try_divide(F.col("n_resolved").cast("double"), F.col("n").cast("double"))
-    return g.select(F.concat(F.lit("resolution_rate["), F.col(source), F.lit("]")).alias("check"),
-                    "n", "n_resolved", F.round(rate, 6).alias("rate"),
-                    (F.coalesce(rate, F.lit(0.0)) >= floor).alias("passed")).orderBy("check")
+    report = g.select(F.concat(F.lit("resolution_rate["), F.col(source), F.lit("]")).alias("check"),
+                      "n", "n_resolved", F.round(rate, 6).alias("rate"),
+                      (F.coalesce(rate, F.lit(0.0)) >= floor).alias("passed"))
+    return _or_failed(report, rows, "resolution_rate").orderBy("check")
 
 
 def grain_checks(df: DataFrame, grain: list[str], name: str, *, season: int | None = None) -> DataFrame:
@@ -60,11 +73,16 @@ def grain_checks(df: DataFrame, grain: list[str], name: str, *, season: int | No
 def reconcile_check(df: DataFrame, *, by: str = "season", standard: str = "fantasy_points_standard",
                     receptions: str = "receptions", ppr: str = "fantasy_points_ppr",
                     tol: float = RECONCILE_TOLERANCE, season: int | None = None) -> DataFrame:
+    """Only rows with all three values can be checked and count towards n;
+    a group without any such row fails."""
+    rows = scoped(df, season)
+    known = F.col(standard).isNotNull() & F.col(receptions).isNotNull() & F.col(ppr).isNotNull()
     bad = F.abs((F.col(standard) + F.col(receptions)) - F.col(ppr)) > tol
-    return (scoped(df, season).groupBy(by).agg(F.count(F.lit(1)).alias("n"),
-                               F.count_if(bad).cast("long").alias("n_unreconciled"))
-            .select(F.lit("ppr_reconciles").alias("check"), by, "n", "n_unreconciled",
-                    ((F.col("n_unreconciled") == 0) & (F.col("n") > 0)).alias("passed")))
+    report = (rows.groupBy(by).agg(F.count_if(known).cast("long").alias("n"),
+                                   F.count_if(known & bad).cast("long").alias("n_unreconciled"))
+              .select(F.lit("ppr_reconciles").alias("check"), by, "n", "n_unreconciled",
+                      ((F.col("n_unreconciled") == 0) & (F.col("n") > 0)).alias("passed")))
+    return _or_failed(report, rows, "ppr_reconciles")
 
 
 def rate_denominator_checks(df: DataFrame, *, by: str = "season",
@@ -75,14 +93,16 @@ def rate_denominator_checks(df: DataFrame, *, by: str = "season",
     for rate, den in pairs:
         aggs.append(F.count_if(F.col(rate).isNotNull() & F.col(den).isNull()).alias(f"{rate}__nd"))
         aggs.append(F.count_if(F.col(rate).isNotNull() & (F.col(rate) > 1.0)).alias(f"{rate}__o1"))
-    g = scoped(df, season).groupBy(by).agg(*aggs)
+    scope = scoped(df, season)
+    g = scope.groupBy(by).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(f"scheme_denominators[{rate}]").alias("check"),
                               F.col(f"{rate}__nd").cast("long").alias("null_denominator"),
                               F.col(f"{rate}__o1").cast("long").alias("over_one"))
                      for rate, _ in pairs])
-    return (g.select(by, "n", F.inline(rows))
-            .withColumn("passed", (F.col("null_denominator") == 0) & (F.col("over_one") == 0)
-                        & (F.col("n") > 0)))
+    report = (g.select(by, "n", F.inline(rows))
+              .withColumn("passed", (F.col("null_denominator") == 0) & (F.col("over_one") == 0)
+                          & (F.col("n") > 0)))
+    return _or_failed(report, scope, *[f"scheme_denominators[{rate}]" for rate, _ in pairs])
 
 
 def fill_matrix_check(df: DataFrame, filled, *, by: str = "season", zero_groups=(),
@@ -94,8 +114,9 @@ def fill_matrix_check(df: DataFrame, filled, *, by: str = "season", zero_groups=
     rate = F.col("n_filled") / F.col("n")
     zero = F.col(by).isin(*zero_groups) if zero_groups else F.lit(False)
     ok = F.when(zero, F.abs(rate) <= tolerance).otherwise(rate <= ceiling + tolerance)
-    return g.select(F.lit("fill_matrix").alias("check"), by, "n", "n_filled",
-                    F.round(rate, 6).alias("fill_rate"), ok.alias("passed")).orderBy(by)
+    report = g.select(F.lit("fill_matrix").alias("check"), by, "n", "n_filled",
+                      F.round(rate, 6).alias("fill_rate"), ok.alias("passed"))
+    return _or_failed(report, df, "fill_matrix").orderBy(by)
 
 
 def summarize(*checks: DataFrame) -> DataFrame:

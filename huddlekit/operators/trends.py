@@ -23,9 +23,11 @@ def day_over_day(daily: DataFrame, keys: list[str], day: str, value: str) -> Dat
 
 def stints(seq: DataFrame, keys: list[str], order: str, label: str) -> DataFrame:
     """Consecutive runs of the same ``label`` per entity (gaps and islands).
-    A label that returns after another one starts a new stint."""
+    A label that returns after another one starts a new stint; adjacent NULL
+    labels are one stint."""
     w = Window.partitionBy(*keys).orderBy(order)
-    changed = F.coalesce(F.lag(label).over(w) != F.col(label), F.lit(True)).cast("int")
+    first = F.row_number().over(w) == 1
+    changed = (first | ~F.lag(label).over(w).eqNullSafe(F.col(label))).cast("int")
     marked = seq.withColumn("_chg", changed).withColumn(
         "stint_no", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
     return marked.drop("_chg")

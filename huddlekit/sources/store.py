@@ -8,7 +8,7 @@ assumed).
   pruning through a semi-join, no collect), stage those, then overwrite just
   those partitions. Re-running the same batch is a no-op.
 * ``replace_season``: keep the chunk's own season (foreign and NULL seasons
-  dropped and counted on the same pass), stage it, then a static
+  dropped and counted on the same pass), stage it, check it, then a static
   ``INSERT OVERWRITE ... PARTITION (season=S)``, which also clears a season
   that became empty.
 
@@ -131,12 +131,16 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
     An empty batch is a no-op. With ``cluster_by`` the rewritten rows are
     range-partitioned and sorted on (partition columns, cluster columns), so
     files cover narrow key ranges and a large partition is written by many
-    tasks."""
+    tasks. Partition columns must be keys: otherwise a key whose row moves to
+    another partition would stay behind in the old one."""
     target = spark.table(table)
     cols = target.columns
     missing = [k for k in keys if k not in cols]
     if missing:
         raise ValueError(f"merge keys not in schema: {missing}")
+    loose = [c for c in partition_by if c not in keys]
+    if loose:
+        raise ValueError(f"partition columns must be merge keys: {loose}")
     # stage once, then validate the written copy: the batch's lineage is
     # computed a single time however many checks run on it
     obs = Observation("staged")
@@ -153,20 +157,13 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
     if cluster_by:
         merged_rows = clustered(merged_rows, [*partition_by, *cluster_by])
     merged = _stage(spark, merged_rows, "merged")
-    merged.createOrReplaceTempView("_huddlekit_merged")
-    if partition_by:
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            data_cols = [c for c in cols if c not in partition_by] + list(partition_by)
-            spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} PARTITION ("
-                      + ", ".join(f"`{c}`" for c in partition_by) + ") SELECT "
-                      + ", ".join(f"`{c}`" for c in data_cols) + " FROM _huddlekit_merged")
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    else:
-        spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} SELECT * FROM _huddlekit_merged")
-    spark.catalog.dropTempView("_huddlekit_merged")
+    # the mode is an option of this write, not a session setting
+    spark.catalog.refreshTable(table)
+    scope = (" WITH (partitionOverwriteMode = 'dynamic') PARTITION ("
+             + ", ".join(f"`{c}`" for c in partition_by) + ")") if partition_by else ""
+    data_cols = [c for c in cols if c not in partition_by] + list(partition_by)
+    spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)}{scope} SELECT * FROM {{rows}}",
+              rows=merged.select(*data_cols))
     spark.catalog.refreshTable(table)
     return n
 
@@ -175,40 +172,44 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
 class WriteSeasonResult:
     written: int
     dropped: int
-    offending: tuple
+    offending: DataFrame | None   # foreign seasons with their row counts
 
 
 def replace_season(spark: SparkSession, table: str, df: DataFrame, season: int,
-                   *, column: str = "season", required: tuple[str, ...] = ()) -> WriteSeasonResult:
+                   *, column: str = "season", required: tuple[str, ...] = (),
+                   cluster_by: tuple[str, ...] = ()) -> WriteSeasonResult:
     """Replace partition ``column = season`` of ``table`` with the rows of
     ``df`` that belong to it. A frame without the season column is taken to
-    be the chunk itself."""
-    target_cols = spark.table(table).columns
-    data_cols = [c for c in target_cols if c != column]
+    be the chunk itself. Columns the frame lacks become typed NULLs."""
+    target = spark.table(table).schema
+    data_cols = [f for f in target.fields if f.name != column]
     if column in df.columns:
         belongs = F.coalesce(F.col(column) == F.lit(season), F.lit(False))
         obs = Observation("season_guard")
         observed = df.observe(obs, F.count_if(belongs).alias("written"),
-                              F.count_if(~belongs).alias("dropped"),
-                              F.sort_array(F.collect_set(F.when(~belongs, F.col(column).cast("string"))))
-                              .alias("offending"))
+                              F.count_if(~belongs).alias("dropped"))
         # the guard's counts come from the same pass that stages the rows
         st = _stage(spark, observed.withColumn("_keep", belongs), "season")
         keep = st.where("_keep").drop("_keep")
         check_required(keep, [c for c in required if c in keep.columns])
         m = obs.get
-        result = WriteSeasonResult(int(m["written"]), int(m["dropped"]), tuple(m["offending"] or ()))
+        foreign = st.where(~F.col("_keep")).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+        result = WriteSeasonResult(int(m["written"]), int(m["dropped"]), foreign)
     else:
         keep = _stage(spark, df, "season")
         check_required(keep, [c for c in required if c in keep.columns])
-        result = WriteSeasonResult(keep.count(), 0, ())
-    sel = ", ".join((f"`{c}`" if c in keep.columns else f"CAST(NULL AS STRING) AS `{c}`")
-                    if c != INGESTED_AT or c in keep.columns else "current_timestamp()"
-                    for c in data_cols)
-    keep.createOrReplaceTempView("_huddlekit_season")
+        result = WriteSeasonResult(keep.count(), 0, None)
+
+    def value(f: T.StructField):
+        if f.name in keep.columns:
+            return F.col(f.name)
+        return F.current_timestamp() if f.name == INGESTED_AT else F.lit(None).cast(f.dataType)
+
+    rows = keep.select(*[value(f).alias(f.name) for f in data_cols])
+    if cluster_by:
+        rows = clustered(rows, cluster_by)
     spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} PARTITION (`{column}` = {int(season)}) "
-              f"SELECT {sel} FROM _huddlekit_season")
-    spark.catalog.dropTempView("_huddlekit_season")
+              "SELECT * FROM {rows}", rows=rows)
     spark.catalog.refreshTable(table)
     return result
 
@@ -222,17 +223,16 @@ def replaced(existing: DataFrame, chunk: DataFrame, season: int, column: str = "
 # --- run logs -----------------------------------------------------------------
 
 RUN_STATUSES = ("success", "empty", "failed")
-ERROR_LIMIT = 4000
 
 
 def run_log_rows(chunks: DataFrame, status, rows=None, error=None, version: str = "") -> DataFrame:
-    """Run-log rows for chunks: status, rows written, error text capped at
-    4000 characters, run time and code version."""
+    """Run-log rows for chunks: status, rows written, the whole error text,
+    run time and code version."""
     def c(x):
         return x if not isinstance(x, (str, int, type(None))) else F.lit(x)
     return chunks.select("*", c(status).cast("string").alias("status"),
                          c(rows).cast("long").alias("rows"),
-                         F.substring(c(error).cast("string"), 1, ERROR_LIMIT).alias("error"),
+                         c(error).cast("string").alias("error"),
                          F.current_timestamp().alias("run_at"), F.lit(version).alias("version"))
 
 

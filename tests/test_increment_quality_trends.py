@@ -50,6 +50,30 @@ def test_checks(spark):
     assert (s.checks, s.passed_checks, s.all_passed) == (4, 1, False)
 
 
+def test_an_empty_scope_fails_every_check(spark):
+    pts = spark.createDataFrame([(2024, None, 3, 13.0)], "season int, fantasy_points_standard double, "
+                                "receptions long, fantasy_points_ppr double")
+    r = reconcile_check(pts).first()
+    assert (r.n, r.passed) == (0, False)                 # nothing that could be checked
+    adp = spark.createDataFrame([("ffc", "a", 2024)], "source string, gsis_id string, season int")
+    fp = spark.createDataFrame([(2024, 0.5, 2)], "season int, man_rate double, plays_charted_coverage long")
+    pairs = (("man_rate", "plays_charted_coverage"),)
+    empty = [resolution_check(adp, season=2099), reconcile_check(pts, season=2099),
+             rate_denominator_checks(fp, pairs=pairs, season=2099),
+             fill_matrix_check(fp.limit(0), F.col("man_rate").isNotNull())]
+    for check in empty:
+        assert [(x.n, x.passed) for x in check.collect()] == [(0, False)]
+    s = summarize(resolution_check(adp, season=2024), *empty).first()
+    assert (s.checks, s.passed_checks, s.all_passed) == (5, 1, False)
+
+
+def test_stints_null_labels_run_together(spark):
+    seq = spark.createDataFrame([("GB", 1, None), ("GB", 2, None), ("GB", 3, "B"), ("GB", 4, None)],
+                                "team string, wk int, coach string")
+    got = [(r.wk, r.stint_no) for r in stints(seq, ["team"], "wk", "coach").orderBy("wk").collect()]
+    assert got == [(1, 1), (2, 1), (3, 2), (4, 3)]
+
+
 def _d(x):
     return dt.date(2024, 1, x)
 

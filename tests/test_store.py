@@ -43,6 +43,23 @@ def test_upsert_rejects_bad_keys(spark, tmp_path):
         upsert(spark, name, spark.createDataFrame([(1, "d", 1.0)], "k long, day string, v double"), ["nope"])
 
 
+def test_upsert_partition_columns_must_be_keys(spark, tmp_path):
+    name = _table(spark, tmp_path, ("day",))
+    row = spark.createDataFrame([(1, "d1", 1.0)], "k long, day string, v double")
+    with pytest.raises(ValueError, match="partition columns"):   # a moved key would stay behind
+        upsert(spark, name, row, ["k"], partition_by=("day",))
+    with pytest.raises(ValueError, match="NULL key"):
+        upsert(spark, name, row.withColumn("day", F.lit(None).cast("string")), ["k", "day"], partition_by=("day",))
+    assert spark.table(name).count() == 0
+
+
+def test_replace_season_types_missing_columns(spark, tmp_path):
+    name = _season_table(spark, tmp_path)
+    res = replace_season(spark, name, spark.createDataFrame([(2025,), (2026,), (2026,)], "season long"), 2025)
+    assert spark.table(name).where("season = 2025").first().val is None
+    assert [tuple(r) for r in res.offending.collect()] == [(2026, 2)]
+
+
 def test_merge_upsert_plan(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k long, s string")
     s = spark.createDataFrame([(2, "B"), (3, "C")], "k long, s string")
@@ -87,7 +104,7 @@ def test_run_log(spark, tmp_path):
     append_run_log(run_log_rows(chunks.where("source = 'ffc'"), "success", 10), path)
     append_run_log(run_log_rows(chunks.where("source = 'mfl'"), "failed", None, "x" * 5000), path)
     log = spark.read.parquet(path)
-    assert log.where("status = 'failed'").first().error == "x" * 4000
+    assert log.where("status = 'failed'").first().error == "x" * 5000
     done = sorted(tuple(r) for r in completed(log, ["source", "season"]).collect())
     assert done == [("ffc", 2015), ("ffc", 2016)]
 
