@@ -1,6 +1,7 @@
-"""Load jobs composed from the operators: each job is one Spark plan over all
-requested chunks (not a per-chunk loop), written idempotently, with its run
-log derived from the same data by a grouping.
+"""Load jobs composed from the operators, written idempotently. The snapshot
+jobs are one Spark plan over all requested chunks, with the run log derived
+from the same data by a grouping; a season load is one job per season, so that
+seasons fail alone.
 
 * ``sync_adp``: feed documents -> conform -> resolve ids -> upsert on the
   six-column grain (partitioned by snapshot day) -> run log per chunk.
@@ -25,8 +26,8 @@ from huddlekit.operators.contracts import (ADP_GRAIN, ADP_SCHEMA, ColumnSpec, al
                                            ingested_at_spec, to_struct)
 from huddlekit.operators.identity import resolve_ids
 from huddlekit.operators.pages import coordinators
-from huddlekit.sources.feeds import conform_feed_a, conform_feed_b, feed_a_document_totals
-from huddlekit.sources.store import (_ident, _stage, append_run_log, clustered, create_table_if_missing,
+from huddlekit.sources.feeds import conform_feed_a, conform_feed_b, feed_a_damage, feed_b_damage
+from huddlekit.sources.store import (_stage, append_run_log, create_table_if_missing, replace_season,
                                      upsert)
 
 # --- the id bridge contract ---------------------------------------------------
@@ -73,60 +74,40 @@ class TableSpec:
 
 def load_seasons(spark: SparkSession, spec: TableSpec, table: str, seasons: list[int],
                  log_path: str, read: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
-    """Replace every requested season of ``table`` in one plan; returns the
-    run-log rows it appended (one per season: empty / success / failed)."""
-    from functools import reduce
+    """Replace every requested season of ``table``; returns the run-log rows
+    it appended (one per season: empty / success / failed, with the rows
+    written and the foreign rows dropped).
+
+    Each season is read with its own file types, conformed, cast to the
+    declared schema (``spec.schema``, else the table's) and only then written,
+    so a vintage's types never meet another's. Whatever goes wrong in a
+    season, a NULL in a REQUIRED column included, fails that season alone and
+    leaves its earlier rows."""
     read = read or (lambda s, p: s.read.parquet(p))
-    live = [s for s in seasons if s >= spec.min_season]
-    parts, failed = [], {}
-    for s in live:   # one lazy read per season: each vintage keeps its own types
+    if spec.schema is not None:
+        create_table_if_missing(spark, table, spec.schema, partition_by=(spec.partition,),
+                                cluster_by=spec.cluster_by)
+    declared = spec.schema or spark.table(table).schema
+    required = tuple(f.name for f in declared.fields if not f.nullable)
+    rows = []
+    for s in dict.fromkeys(seasons):
+        if s < spec.min_season:
+            rows.append((s, "empty", 0, 0, None))
+            continue
         try:
-            parts.append(read(spark, spec.path_for_season(s)).withColumn("feed_season", F.lit(s).cast("long")))
-        except Exception as exc:  # a missing or unreadable season fails alone
-            failed[s] = str(exc)
-    target_cols = spark.table(table).columns
-    counts = {}
-    ok = [s for s in live if s not in failed]
-    if parts:
-        raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        conformed = spec.transform(raw)
-        if "season" not in conformed.columns:
-            conformed = conformed.withColumn("season", F.col("feed_season"))
-        belongs = F.coalesce(F.col(spec.partition) == F.col("feed_season"), F.lit(False))
-        staged = _stage(spark, conformed.withColumn("_keep", belongs), f"{spec.name}-seasons")
-        counts = {r["feed_season"]: (r["written"], r["dropped"]) for r in staged.groupBy("feed_season").agg(
-            F.count_if("_keep").alias("written"), F.count_if(~F.col("_keep")).alias("dropped")).collect()}
-        keep = staged.where("_keep")
-        data_cols = [c for c in target_cols if c != spec.partition]
-        sel = [F.col(c) if c in keep.columns else F.lit(None).alias(c) for c in data_cols]
-        if "ingested_at" in data_cols and "ingested_at" not in keep.columns:
-            sel[data_cols.index("ingested_at")] = F.current_timestamp().alias("ingested_at")
-        rows = keep.select(*sel, F.col(spec.partition))
-        if spec.cluster_by:
-            rows = clustered(rows, [spec.partition, *spec.cluster_by])
-        rows.createOrReplaceTempView("_huddlekit_seasons")
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} PARTITION (`{spec.partition}`) "
-                      f"SELECT * FROM _huddlekit_seasons")
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    # a requested season without rows is cleared (dynamic overwrite leaves it)
-    for s in ok:
-        if counts.get(s, (0, 0))[0] == 0:
-            cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-                             for f in spark.table(table).schema.fields if f.name != spec.partition)
-            spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} PARTITION (`{spec.partition}` = {int(s)}) "
-                      f"SELECT {cols} WHERE false")
-    spark.catalog.refreshTable(table)
-    rows = ([(s, "empty", 0, None) for s in seasons if s < spec.min_season]
-            + [(s, "success", int(counts.get(s, (0, 0))[0]), None) for s in ok]
-            + [(s, "failed", None, failed[s][:4000]) for s in failed])
-    log = spark.createDataFrame(rows, "season long, status string, rows long, error string") \
-        .select(F.lit(spec.name).alias("table_name"), "season", "status", "rows",
-                F.substring("error", 1, 4000).alias("error"), F.current_timestamp().alias("run_at"),
-                F.lit("").alias("version"))
+            raw = read(spark, spec.path_for_season(s)).withColumn("feed_season", F.lit(s).cast("long"))
+            conformed = spec.transform(raw)
+            if spec.partition not in conformed.columns:
+                conformed = conformed.withColumn(spec.partition, F.col("feed_season"))
+            done = replace_season(spark, table, align_to_schema(conformed, declared), s, column=spec.partition,
+                                  required=required, cluster_by=spec.cluster_by)
+            rows.append((s, "success", done.written, done.dropped, None))
+        except Exception as exc:  # noqa: BLE001 - one season must not stop the others
+            rows.append((s, "failed", None, None, str(exc)))
+    log = spark.createDataFrame(rows, "season long, status string, rows long, dropped long, error string") \
+        .select(F.lit(spec.name).alias("table_name"), "season", "status", "rows", "dropped", "error",
+                F.current_timestamp().alias("run_at"), F.lit("").alias("version"))
+    log = _stage(spark, log, f"{spec.name}-log")
     written = append_run_log(log, log_path)
     return log.withColumn("log_written", F.lit(written))
 
@@ -140,48 +121,62 @@ ADP_CLUSTER = ("season", "source", "scoring_format", "teams")
 def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFrame, log_path: str, *,
              feed_a_docs: DataFrame | None = None, feed_b_docs: DataFrame | None = None) -> DataFrame:
     """All landed documents of one capture day in one plan. Returns the run
-    log rows appended: 'success' with rows written, or 'empty' for a chunk
-    whose documents had no players."""
+    log rows appended: 'success' with rows written, 'empty' for a chunk whose
+    documents had no players, 'failed' for a chunk with a damaged document, a
+    NULL in a REQUIRED column or two rows of one player. A failed chunk is
+    kept out of the upsert and stays pending; the others still load."""
     create_table_if_missing(spark, table, ADP_SCHEMA, partition_by=("snapshot_date",), cluster_by=ADP_CLUSTER)
     frames, chunks = [], []
     if feed_a_docs is not None:
         frames.append(conform_feed_a(feed_a_docs, snapshot_date))
-        chunks.append(feed_a_document_totals(feed_a_docs).select(
+        chunks.append(feed_a_damage(feed_a_docs).select(
             F.lit("ffc").alias("source"), F.col("season").cast("long").alias("season"),
-            "scoring_format", F.col("teams").cast("long").alias("teams")))
+            "scoring_format", F.col("teams").cast("long").alias("teams"), "damaged"))
     if feed_b_docs is not None:
         frames.append(conform_feed_b(feed_b_docs, snapshot_date))
-        chunks.append(feed_b_docs.select(F.lit("mfl").alias("source"), F.col("season").cast("long").alias("season"),
-                                         "scoring_format", F.col("teams").cast("long").alias("teams")))
+        chunks.append(feed_b_damage(feed_b_docs).select(
+            F.lit("mfl").alias("source"), F.col("season").cast("long").alias("season"),
+            "scoring_format", F.col("teams").cast("long").alias("teams"), "damaged"))
     if not frames:
         raise ValueError("no feed documents given")
     adp = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
     resolved = resolve_ids(adp, bridge)
     staged = _stage(spark, resolved, "adp")
-    # REQUIRED columns are enforced per chunk: a chunk with a violating row
-    # is logged as failed and kept out of the upsert; the others still load.
+    # Contract violations are counted per chunk, through one pre-aggregation on
+    # the grain (the chunk columns are part of it).
     required = [f.name for f in ADP_SCHEMA.fields if not f.nullable and f.name != "ingested_at"]
     violation = F.lit(False)
     for c in required:
         violation = violation | F.col(c).isNull()
-    per_chunk = staged.groupBy(*CHUNK_KEYS).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(violation).alias("violations"),
-        F.avg(F.col("gsis_id").isNotNull().cast("double")).alias("resolution_rate"))
-    clean = per_chunk.where("violations = 0").select(*CHUNK_KEYS)
+    per_chunk = (staged.groupBy(*ADP_GRAIN).agg(F.count(F.lit(1)).alias("n"), F.count_if(violation).alias("nulls"),
+                                                F.count("gsis_id").alias("resolved"))
+                 .groupBy(*CHUNK_KEYS).agg(
+                     F.sum("n").alias("rows"), F.sum("nulls").alias("violations"),
+                     F.count_if(F.col("n") > 1).alias("duplicates"),
+                     (F.sum("resolved") / F.sum("n")).alias("resolution_rate")))
+    all_chunks = chunks[0] if len(chunks) == 1 else chunks[0].unionByName(chunks[1])
+    all_chunks = all_chunks.groupBy(*CHUNK_KEYS).agg(F.count("damaged").alias("n_damaged"),
+                                                     F.max("damaged").alias("damaged"))
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}")) for k in CHUNK_KEYS]
+    on = same[0] & same[1] & same[2] & same[3]
+    problems = F.concat_ws("; ",
+        F.when(F.col("n_damaged") > 0, F.concat(F.col("n_damaged").cast("string"),
+                                                F.lit(" damaged document(s): "), F.col("damaged"))),
+        F.when(F.col("violations") > 0, F.concat(
+            F.col("violations").cast("string"), F.lit(f" row(s) with NULL in a required column {required}"))),
+        F.when(F.col("duplicates") > 0, F.concat(
+            F.col("duplicates").cast("string"), F.lit(f" duplicated key(s) {list(ADP_GRAIN)}"))))
+    log = (all_chunks.alias("c").join(per_chunk.alias("p"), on, "left")
+           .select(*[F.col(f"c.{k}").alias(k) for k in CHUNK_KEYS], F.nullif(problems, F.lit("")).alias("error"),
+                   F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "resolution_rate")
+           .select(*CHUNK_KEYS,
+                   F.when(F.col("error").isNotNull(), "failed").when(F.col("rows") > 0, "success")
+                    .otherwise("empty").alias("status"),
+                   F.when(F.col("error").isNull(), F.col("rows")).alias("rows"), "resolution_rate", "error",
+                   F.current_timestamp().alias("run_at"), F.lit(snapshot_date).cast("date").alias("snapshot_date")))
+    clean = log.where("status = 'success'").select(*CHUNK_KEYS)
     upsert(spark, table, staged.join(clean, CHUNK_KEYS, "left_semi"), list(ADP_GRAIN),
            partition_by=("snapshot_date",), cluster_by=ADP_CLUSTER)
-    all_chunks = chunks[0] if len(chunks) == 1 else chunks[0].unionByName(chunks[1])
-    status = (F.when(F.col("violations") > 0, "failed").when(F.col("rows") > 0, "success")
-              .otherwise("empty"))
-    error = F.when(F.col("violations") > 0, F.concat(
-        F.col("violations").cast("string"), F.lit(f" row(s) with NULL in a required column {required}")))
-    log = (all_chunks.distinct().join(per_chunk, CHUNK_KEYS, "left")
-           .select(*CHUNK_KEYS, status.alias("status"),
-                   F.when(F.coalesce("violations", F.lit(0)) == 0, F.coalesce("rows", F.lit(0)))
-                    .cast("long").alias("rows"), "resolution_rate",
-                   F.substring(error, 1, 4000).alias("error"), F.current_timestamp().alias("run_at"),
-                   F.lit(snapshot_date).cast("date").alias("snapshot_date")))
     log = _stage(spark, log, "adp-log")
     written = append_run_log(log, log_path)
     return log.withColumn("log_written", F.lit(written))
@@ -228,14 +223,16 @@ def coordinator_pages(spark: SparkSession, landed: DataFrame, seasons: list[int]
     """The requested season x team pages (work matrix of the arguments) next
     to the landed page documents, matched on the page title (spaces and
     underscores are the same). A page that was not landed, or came back as
-    an error, keeps its row with NULL wikitext and ``missing`` set."""
+    an error, keeps its row with NULL wikitext and ``missing`` set. Of several
+    captures of one title the newest (``landed_at``, where given) is used."""
     from huddlekit.operators.increment import work_matrix
     from huddlekit.operators.pages import page_title
     work = work_matrix(spark, {"season": [int(s) for s in seasons], "team": list(teams)}) \
         .withColumn("title_key", page_title(F.col("season").cast("long"), "team"))
+    newest = F.struct(*[F.col(c) for c in ("landed_at", "wikitext") if c in landed.columns])
     docs = (landed.where(F.col("wikitext").isNotNull())
-            .select(F.replace(F.col("title"), F.lit(" "), F.lit("_")).alias("title_key"), "wikitext")
-            .dropDuplicates(["title_key"]))
+            .groupBy(F.replace(F.col("title"), F.lit(" "), F.lit("_")).alias("title_key"))
+            .agg(F.max_by("wikitext", newest).alias("wikitext")))
     return (work.join(docs, "title_key", "left")
             .select(F.col("season").cast("long").alias("season"), "team", "title_key", "wikitext",
                     F.col("wikitext").isNull().alias("missing")))

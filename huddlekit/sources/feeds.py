@@ -16,19 +16,15 @@ from huddlekit.operators.contracts import ADP_SCHEMA, align_to_schema
 FEED_A_FORMATS = ("standard", "ppr", "half-ppr", "2qb", "dynasty", "rookie")
 FEED_B_FORMATS = ("ppr", "standard")
 
-FEED_A_PLAYER = T.StructType([
-    T.StructField("player_id", T.LongType()), T.StructField("name", T.StringType()),
-    T.StructField("position", T.StringType()), T.StructField("team", T.StringType()),
-    T.StructField("adp", T.DoubleType()), T.StructField("adp_formatted", T.StringType()),
-    T.StructField("times_drafted", T.LongType()), T.StructField("high", T.LongType()),
-    T.StructField("low", T.LongType()), T.StructField("stdev", T.DoubleType()),
-    T.StructField("bye", T.LongType()),
-])
+# Values arrive as numbers or as text, so all are read as text and parsed.
+FEED_A_PLAYER = T.StructType([T.StructField(name, T.StringType()) for name in (
+    "player_id", "name", "position", "team", "adp", "adp_formatted", "times_drafted", "high", "low",
+    "stdev", "bye")])
 FEED_A_DOC = T.StructType([
     T.StructField("status", T.StringType()), T.StructField("errors", T.StringType()),
     T.StructField("meta", T.StructType([
-        T.StructField("type", T.StringType()), T.StructField("teams", T.LongType()),
-        T.StructField("rounds", T.LongType()), T.StructField("total_drafts", T.LongType()),
+        T.StructField("type", T.StringType()), T.StructField("teams", T.StringType()),
+        T.StructField("rounds", T.StringType()), T.StructField("total_drafts", T.StringType()),
         T.StructField("start_date", T.StringType()), T.StructField("end_date", T.StringType())])),
     T.StructField("players", T.ArrayType(FEED_A_PLAYER)),
 ])
@@ -36,6 +32,9 @@ FEED_B_PLAYER = ("array<struct<id:string,rank:string,averagePick:string,minPick:
                  "maxPick:string,draftsSelectedIn:string,draftSelPct:string>>")
 
 
+CORRUPT = "_corrupt_record"
+
+
 def check_formats(formats, allowed=FEED_A_FORMATS) -> None:
     bad = sorted(set(formats) - set(allowed))
     if bad:
@@ -46,11 +45,17 @@ def check_formats(formats, allowed=FEED_A_FORMATS) -> None:
 
 def read_feed_a(spark: SparkSession, path: str) -> DataFrame:
     """Landed feed A documents, one JSON document per file, laid out as
-    ``season=/scoring_format=/teams=`` directories (partition columns)."""
-    schema = T.StructType(FEED_A_DOC.fields + [
-        T.StructField("season", T.LongType()), T.StructField("scoring_format", T.StringType()),
-        T.StructField("teams", T.LongType())])
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    ``season=/scoring_format=/teams=`` directories (partition columns). A
+    document that is not valid JSON keeps its row, with its text in
+    ``_corrupt_record``."""
+    docs = read_text_documents(spark, path)
+    schema = T.StructType([*FEED_A_DOC.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("raw", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return (docs.select(F.col("season").cast("long").alias("season"),
+                        F.col("scoring_format").cast("string").alias("scoring_format"),
+                        F.col("teams").cast("long").alias("teams"), "raw", parsed.alias("d"))
+            .select("season", "scoring_format", "teams", *[f"d.{f.name}" for f in FEED_A_DOC.fields],
+                    F.coalesce(f"d.{CORRUPT}", F.when(F.col("d").isNull(), F.col("raw"))).alias(CORRUPT)))
 
 
 def parse_feed_a(raw: Column) -> Column:
@@ -66,7 +71,7 @@ def conform_feed_a(docs: DataFrame, snapshot_date: str) -> DataFrame:
     out = p.select(
         F.lit("ffc").alias("source"), "season", "scoring_format", "teams",
         F.lit(snapshot_date).cast("date").alias("snapshot_date"),
-        F.col("p.player_id").cast("long").cast("string").alias("source_player_id"),
+        to_long(F.col("p.player_id")).cast("string").alias("source_player_id"),
         F.col("p.name").alias("player_name"), F.col("p.position").alias("position"),
         F.col("p.team").alias("team"), to_double(F.col("p.adp")).alias("adp"),
         F.col("p.adp_formatted").alias("adp_formatted"),
@@ -74,7 +79,7 @@ def conform_feed_a(docs: DataFrame, snapshot_date: str) -> DataFrame:
         to_long(F.col("p.high")).alias("adp_earliest_pick"),
         to_long(F.col("p.low")).alias("adp_latest_pick"),
         to_long(F.col("p.times_drafted")).alias("times_drafted"),
-        F.col("meta.total_drafts").alias("total_drafts"),
+        to_long(F.col("meta.total_drafts")).alias("total_drafts"),
         to_long(F.col("p.bye")).alias("bye"),
         lenient_date(F.col("meta.start_date")).alias("window_start_date"),
         lenient_date(F.col("meta.end_date")).alias("window_end_date"))
@@ -86,10 +91,17 @@ def feed_a_document_totals(docs: DataFrame) -> DataFrame:
     an empty document still carries its totals)."""
     return docs.select("season", "scoring_format", "teams",
                        F.coalesce(F.size("players"), F.lit(0)).alias("n_players"),
-                       F.col("meta.total_drafts").alias("total_drafts"),
+                       to_long(F.col("meta.total_drafts")).alias("total_drafts"),
                        (F.coalesce(F.size("players"), F.lit(0)) == 0).alias("is_empty"))
 
 
+def feed_a_damage(docs: DataFrame) -> DataFrame:
+    """One row per document: its chunk, and the text of a document that could
+    not be parsed (else NULL)."""
+    text = F.col(CORRUPT) if CORRUPT in docs.columns else F.lit(None).cast("string")
+    return docs.select("season", "scoring_format", "teams", text.alias("damaged"))
+
+
 # --- feed B -----------------------------------------------------------------
 
 def feed_b_players(raw: Column) -> Column:
@@ -123,6 +135,14 @@ def conform_feed_b(docs: DataFrame, snapshot_date: str, *, raw: str = "raw",
     return align_to_schema(out, ADP_SCHEMA)
 
 
+def feed_b_damage(docs: DataFrame, *, raw: str = "raw") -> DataFrame:
+    """One row per document: its chunk, and the text of a document that is
+    missing or not valid JSON (else NULL)."""
+    broken = F.try_parse_json(F.col(raw)).isNull()
+    return docs.select("season", "scoring_format", "teams",
+                       F.when(broken, F.coalesce(F.col(raw), F.lit(""))).alias("damaged"))
+
+
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole-file JSON text (one document per file) with the path's partition
     columns, for feeds whose shape varies per document."""
@@ -136,11 +156,15 @@ WIKI_DOC = "parse struct<title:string,wikitext:string>, error struct<code:string
 
 def read_wiki_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed page documents -> (title, wikitext); a missing page (an error
-    object, no parse) keeps its row with NULL wikitext."""
-    docs = spark.read.schema(WIKI_DOC).option("multiLine", True).json(path)
+    object, no parse) keeps its row with NULL wikitext. A damaged document
+    has error code ``damaged``. ``landed_at`` is the file's write time."""
+    docs = (spark.read.schema(f"{WIKI_DOC}, {CORRUPT} string").option("multiLine", True)
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
     return docs.select(F.col("parse.title").alias("title"),
                        F.col("parse.wikitext").alias("wikitext"),
-                       F.col("error.code").alias("error_code"))
+                       F.when(F.col(CORRUPT).isNotNull(), F.lit("damaged"))
+                       .otherwise(F.col("error.code")).alias("error_code"),
+                       F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
 # --- season feeds with drifting types ------------------------------------------

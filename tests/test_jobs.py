@@ -67,6 +67,54 @@ def test_sync_adp_isolates_a_chunk_with_required_nulls(spark, tmp_path):
     assert [r.source_player_id for r in spark.table(table).collect()] == ["2"]
 
 
+def test_sync_adp_fails_damaged_and_duplicated_chunks_alone(spark, tmp_path):
+    root = tmp_path / "feed"
+    good = [{"player_id": "31", "name": "Text Values", "adp": "2.5", "high": 4.0, "low": "9"}]
+    twice = [{"player_id": 8, "name": "Twice", "adp": 3.0}, {"player_id": 8, "name": "Twice", "adp": 4.0}]
+    texts = {8: json.dumps(_doc(good)), 10: json.dumps(_doc(twice)), 12: json.dumps(_doc(good))[:60],
+             14: json.dumps(_doc([]))}
+    for teams, text in texts.items():
+        d = root / "season=2024" / "scoring_format=ppr" / f"teams={teams}"
+        d.mkdir(parents=True)
+        (d / "doc.json").write_text(text)
+    b_docs = spark.createDataFrame(
+        [(2024, "ppr", 8, json.dumps({"adp": {"totalDrafts": "3", "player": {"id": "5", "averagePick": "1.5"}}})),
+         (2024, "ppr", 10, '{"adp": {"totalDrafts": "3", "pla'), (2024, "ppr", 12, '{"adp": {}}')],
+        "season long, scoring_format string, teams long, raw string")
+    bridge = spark.createDataFrame([], "mfl_id long, gsis_id string, merge_name string, position string")
+    table = _name("adp")
+    log = {(r.source, r.teams): r for r in sync_adp(
+        spark, table, "2024-08-04", bridge, str(tmp_path / "runs"),
+        feed_a_docs=read_feed_a(spark, str(root)), feed_b_docs=b_docs).collect()}
+    assert {k: (r.status, r.rows) for k, r in log.items()} == {
+        ("ffc", 8): ("success", 1), ("ffc", 10): ("failed", None), ("ffc", 12): ("failed", None),
+        ("ffc", 14): ("empty", 0), ("mfl", 8): ("success", 1), ("mfl", 10): ("failed", None),
+        ("mfl", 12): ("empty", 0)}
+    assert "duplicated" in log["ffc", 10].error and "damaged" in log["ffc", 12].error
+    got = {r.source: r for r in spark.table(table).collect()}
+    r = got["ffc"]
+    assert (r.source_player_id, r.adp, r.adp_earliest_pick, r.adp_latest_pick) == ("31", 2.5, 4, 9)
+    assert got["mfl"].source_player_id == "5"
+
+
+def test_load_seasons_casts_each_vintage_and_isolates_required(spark, tmp_path):
+    land = tmp_path / "land"
+    for season, rows, ddl in ((2019, [("a", 7, 1.5)], "g string, play_id int, x double"),
+                              (2020, [("b", "8.0", 2.5), ("c", "junk", 3.5)], "g string, play_id string, x double"),
+                              (2021, [(None, "9", 1.0)], "g string, play_id string, x double")):
+        spark.createDataFrame(rows, ddl).write.parquet(str(land / str(season)))
+    schema = T.StructType([T.StructField("g", T.StringType(), False), T.StructField("play_id", T.LongType()),
+                           T.StructField("absent", T.DateType()), T.StructField("season", T.LongType())])
+    table = _name("vintages")
+    spec = TableSpec("vintages", lambda s: str(land / str(s)), 2019, schema=schema, cluster_by=("play_id",))
+    log = {r.season: r for r in load_seasons(spark, spec, table, [2019, 2020, 2021], str(tmp_path / "runs")).collect()}
+    assert {s: (r.status, r.rows, r.dropped) for s, r in log.items()} == {
+        2019: ("success", 1, 0), 2020: ("success", 2, 0), 2021: ("failed", None, None)}
+    assert "'g': 1" in log[2021].error
+    got = sorted((r.g, r.play_id, r.absent, r.season) for r in spark.table(table).collect())
+    assert got == [("a", 7, None, 2019), ("b", 8, None, 2020), ("c", None, None, 2020)]
+
+
 def test_load_seasons(spark, tmp_path):
     land = tmp_path / "land"
     spark.createDataFrame([("2016_01_A_B", 1.0, "x")], "nflverse_game_id string, play_id double, t string") \
@@ -151,6 +199,7 @@ def test_coordinator_job_from_landed_pages(spark, tmp_path):
     (d / "a.json").write_text(json.dumps({"parse": {"title": "2024 Green Bay Packers season",
         "wikitext": "{{Infobox\n| off_coach = [[Adam Stenavich]]\n| def_coach = [[Jeff Hafley]]\n}}"}}))
     (d / "b.json").write_text(json.dumps({"error": {"code": "missingtitle"}}))
+    (d / "c.json").write_text('{"parse": {"title": "2023 Gr')
     from huddlekit.operators.jobs import sync_coordinators_from_pages
     from huddlekit.sources.feeds import read_wiki_pages
     table = _name("coord")
