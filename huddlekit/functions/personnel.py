@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 MODERN_PLAYER_COUNT = 11
 MODERN_QB_COUNT = 1
 LEGACY_ALLOWED = ("QB", "RB", "FB", "TE", "WR")
-LEGACY_TOKEN_PATTERN = r"(\d+)\s*([A-Za-z]+)"
+LEGACY_TOKEN_PATTERN = r"(\d+)(?U:\s*)([A-Za-z]+)"
 MODERN_FROM_SEASON = 2023
 
 COUNT_LABELS = ("RB", "TE", "WR", "QB")

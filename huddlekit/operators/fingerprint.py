@@ -146,6 +146,9 @@ def ftn_partials(ftn: DataFrame) -> DataFrame:
 def charting_metrics(ref: DataFrame, partials: list[DataFrame], with_personnel: bool,
                      modern_from: int = MODERN_FROM_SEASON) -> DataFrame:
     keys = _keys(ref)
+    for p in partials:
+        if _keys(p) != keys:
+            raise ValueError(f"charting source keyed by {_keys(p)}, plays by {keys}")
     per_play = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), partials)
     j = per_play.join(ref, keys, "inner")
     s = {c: F.sum(c).cast("long") for c in

@@ -1,7 +1,8 @@
-"""Streaming binding: events are landed as snapshot files (every event once,
-and the click events delivered a second time in a later file), a file
-stream upserts them into a Parquet table keyed on the event id, and the
-table is read back. The replayed deliveries must not add rows."""
+"""Streaming binding: events are landed as snapshot files, the click events
+with a provisional value, and a file stream upserts them into a Parquet table
+keyed on the event id and capture day. After that run a replay of the view
+events and the corrected click events land, and a second run resumes from the
+checkpoint. The replay must not add rows, the corrections must replace."""
 from __future__ import annotations
 
 import uuid
@@ -33,19 +34,22 @@ def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     landing, target, ckpt = f"{run}/landing", f"{run}/table", f"{run}/checkpoint"
     landed = _landed(spark, sf_dir)
-    landed.write.mode("append").parquet(landing)
-    landed.where(F.col("event_type") == "click").write.mode("append").parquet(landing)
+    provisional = F.when(F.col("event_type") == "click", -F.col("value")).otherwise(F.col("value"))
+    landed.withColumn("value", provisional).write.mode("append").parquet(landing)
     name = f"snap_{uuid.uuid4().hex[:12]}"
     # partitioned by capture day: a batch rewrites only the days it touches
     create_table_if_missing(spark, name, SNAPSHOT_SCHEMA, partition_by=("capture_day",), location=target)
     keys = ["event_id", "capture_day"]
-    q = upsert_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), name, keys, ckpt,
-                      partition_by=("capture_day",))
-    q.awaitTermination()
-    # a second run over the same landing folder finds nothing new
-    q = upsert_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), name, keys, ckpt,
-                      partition_by=("capture_day",))
-    q.awaitTermination()
+
+    def run_once() -> None:
+        stream = snapshot_stream(spark, landing, SNAPSHOT_SCHEMA, max_files_per_trigger=16)
+        upsert_stream(stream, name, keys, ckpt, partition_by=("capture_day",),
+                      latest_by="captured_at").awaitTermination()
+
+    run_once()
+    landed.where(F.col("event_type").isin("click", "view")).write.mode("append").parquet(landing)
+    run_once()
+    spark.sql(f"DROP TABLE {name}")   # an external table: its files stay for the result
     out = spark.read.schema(SNAPSHOT_SCHEMA).parquet(target).select(
         "event_id", "user_id", "event_type", "value",
         "captured_at", "capture_day")

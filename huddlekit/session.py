@@ -41,13 +41,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the operator and is read from the
-    session; only when it is unset (local tests) a scratch folder is made.
+    session; only when it is unset in local mode (tests) a scratch folder is
+    made. Off local mode an unset folder is an error: a machine-local one
+    would not be seen by the other machines.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="huddlekit-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -64,14 +68,12 @@ def cluster_settings(input_bytes: int, cores: int, *, target_partition_bytes: in
     """Settings sized for a cluster run over ``input_bytes`` of Parquet.
 
     The initial shuffle width gives every reducer about one target-sized
-    slice of the input, between three and twenty waves of the cores (past
-    that the map-output bookkeeping on the driver grows faster than the
-    benefit); AQE then coalesces small partitions back toward the advisory
+    slice of the input, and at least three waves of the cores; AQE then coalesces small partitions back toward the advisory
     size and splits skewed ones, so a stage neither spills from oversized
     partitions nor pays for many empty ones. Apply with ``spark.conf.set``
     before building the plans.
     """
-    width = min(max(3 * cores, -(-input_bytes // target_partition_bytes)), 20 * cores)
+    width = max(3 * cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -1,22 +1,11 @@
-from huddlekit.plans.tables import spread
-from huddlekit.session import cluster_settings, ensure_checkpoint_dir
-
+import pytest
 
-def test_spread_only_when_too_few_splits(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    one = str(tmp_path / "one")
-    spark.range(100).coalesce(1).write.parquet(one)
-    few = spark.read.parquet(one)
-    assert few.rdd.getNumPartitions() == 1 and spread(few).rdd.getNumPartitions() == cores
-    many = str(tmp_path / "many")
-    spark.range(1000).repartition(cores * 2).write.parquet(many)
-    df = spark.read.parquet(many)
-    assert spread(df) is df                      # enough splits: the plan is untouched
+from huddlekit.session import cluster_settings, ensure_checkpoint_dir
 
 
 def test_cluster_settings_bounds():
     tb = 1 << 40
-    assert cluster_settings(100 * tb, 8000)["spark.sql.shuffle.partitions"] == str(20 * 8000)
+    assert cluster_settings(100 * tb, 8000)["spark.sql.shuffle.partitions"] == str(100 * tb >> 27)
     assert cluster_settings(1 << 20, 64)["spark.sql.shuffle.partitions"] == str(3 * 64)
     s = cluster_settings(10 * tb, 1000)
     assert s["spark.sql.adaptive.enabled"] == "true" and s["spark.sql.adaptive.skewJoin.enabled"] == "true"
@@ -25,3 +14,15 @@ def test_cluster_settings_bounds():
 def test_checkpoint_dir_read_from_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert ensure_checkpoint_dir(spark) == configured
+
+
+def test_checkpoint_dir_must_be_set_off_local():
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session)

@@ -54,3 +54,18 @@ def test_stage_then_batch_upsert(spark, tmp_path):
     upsert(spark, name, staged, ["event_id"])
     upsert(spark, name, staged, ["event_id"])
     assert spark.table(name).count() == 5
+
+
+def test_latest_version_of_a_key_wins(spark, tmp_path):
+    landing, name = str(tmp_path / "landing"), f"st_{uuid.uuid4().hex[:10]}"
+    df = spark.createDataFrame([(1, 0, "click", 5.0, "2024-01-01 10:00:00"), (1, 0, "click", 2.0, "2024-01-01 11:00:00"),
+                                (2, 0, "click", 7.0, "2024-01-01 10:00:00")],
+                               "event_id long, user_id long, event_type string, value double, ts string") \
+        .select("event_id", "user_id", "event_type", "value",
+                F.to_timestamp_ntz("ts").alias("captured_at"), F.to_date("ts").alias("capture_day"))
+    df.coalesce(1).write.parquet(landing)
+    create_table_if_missing(spark, name, SNAPSHOT_SCHEMA, location=str(tmp_path / "table"))
+    upsert_stream(snapshot_stream(spark, landing, SNAPSHOT_SCHEMA), name, ["event_id"], str(tmp_path / "ckpt"),
+                  latest_by="captured_at").awaitTermination()
+    spark.catalog.refreshTable(name)
+    assert sorted((r.event_id, r.value) for r in spark.table(name).collect()) == [(1, 2.0), (2, 7.0)]
