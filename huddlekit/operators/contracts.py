@@ -91,32 +91,34 @@ def declared_type(dtype: T.DataType) -> str:
     return "STRING"
 
 
+_OVERLAID = ("type", "mode", "description", "tags", "valid_range", "valid_values", "gotchas", "source_field")
+
+
 def specs_from_frame(schema: T.StructType, *, table: str, enrichment: dict | None = None,
                      type_overrides: dict | None = None, required: tuple[str, ...] = (),
                      drop: tuple[str, ...] = ()) -> list[ColumnSpec]:
-    """Infer specs from an observed schema (e.g. a sample file's footer) plus
-    overlays. An overlay key that names no column raises."""
+    """Specs of an observed schema (e.g. a sample file's footer) under
+    overlays. ``enrichment`` gives a column's spec fields by name, type and
+    mode included; what is no spec field travels in ``extra``.
+    ``type_overrides`` and ``required`` have the last word. An overlay that
+    names a column the sample lacks raises."""
     enrichment, type_overrides = enrichment or {}, type_overrides or {}
-    names = set(schema.fieldNames())
-    for label, keys in (("enrichment", enrichment), ("type_overrides", type_overrides),
-                        ("required", required), ("drop", drop)):
-        unknown = sorted(set(keys) - names)
-        if unknown:
-            raise ValueError(f"{table}: {label} names unknown columns {unknown}")
-    specs = []
-    for f in schema.fields:
-        if f.name in drop or f.name == INGESTED_AT:
-            continue
-        extra = dict(enrichment.get(f.name, {}))
-        specs.append(ColumnSpec(
-            f.name, type_overrides.get(f.name, declared_type(f.dataType)),
-            "REQUIRED" if f.name in required else "NULLABLE",
-            description=extra.pop("description", ""),
-            tags=tuple(extra.pop("tags", ())), gotchas=tuple(extra.pop("gotchas", ())),
-            valid_range=extra.pop("valid_range", None),
-            valid_values=extra.pop("valid_values", None), extra=extra))
-    specs.append(ingested_at_spec())
-    return specs
+    observed = {f.name: declared_type(f.dataType) for f in schema.fields}
+    strangers = {c for overlay in (enrichment, type_overrides, required, drop) for c in overlay} - observed.keys()
+    if strangers:
+        raise ValueError(f"{table}: the sample has no column {', '.join(sorted(strangers))}")
+
+    def spec(name: str) -> ColumnSpec:
+        given = {"type": observed[name], **enrichment.get(name, {})}
+        given["type"] = type_overrides.get(name, given["type"])
+        if name in required:
+            given["mode"] = "REQUIRED"
+        own = {k: given.pop(k) for k in _OVERLAID if k in given}
+        for k in ("tags", "gotchas"):
+            own[k] = tuple(own.get(k, ()))
+        return ColumnSpec(name, **own, extra=given)
+
+    return [*(spec(c) for c in observed if c not in drop and c != INGESTED_AT), ingested_at_spec()]
 
 
 def coerce(df: DataFrame, name: str, target: T.DataType) -> Column:

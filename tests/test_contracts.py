@@ -27,11 +27,14 @@ def test_specs_from_frame():
     schema = T.StructType([T.StructField("season", T.IntegerType()), T.StructField("w", T.FloatType()),
                            T.StructField("flag", T.BooleanType()), T.StructField("junk", T.StringType())])
     specs = specs_from_frame(schema, table="t", type_overrides={"w": "INT64"}, required=("season",),
-                             drop=("junk",), enrichment={"season": {"description": "year"}})
+                             drop=("junk",), enrichment={
+                                 "season": {"description": "year", "unit": "years"},
+                                 "w": {"type": "STRING", "source_field": "wt"}, "flag": {"mode": "REPEATED"}})
     assert [(s.name, s.type, s.mode) for s in specs] == [
-        ("season", "INT64", "REQUIRED"), ("w", "INT64", "NULLABLE"), ("flag", "BOOL", "NULLABLE"),
+        ("season", "INT64", "REQUIRED"), ("w", "INT64", "NULLABLE"), ("flag", "BOOL", "REPEATED"),
         ("ingested_at", "TIMESTAMP", "REQUIRED")]
-    assert specs[0].description == "year"
+    assert specs[0].description == "year" and specs[0].extra == {"unit": "years"}
+    assert specs[1].source_field == "wt"
     with pytest.raises(ValueError):
         specs_from_frame(schema, table="t", required=("nope",))
     assert declared_type(T.TimestampNTZType()) == "TIMESTAMP"
@@ -41,13 +44,13 @@ def test_align_and_coerce(spark):
     schema = to_struct([ColumnSpec("a", "INT64"), ColumnSpec("b", "STRING"), ColumnSpec("c", "DATE"),
                         ColumnSpec("d", "BOOL"), ColumnSpec("e", "FLOAT64"), ColumnSpec("f", "STRING"),
                         ColumnSpec("ingested_at", "TIMESTAMP", "REQUIRED")])
-    df = spark.createDataFrame([("8658.0", 1.0, "2024-01-05", "true", "x", None, 9),
-                                ("3.28", 2.5, "nope", "maybe", "1e3", "s", 9)],
+    df = spark.createDataFrame([("4107.0", 1.0, "2024-01-05", "true", "x", None, 9),
+                                ("6.75", 2.5, "nope", "maybe", "1e3", "s", 9)],
                                "a string, b double, c string, d string, e string, f string, extra int")
     out = align_to_schema(df, schema)
     assert out.columns == ["a", "b", "c", "d", "e", "f", "ingested_at"]
     r1, r2 = out.collect()
-    assert (r1.a, r1.b, r1.c, r1.d, r1.e, r1.f) == (8658, "1", dt.date(2024, 1, 5), True, None, None)
+    assert (r1.a, r1.b, r1.c, r1.d, r1.e, r1.f) == (4107, "1", dt.date(2024, 1, 5), True, None, None)
     assert (r2.a, r2.b, r2.c, r2.d, r2.e) == (None, "2.5", None, None, 1000.0)
     assert r1.ingested_at is not None
     missing = align_to_schema(spark.createDataFrame([(1,)], "z int"), schema, stamp=False)
