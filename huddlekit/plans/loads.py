@@ -1,22 +1,27 @@
 """Load-side bindings: snapshot upsert, season replacement and chunk planning
-on the driver's tables (as plans, without writing; the writing versions are
-exercised in the tests).
+on the driver's tables (as plans, and as written tables).
 
 * upsert: ``part`` is the stored table; a batch re-prices large parts and
   adds a new part for every size-50 part.
 * replace: ``orders`` partitioned by order year; the 1995 chunk carries
   fulfilled orders of 1995 and of 1996 (foreign, dropped); the 1998 chunk is
   empty, which clears 1998.
+* ``upsert_written`` and ``replace_written`` run the same through the writing
+  operators, on a table of their own, each batch twice: a rerun changes
+  nothing.
 * pending: segments x seasons x priorities minus the chunks a run log (one
   row per segment, year and priority, derived from the orders) completed.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from huddlekit.operators.increment import gate, pending, work_matrix
-from huddlekit.sources.store import merge_upsert, replaced
+from huddlekit.session import scratch_path
+from huddlekit.sources.store import create_table_if_missing, merge_upsert, replace_season, replaced, upsert
 from huddlekit.plans.tables import rounded, table
 
 
@@ -69,6 +74,47 @@ SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice * 2, 6), season
 FROM o WHERE season = 1995 AND o_orderstatus = 'F'
 """
 
+
+
+def upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored parts after the batch, a rerun of it and an empty batch."""
+    stored, batch = table(spark, sf_dir, "part"), _part_batch(spark, sf_dir)
+    name, path = f"part_{uuid.uuid4().hex[:12]}", scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
+    create_table_if_missing(spark, name, stored.schema, location=path)
+    for rows in (stored, batch, batch, batch.where("false")):
+        upsert(spark, name, rows, ["p_partkey"], cluster_by=("p_partkey",))
+    spark.sql(f"DROP TABLE {name}")   # an external table: its files stay for the result
+    return rounded(spark.read.schema(stored.schema).parquet(path).select(*stored.columns))
+
+
+UPSERT_WRITTEN_SQL = UPSERT_RESULT_SQL
+
+
+def replace_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored orders by season after 1995 was replaced by a chunk that
+    lacks the price and holds foreign rows, twice, and 1998 was emptied."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.year("o_orderdate").cast("long").alias("season"))
+    name, path = f"orders_{uuid.uuid4().hex[:12]}", scratch_path(spark, f"replace-{uuid.uuid4().hex}")
+    create_table_if_missing(spark, name, o.schema, partition_by=("season",), location=path)
+    upsert(spark, name, o, ["o_orderkey", "season"], partition_by=("season",))
+    chunk = o.where(F.col("season").isin(1995, 1996) & (F.col("o_orderstatus") == "F")).drop("o_totalprice")
+    for rows, season in ((chunk, 1995), (chunk, 1995), (o.where("false"), 1998)):
+        replace_season(spark, name, rows, season, required=("o_orderkey",))
+    spark.sql(f"DROP TABLE {name}")
+    return rounded(spark.read.schema(o.schema).parquet(path).select(*o.columns))
+
+
+REPLACE_WRITTEN_SQL = """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice,
+                  CAST(year(o_orderdate) AS BIGINT) AS season FROM orders)
+SELECT * FROM o WHERE season NOT IN (1995, 1998)
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS DOUBLE), season
+FROM o WHERE season = 1995 AND o_orderstatus = 'F'
+"""
+
 # The load arguments (market segments, seasons, priorities)
 # and the per-source gating rules.
 SOURCES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")

@@ -21,6 +21,8 @@ QUERIES = {
     "conform_feed_b": landing.conform_feed_b_q,
     "upsert_result": loads.upsert_result,
     "replace_partition": loads.replace_partition,
+    "upsert_written": loads.upsert_written,
+    "replace_written": loads.replace_written,
     "pending_chunks": loads.pending_chunks,
     "check_resolution": checks.check_resolution,
     "check_grain": checks.check_grain,
@@ -55,6 +57,8 @@ ORACLE_SQL = {
     "conform_feed_b": landing.CONFORM_FEED_B_SQL,
     "upsert_result": loads.UPSERT_RESULT_SQL,
     "replace_partition": loads.REPLACE_PARTITION_SQL,
+    "upsert_written": loads.UPSERT_WRITTEN_SQL,
+    "replace_written": loads.REPLACE_WRITTEN_SQL,
     "pending_chunks": loads.PENDING_CHUNKS_SQL,
     "check_resolution": checks.CHECK_RESOLUTION_SQL,
     "check_grain": checks.CHECK_GRAIN_SQL,
