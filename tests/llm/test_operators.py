@@ -232,6 +232,35 @@ def test_contaminated(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5, 6] and left.columns == docs.columns
 
 
+def test_contaminated_edited_copies_beside_an_exact_one(spark):
+    rng = random.Random(12)
+    items = [[f"q{rng.randrange(10**6)}" for _ in range(n)] for n in (3, 4, 5, 8, 20, 20, 20, 40)]
+    items.append(["q1", "q2"] * 8)
+    texts = [" ".join(w) for w in items] * 2       # exact copies, which hold every gram
+    for w in items:
+        for share in (0.1, 0.15, 0.2, 0.25, 0.33):
+            for _ in range(6):
+                edited = []
+                for x in w:
+                    kind = rng.choice("sid") if rng.random() < share else "k"
+                    edited += {"k": [x], "s": ["other"], "i": [x, "new"], "d": []}[kind]
+                texts.append(prose(rng.randrange(30), rng) + " " + " ".join(edited) + " " + prose(rng.randrange(30), rng))
+        texts.append(" ".join(x if k % 3 else "other" for k, x in enumerate(w)))       # no three words in a row
+        texts.append(" new ".join(w))                                                  # no two
+        half = len(w) // 2
+        texts.append(" ".join(w[:half] + ["new"] * max(0, half - 1) + w[half:]))        # one long interruption
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    docs = plain.documents(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    want = {}
+    for d, t in enumerate(texts):
+        for k, w in enumerate(items):
+            score = plain_alignment(w, t.split()) / (2 * len(w))
+            if score >= 0.5:
+                want[(d, k)] = score
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == pytest.approx(want) and len(want) > 200
+
+
 def test_vector_tree_finds_exact_neighbours_of_small_tables(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 8)).astype(np.float32)
