@@ -4,8 +4,10 @@ The tree is fitted on a bounded sample; every vector is sent down to a leaf.
 A query visits leaves best-bin-first: a priority queue over nodes, ordered by
 the inner product with the node's centre plus a share of its radius. The
 number of leaves to visit is widened until sampled queries, whose exact
-neighbours are found by a full scan, reach the wanted recall. Candidates of
-the visited leaves are scored exactly, in double precision.
+neighbours are found by a full scan, reach the wanted recall, all together
+and nine in ten of them each by itself. A query goes on beyond that number
+until its leaves hold ``k`` candidates. Candidates of the visited leaves are
+scored exactly, in double precision.
 
 Large leaves (many equal vectors, say) are cut into chunks by a hash, so no
 task holds more than ``chunk`` vectors at once.
@@ -13,6 +15,7 @@ task holds more than ``chunk`` vectors at once.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -84,15 +87,17 @@ def assign(x: np.ndarray, centres: np.ndarray, children: list[list[int]]) -> np.
 
 
 def best_bins(q: np.ndarray, centres: np.ndarray, radii: np.ndarray, children: list[list[int]], most: int,
-              share: float = 0.3) -> list[int]:
-    """The first ``most`` leaves of a best-bin-first traversal."""
+              held: dict[int, int] | None = None, least: int = 0, share: float = 0.3) -> list[int]:
+    """The first ``most`` leaves of a best-bin-first traversal, and those
+    after them until the leaves hold ``least`` rows (``held``: rows by leaf)."""
     norm = float(np.sqrt((q * q).sum()))
-    heap, leaves = [(0.0, 0)], []
-    while heap and len(leaves) < most:
+    heap, leaves, rows = [(0.0, 0)], [], 0
+    while heap and (len(leaves) < most or rows < least):
         _, node = heapq.heappop(heap)
         kids = children[node]
         if not kids:
             leaves.append(node)
+            rows += held.get(node, 0) if held else 0
             continue
         for s, k in zip(centres[kids] @ q + share * norm * radii[kids], kids):
             heapq.heappush(heap, (-float(s), k))
@@ -152,12 +157,13 @@ def nearest_neighbours(table: DataFrame, is_query: Column, *, k: int = 20, sampl
                        id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where ``is_query`` (a
     condition on ``vec_id``) holds, the ``k`` rows of largest inner product
-    found, nearest first, ties to the smaller id.
+    found, nearest first, ties to the smaller id; fewer only where the table
+    holds fewer candidates.
 
     Vectors that are null, zero, or hold nulls or non-finite numbers take no
     part, nor do rows with a null id or of another length than most. Rows
     that share the query's id are left out; a repeated query id is asked
-    once, repeated candidate rows are candidates each. Empty tables give an
+    once (with the least of its vectors' bytes), repeated candidate rows are candidates each. Empty tables give an
     empty result. ``sample`` bounds the vectors the tree is fitted on and
     ``calibrate`` the queries its recall is measured with; every vector is
     indexed.
@@ -179,24 +185,28 @@ def nearest_neighbours(table: DataFrame, is_query: Column, *, k: int = 20, sampl
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf)], names=["vec_id", "v", "leaf"])
 
     placed = cut(vectors.mapInArrow(to_leaf, "vec_id long, v binary, leaf long"), "leaves")
-    queries = vectors.filter(is_query).dropDuplicates(["vec_id"])
-    visits = calibrated_visits(placed, queries.orderBy(order).limit(calibrate).toArrow(), tree, k, recall)
+    # rows of the query's own id are no candidates
+    queries = vectors.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("own"))
+    counts = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    held = {r["leaf"]: r["n"] for r in counts.collect()}        # at most one leaf per sampled vector
+    visits = calibrated_visits(placed, queries.orderBy(order).limit(calibrate).toArrow(), tree, held, k, recall)
 
-    sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")) \
-                  .select("leaf", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    sizes = counts.select("leaf", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    rows_of = spark.sparkContext.broadcast(held)
 
     def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, radii, children = shared.value
         for b in batches:
-            bins = [best_bins(q, centres, radii, children, visits) for q in matrix(b.column(1))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bins, pa.list_(pa.int64()))],
+            bins = [best_bins(q, centres, radii, children, visits, rows_of.value, k + own)
+                    for q, own in zip(matrix(b.column(1)), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(bins, pa.list_(pa.int64()))],
                                              names=["vec_id", "v", "leaves"])
 
     asked = queries.mapInArrow(to_bins, "vec_id long, v binary, leaves array<long>") \
                    .select("vec_id", "v", F.explode("leaves").alias("leaf")).join(sizes, "leaf") \
                    .select("vec_id", "v", "leaf", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    held = placed.join(sizes, "leaf").withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit(3)), "chunks").cast("int"))
-    rows = held.select("leaf", "chunk", F.lit(0).alias("kind"), "vec_id", "v").unionByName(
+    stored = placed.join(sizes, "leaf").withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit(3)), "chunks").cast("int"))
+    rows = stored.select("leaf", "chunk", F.lit(0).alias("kind"), "vec_id", "v").unionByName(
         asked.select("leaf", "chunk", F.lit(1).alias("kind"), "vec_id", "v"))
     dealt = rows.repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "kind", "vec_id")
 
@@ -229,9 +239,11 @@ def nearest_neighbours(table: DataFrame, is_query: Column, *, k: int = 20, sampl
     return top_rows(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def calibrated_visits(placed: DataFrame, asked: pa.Table, tree, k: int, recall: float) -> int:
+def calibrated_visits(placed: DataFrame, asked: pa.Table, tree, held: dict[int, int], k: int, recall: float,
+                      most_queries: float = 0.9) -> int:
     """Leaves to visit so that the sampled queries find at least ``recall``
-    of their exact neighbours; all leaves when there is no sample."""
+    of their exact neighbours, all together and ``most_queries`` of them each
+    by itself; all leaves when there is no sample."""
     centres, radii, children = tree
     leaves = sum(not c for c in children)
     if not asked.num_rows:
@@ -256,10 +268,18 @@ def calibrated_visits(placed: DataFrame, asked: pa.Table, tree, k: int, recall:
         .select("query_id", "leaf").toArrow()          # at most calibrate * k rows
     place = {int(i): {n: p for p, n in enumerate(best_bins(v, centres, radii, children, leaves))}
              for i, v in zip(query_ids, q)}
-    at = sorted(place[i][n] for i, n in zip(truth["query_id"].to_pylist(), truth["leaf"].to_pylist()))
+    # a query goes on until it has k candidates, so places up to there are reached by any number of visits
+    first = {int(i): len(best_bins(v, centres, radii, children, 0, held, k + own))
+             for i, v, own in zip(query_ids, q, asked["own"].to_pylist())}
+    at: dict[int, list[int]] = {}
+    for i, n in zip(truth["query_id"].to_pylist(), truth["leaf"].to_pylist()):
+        p = place[i][n]
+        at.setdefault(i, []).append(p + 1 if p >= first[i] else 1)
     if not at:
         return leaves
-    visits = 1
-    while sum(p < visits for p in at) < recall * len(at):
-        visits += 1
-    return visits
+
+    def visits_for(visited: list[int], share: float) -> int:
+        return sorted(visited)[max(0, math.ceil(share * len(visited) - 1e-9) - 1)]
+
+    each = [visits_for(p, recall) for p in at.values()]
+    return max(visits_for(sum(at.values(), []), recall), visits_for(each, most_queries))

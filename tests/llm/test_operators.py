@@ -282,6 +282,28 @@ def test_vector_tree_finds_exact_neighbours_of_small_tables(spark):
         assert np.allclose([g[2] for g in got], s[keep][best])
 
 
+def test_vector_tree_fills_every_answer_beside_a_hot_group(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1050, 8))
+    x[:400] = x[0]                              # a hot group
+    for g in range(20):
+        x[400 + 25 * g:425 + 25 * g] = x[400 + 25 * g]
+    x[900:] *= 4                                # far apart: leaves of few rows
+    table = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(905, [1.0] * 8)],
+                                  "vec_id long, embedding array<double>")
+    for recall in (0.5, 0.97):                  # 0.5: a single leaf is enough for most
+        out = vector_tree.nearest_neighbours(table, F.col("vec_id") % 5 == 0, k=20, leaf_rows=16, recall=recall).collect()
+        assert Counter(r["query_id"] for r in out) == Counter({q: 20 for q in range(0, 1050, 5)})
+    ids, full, share = np.append(np.arange(1050), 905), np.concatenate([x, np.ones((1, 8))]), []
+    for q in range(0, 1050, 5):
+        if q == 905:                            # asked by one of its two vectors
+            continue
+        s = np.where(ids == q, -np.inf, full @ x[q])
+        low = np.sort(s)[-20] - 1e-9
+        share.append(sum(r["score"] >= low for r in out if r["query_id"] == q) / 20)
+    assert np.quantile(share, 0.15) >= 0.97 and np.mean(share) >= 0.95
+
+
 def test_toxicity_learns_marked_words(spark):
     rng = random.Random(1)
     rows = [(i, prose(30, rng) + (" vilething " if i % 3 == 0 else " ") + prose(30, rng), "s") for i in range(900)]
