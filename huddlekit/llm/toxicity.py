@@ -10,7 +10,9 @@ of (index, weight).
 The classifier is fitted on at most ``max_rows`` labelled rows of each class
 (those of the smallest id hash), dealt into a fixed number of shards; in each
 round every shard runs FTRL passes from the common state, and the changes are
-averaged per coordinate by a Spark aggregation. Every text is scored whole.
+averaged per coordinate by a Spark aggregation. Rows of the smaller class are
+weighted up, so that both classes weigh alike whatever their numbers and the
+bound. Every text is scored whole.
 """
 from __future__ import annotations
 
@@ -69,8 +71,10 @@ def ftrl_weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, w)
 
 
-def ftrl_passes(texts: list[bytes], labels: np.ndarray, z: np.ndarray, n: np.ndarray, passes: int) -> None:
-    """Passes over the rows in the given order, updating the state in place."""
+def ftrl_passes(texts: list[bytes], labels: np.ndarray, z: np.ndarray, n: np.ndarray, passes: int,
+                weight_of: tuple[float, float] = (1.0, 1.0)) -> None:
+    """Passes over the rows in the given order, updating the state in place;
+    ``weight_of`` gives the weight of a row by its label."""
     features, bias = Features(), 1 << BITS
     rows = [np.unique(features(t)).astype(np.int32) for t in texts]
     seen = np.bincount(np.concatenate(rows), minlength=bias + 1) if rows else np.zeros(bias + 1)
@@ -79,7 +83,7 @@ def ftrl_passes(texts: list[bytes], labels: np.ndarray, z: np.ndarray, n: np.nda
         for idx, y in zip(rows, labels):
             n0 = n[idx]
             w = ftrl_weights(z[idx], n0)
-            g = sigmoid(w.sum()) - y
+            g = weight_of[int(y)] * (sigmoid(w.sum()) - y)
             n1 = n0 + g * g
             z[idx] += g - (np.sqrt(n1) - np.sqrt(n0)) / ALPHA * w
             n[idx] = n1
@@ -91,7 +95,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
     """(indices, weights) of the fitted model; the last index is the bias.
 
     ``usable`` is a condition on ``doc_id`` that says which labelled rows may
-    be learned from. At most ``max_rows`` rows of each class are used. Labels
+    be learned from. At most ``max_rows`` rows of each class are used, and
+    the rows of the class with fewer weigh as much together as the others', so
+    the fit has the class ratio 1 to 1 at every size. Labels
     of a repeated id count as toxic if any of them does; rows with a null id,
     label or text are not learned from. Without rows of both classes the
     model is empty and scores 0.5 less a little."""
@@ -110,6 +116,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
     z, n = np.zeros(size), np.zeros(size)
     if len(n_of) < 2:
         return np.empty(0, np.int64), np.empty(0)
+    most = max(n_of.values())
+    weight_of = (most / n_of[0], most / n_of[1])
     for _ in range(rounds):
         used = np.flatnonzero(n)
         state = spark.sparkContext.broadcast((used, z[used], n[used]))
@@ -119,7 +127,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
             at, z_at, n_at = state.value
             z1[at], n1[at] = z_at, n_at
             part = part.sort_values(["order", "text"])
-            ftrl_passes([t.encode() for t in part["text"]], part["y"].to_numpy(float), z1, n1, passes)
+            ftrl_passes([t.encode() for t in part["text"]], part["y"].to_numpy(float), z1, n1, passes,
+                        weight_of)
             z0, n0 = np.zeros(size), np.zeros(size)
             z0[at], n0[at] = z_at, n_at
             idx = np.flatnonzero(n1 != n0)

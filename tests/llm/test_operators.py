@@ -323,6 +323,14 @@ def test_toxicity_learns_marked_words(spark):
     assert kept.columns == clean.columns and abs(kept.count() - 604) <= 5
 
 
+def test_toxicity_classes_weigh_alike_at_every_size(spark):
+    docs = plain.documents(spark, [(i, ".", "s") for i in range(900)])
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(900)], "doc_id long, toxic int")
+    for most in (5000, 100):        # one toxic row in nine, or in two
+        model = toxicity.fit_toxicity(docs, labels, F.lit(True), max_rows=most)
+        assert 0.3 < toxicity.score_toxicity(docs.limit(1), model).first()["score"] < 0.7
+
+
 def test_token_counts(spark):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
