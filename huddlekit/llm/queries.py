@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from huddlekit.llm import decontamination, hmm, jaccard_join, license_scan, mixing, sharding, token_counts, toxicity, vector_tree, warc
+from huddlekit.llm import (decontamination, hmm, jaccard_join, lexical_search, license_scan, mixing, quality, sharding,
+                           spelling, token_counts, toxicity, vector_tree, warc)
 from huddlekit.llm.common import read
 
 
@@ -63,6 +64,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "tokens")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_crc() % 4 == 2, F.lit(False))
+    machine = quality.fit_quality(docs, read(spark, sf_dir, "labels"), ~held_out)
+    return quality.score_quality(docs, machine).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_mix_sources": op2_mix_sources,
@@ -74,6 +91,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_license_scan": op9_license_scan,
     "op10_sharding": op10_sharding,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_lexical_search": lexical_search.SEARCH_SQL,
+    "op13_spelling_variants": spelling.SPELLING_SQL,
+}
