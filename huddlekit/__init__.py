@@ -1,0 +1 @@
+__version__ = "0.3.0"

@@ -98,9 +98,9 @@ def specs_from_frame(schema: T.StructType, *, table: str, enrichment: dict | Non
                      type_overrides: dict | None = None, required: tuple[str, ...] = (),
                      drop: tuple[str, ...] = ()) -> list[ColumnSpec]:
     """Specs of an observed schema (e.g. a sample file's footer) under
-    overlays. ``enrichment`` gives a column's spec fields by name, type and
-    mode included; what is no spec field travels in ``extra``.
-    ``type_overrides`` and ``required`` have the last word. An overlay that
+    overlays. ``enrichment`` gives a column's spec fields by name and has the
+    last word on type and mode too, before ``type_overrides`` and
+    ``required``; what is no spec field travels in ``extra``. An overlay that
     names a column the sample lacks raises."""
     enrichment, type_overrides = enrichment or {}, type_overrides or {}
     observed = {f.name: declared_type(f.dataType) for f in schema.fields}
@@ -109,10 +109,8 @@ def specs_from_frame(schema: T.StructType, *, table: str, enrichment: dict | Non
         raise ValueError(f"{table}: the sample has no column {', '.join(sorted(strangers))}")
 
     def spec(name: str) -> ColumnSpec:
-        given = {"type": observed[name], **enrichment.get(name, {})}
-        given["type"] = type_overrides.get(name, given["type"])
-        if name in required:
-            given["mode"] = "REQUIRED"
+        given = {"type": type_overrides.get(name, observed[name]),
+                 "mode": "REQUIRED" if name in required else "NULLABLE", **enrichment.get(name, {})}
         own = {k: given.pop(k) for k in _OVERLAID if k in given}
         for k in ("tags", "gotchas"):
             own[k] = tuple(own.get(k, ()))
@@ -167,14 +165,6 @@ def align_to_schema(df: DataFrame, schema: T.StructType, *, stamp: bool = True)
     return df.select(*cols)
 
 
-def required_violations(df: DataFrame, schema: T.StructType) -> Column | None:
-    """A struct of per-column NULL counts for REQUIRED columns (one pass)."""
-    req = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
-    if not req:
-        return None
-    return F.struct(*[F.count_if(F.col(n).isNull()).alias(n) for n in req])
-
-
 def contract_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Documented ranges and value lists checked in one pass: one row per
     constrained column with the count of values outside the documentation.

@@ -1,37 +1,35 @@
 """Load jobs composed from the operators, written idempotently. The snapshot
 jobs are one Spark plan over all requested chunks, with the run log derived
-from the same data by a grouping; a season load is one job per season, so that
-seasons fail alone.
+from the same data by a grouping; season loads (``season_loads``) are one job
+per table and season, so that seasons fail alone.
 
 * ``sync_adp``: feed documents -> conform -> resolve ids -> upsert on the
   six-column grain (partitioned by snapshot day) -> run log per chunk.
-* ``load_seasons``: a season-chunked feed -> transform -> replace each
-  requested season (seasons below the feed's first season are recorded as
-  empty and never read; a requested season with no rows is cleared).
+* ``load_seasons``: the requested seasons of one season-chunked table.
 * ``sync_bridge`` / ``sync_rankings`` / ``sync_coordinators``: snapshot
   upserts.
 * ``run_tallies``: counts per status from a run log.
 """
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from huddlekit.functions.exprs import season_week_from_key, to_long_in
 from huddlekit.operators.contracts import (ADP_GRAIN, ADP_SCHEMA, ColumnSpec, align_to_schema,
                                            ingested_at_spec, to_struct)
 from huddlekit.operators.identity import resolve_ids
 from huddlekit.operators.pages import coordinators
+from huddlekit.operators.season_loads import load_tables
+from huddlekit.operators.specs import RANKINGS, TableSpec
 from huddlekit.sources.feeds import conform_feed_a, conform_feed_b, feed_a_damage, feed_b_damage
-from huddlekit.sources.store import (_stage, append_run_log, create_table_if_missing, replace_season,
-                                     upsert)
+from huddlekit.sources.store import (add_columns, append_run_log, create_table_if_missing, kept_copy, run_log_rows,
+                                     staged_copy, upsert)
 
 # --- the id bridge contract ---------------------------------------------------
 
+# The bridge's id systems and attributes, by type.
 _BRIDGE_INT = ("mfl_id", "sleeper_id", "espn_id", "fleaflicker_id", "cbs_id", "rotowire_id",
                "rotoworld_id", "ktc_id", "stats_id", "fantasy_data_id", "swish_id", "nfl_id",
                "stats_global_id", "draft_year", "draft_round")
@@ -49,67 +47,13 @@ def conform_bridge(df: DataFrame) -> DataFrame:
     return align_to_schema(df.where(F.col("mfl_id").isNotNull()), BRIDGE_SCHEMA)
 
 
-def conform_participation(df: DataFrame, season_col: str = "feed_season") -> DataFrame:
-    """Stamp the load season, parse the week from the game id, make the play
-    id a bigint (its type drifts between vintages)."""
-    _, week = season_week_from_key("nflverse_game_id")
-    return df.withColumns({"season": F.col(season_col).cast("long"), "week": week,
-                           "play_id": to_long_in(df, "play_id")})
-
-
-# --- season-chunked feeds -------------------------------------------------------
-
-@dataclass(frozen=True)
-class TableSpec:
-    """A season-chunked table: where a season's landed data is, how it is
-    conformed, and from which season the feed exists."""
-    name: str
-    path_for_season: Callable[[int], str]
-    min_season: int
-    transform: Callable[[DataFrame], DataFrame] = lambda df: df
-    schema: T.StructType | None = None
-    partition: str = "season"
-    cluster_by: tuple[str, ...] = field(default_factory=tuple)
-
-
-def load_seasons(spark: SparkSession, spec: TableSpec, table: str, seasons: list[int],
-                 log_path: str, read: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
-    """Replace every requested season of ``table``; returns the run-log rows
-    it appended (one per season: empty / success / failed, with the rows
-    written and the foreign rows dropped).
-
-    Each season is read with its own file types, conformed, cast to the
-    declared schema (``spec.schema``, else the table's) and only then written,
-    so a vintage's types never meet another's. Whatever goes wrong in a
-    season, a NULL in a REQUIRED column included, fails that season alone and
-    leaves its earlier rows."""
-    read = read or (lambda s, p: s.read.parquet(p))
-    if spec.schema is not None:
-        create_table_if_missing(spark, table, spec.schema, partition_by=(spec.partition,),
-                                cluster_by=spec.cluster_by)
-    declared = spec.schema or spark.table(table).schema
-    required = tuple(f.name for f in declared.fields if not f.nullable)
-    rows = []
-    for s in dict.fromkeys(seasons):
-        if s < spec.min_season:
-            rows.append((s, "empty", 0, 0, None))
-            continue
-        try:
-            raw = read(spark, spec.path_for_season(s)).withColumn("feed_season", F.lit(s).cast("long"))
-            conformed = spec.transform(raw)
-            if spec.partition not in conformed.columns:
-                conformed = conformed.withColumn(spec.partition, F.col("feed_season"))
-            done = replace_season(spark, table, align_to_schema(conformed, declared), s, column=spec.partition,
-                                  required=required, cluster_by=spec.cluster_by)
-            rows.append((s, "success", done.written, done.dropped, None))
-        except Exception as exc:  # noqa: BLE001 - one season must not stop the others
-            rows.append((s, "failed", None, None, str(exc)))
-    log = spark.createDataFrame(rows, "season long, status string, rows long, dropped long, error string") \
-        .select(F.lit(spec.name).alias("table_name"), "season", "status", "rows", "dropped", "error",
-                F.current_timestamp().alias("run_at"), F.lit("").alias("version"))
-    log = _stage(spark, log, f"{spec.name}-log")
-    written = append_run_log(log, log_path)
-    return log.withColumn("log_written", F.lit(written))
+def load_seasons(spark: SparkSession, spec: TableSpec, table: str, seasons: list[int], log_path: str,
+                 **options) -> DataFrame:
+    """Seasons of one table; see ``season_loads.load_tables``."""
+    if spec.schema is None and spec.overlay is None:
+        spec = replace(spec, schema=spark.table(table).schema)
+    return load_tables(spark, [spec], seasons, log_path, table_of=lambda name: table if name == spec.name else name,
+                       **options)
 
 
 # --- snapshot jobs -------------------------------------------------------------------
@@ -140,8 +84,18 @@ def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFr
     if not frames:
         raise ValueError("no feed documents given")
     adp = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-    resolved = resolve_ids(adp, bridge)
-    staged = _stage(spark, resolved, "adp")
+    all_chunks = chunks[0] if len(chunks) == 1 else chunks[0].unionByName(chunks[1])
+    with staged_copy(spark, resolve_ids(adp, bridge), "adp") as staged:
+        log = kept_copy(_adp_log(staged, all_chunks, snapshot_date), "adp-log")
+        clean = log.where("status = 'success'").select(*CHUNK_KEYS)
+        upsert(spark, table, staged.join(clean, CHUNK_KEYS, "left_semi"), list(ADP_GRAIN),
+               partition_by=("snapshot_date",), cluster_by=ADP_CLUSTER)
+    written = append_run_log(log, log_path)
+    return log.withColumn("log_written", F.lit(written))
+
+
+def _adp_log(staged: DataFrame, all_chunks: DataFrame, snapshot_date: str) -> DataFrame:
+    """Run-log rows of the chunks, from the staged rows and the documents."""
     # Contract violations are counted per chunk, through one pre-aggregation on
     # the grain (the chunk columns are part of it).
     required = [f.name for f in ADP_SCHEMA.fields if not f.nullable and f.name != "ingested_at"]
@@ -154,7 +108,6 @@ def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFr
                      F.sum("n").alias("rows"), F.sum("nulls").alias("violations"),
                      F.count_if(F.col("n") > 1).alias("duplicates"),
                      (F.sum("resolved") / F.sum("n")).alias("resolution_rate")))
-    all_chunks = chunks[0] if len(chunks) == 1 else chunks[0].unionByName(chunks[1])
     all_chunks = all_chunks.groupBy(*CHUNK_KEYS).agg(F.count("damaged").alias("n_damaged"),
                                                      F.max("damaged").alias("damaged"))
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}")) for k in CHUNK_KEYS]
@@ -166,20 +119,13 @@ def sync_adp(spark: SparkSession, table: str, snapshot_date: str, bridge: DataFr
             F.col("violations").cast("string"), F.lit(f" row(s) with NULL in a required column {required}"))),
         F.when(F.col("duplicates") > 0, F.concat(
             F.col("duplicates").cast("string"), F.lit(f" duplicated key(s) {list(ADP_GRAIN)}"))))
-    log = (all_chunks.alias("c").join(per_chunk.alias("p"), on, "left")
-           .select(*[F.col(f"c.{k}").alias(k) for k in CHUNK_KEYS], F.nullif(problems, F.lit("")).alias("error"),
-                   F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "resolution_rate")
-           .select(*CHUNK_KEYS,
-                   F.when(F.col("error").isNotNull(), "failed").when(F.col("rows") > 0, "success")
-                    .otherwise("empty").alias("status"),
-                   F.when(F.col("error").isNull(), F.col("rows")).alias("rows"), "resolution_rate", "error",
-                   F.current_timestamp().alias("run_at"), F.lit(snapshot_date).cast("date").alias("snapshot_date")))
-    clean = log.where("status = 'success'").select(*CHUNK_KEYS)
-    upsert(spark, table, staged.join(clean, CHUNK_KEYS, "left_semi"), list(ADP_GRAIN),
-           partition_by=("snapshot_date",), cluster_by=ADP_CLUSTER)
-    log = _stage(spark, log, "adp-log")
-    written = append_run_log(log, log_path)
-    return log.withColumn("log_written", F.lit(written))
+    seen = (all_chunks.alias("c").join(per_chunk.alias("p"), on, "left")
+            .select(*[F.col(f"c.{k}").alias(k) for k in CHUNK_KEYS], F.nullif(problems, F.lit("")).alias("_error"),
+                    F.coalesce("rows", F.lit(0)).cast("long").alias("_rows"), "resolution_rate",
+                    F.lit(snapshot_date).cast("date").alias("snapshot_date")))
+    status = (F.when(F.col("_error").isNotNull(), "failed").when(F.col("_rows") > 0, "success").otherwise("empty"))
+    return run_log_rows(seen, status, F.when(F.col("_error").isNull(), F.col("_rows")), F.col("_error")).drop(
+        "_error", "_rows")
 
 
 def sync_bridge(spark: SparkSession, table: str, raw: DataFrame) -> int:
@@ -188,14 +134,20 @@ def sync_bridge(spark: SparkSession, table: str, raw: DataFrame) -> int:
 
 
 RANKINGS_KEYS = ["scrape_date", "ecr_type", "id"]
+RANKINGS_CLUSTER = ("ecr_type", "pos")
 
 
 def sync_rankings(spark: SparkSession, table: str, rankings: DataFrame) -> int:
-    """Snapshot upsert; the affected partitions are the scrape days present."""
-    cols = spark.table(table).columns
-    staged = align_to_schema(rankings, spark.table(table).schema) if "ingested_at" in cols \
-        else rankings.select(*cols)
-    return upsert(spark, table, staged, RANKINGS_KEYS, partition_by=("scrape_date",))
+    """Snapshot upsert; the affected partitions are the scrape days present.
+    The contract is that of the given rankings: a missing table is created by
+    it, and an existing one gets the columns it lacks."""
+    contract = RANKINGS.contract(rankings.schema, "ff_rankings")
+    clusters = tuple(c for c in RANKINGS_CLUSTER if c in rankings.columns)
+    create_table_if_missing(spark, table, contract, partition_by=("scrape_date",), cluster_by=clusters)
+    stored = spark.table(table).columns
+    add_columns(spark, table, [f for f in contract.fields if f.name not in stored and f.name != "ingested_at"])
+    return upsert(spark, table, align_to_schema(rankings, spark.table(table).schema), RANKINGS_KEYS,
+                  partition_by=("scrape_date",), cluster_by=clusters)
 
 
 COORDINATOR_SCHEMA = to_struct([
@@ -253,12 +205,15 @@ def sync_coordinators_from_pages(spark: SparkSession, table: str, landed: DataFr
 
 def run_tallies(log: DataFrame) -> DataFrame:
     """Rows per status in a run log, plus whether the run failed overall
-    (nothing succeeded and something failed) and, for the rows a job
-    returned, how many could not be appended to the log."""
+    (nothing succeeded and something failed), how many foreign rows season
+    loads dropped and, for the rows a job returned, how many could not be
+    appended to the log."""
     lost = (F.count_if(~F.col("log_written")) if "log_written" in log.columns else F.lit(0)).alias("_lost")
-    g = log.groupBy("status").agg(F.count(F.lit(1)).alias("n"), lost)
+    dropped = (F.sum("dropped") if "dropped" in log.columns else F.lit(0)).alias("_dropped")
+    g = log.groupBy("status").agg(F.count(F.lit(1)).alias("n"), lost, dropped)
     ok = F.coalesce(F.sum(F.when(F.col("status").isin("success", "empty"), F.col("n"))), F.lit(0))
     bad = F.coalesce(F.sum(F.when(F.col("status") == "failed", F.col("n"))), F.lit(0))
     return g.agg(F.map_from_entries(F.collect_list(F.struct("status", "n"))).alias("by_status"),
                  ((ok == 0) & (bad > 0)).alias("run_failed"),
-                 F.sum("_lost").cast("long").alias("log_failures"))
+                 F.sum("_lost").cast("long").alias("log_failures"),
+                 F.coalesce(F.sum("_dropped"), F.lit(0)).cast("long").alias("dropped"))

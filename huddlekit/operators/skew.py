@@ -46,14 +46,13 @@ def dense_rank_by_value(df: DataFrame, value: str, group: list[str], out: str) -
     written once to the shared checkpoint folder and read back, so both uses
     see the same partition ids (and a lost executor recomputes nothing
     upstream)."""
-    from huddlekit.sources.store import _stage
+    from huddlekit.sources.store import kept_copy
     rankable = F.col(value).isNotNull()
     for g in group:
         rankable = rankable & F.col(g).isNotNull()
     values = df.where(rankable).select(*group, value).distinct()
-    ordered = _stage(df.sparkSession,
-                     values.repartitionByRange(*[F.col(g).asc() for g in group], F.col(value).desc())
-                     .withColumn("_pid", F.spark_partition_id()), "rank-slices")
+    ordered = kept_copy(values.repartitionByRange(*[F.col(g).asc() for g in group], F.col(value).desc())
+                        .withColumn("_pid", F.spark_partition_id()), "rank-slices")
     in_slice = Window.partitionBy("_pid", *group).orderBy(F.col(value).desc())
     local = ordered.withColumn("_local", F.row_number().over(in_slice))
     slices = ordered.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))

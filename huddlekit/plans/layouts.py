@@ -162,8 +162,8 @@ FROM p
 PERSONNEL_MODERN_FROM = 1996
 
 
-def _snap_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def snap_encodings(lines: DataFrame) -> DataFrame:
+    """Line items with their list and summary encodings."""
     rb = F.col("l_linenumber") % 3
     te = F.col("l_quantity").cast("int") % 3
     wr = F.lit(5) - rb - te
@@ -177,12 +177,15 @@ def _snap_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
     personnel = F.concat(rb.cast("string"), F.lit(" RB, "), te.cast("string"), F.lit(" te, "),
                          wr.cast("string"), sep, F.lit("WR"),
                          F.when(rf == "N", ", 2 CB").when(rf == "A", ", 1 fb").otherwise(""))
-    return li.select("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("season"),
-                     positions.alias("offense_positions"), personnel.alias("offense_personnel"))
+    return lines.withColumns({"offense_positions": positions, "offense_personnel": personnel})
 
 
-SNAP_ENCODINGS_SQL = """
-SELECT l_orderkey, l_linenumber, year(l_shipdate) AS season,
+def _snap_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snap_encodings(table(spark, sf_dir, "lineitem")).select(
+        "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("season"), "offense_positions", "offense_personnel")
+
+
+SNAP_COLUMNS_SQL = """
   'C;G;G;T;T;' || CASE WHEN l_returnflag = 'R' THEN 'QB' WHEN l_returnflag = 'A' THEN 'QB;QB' ELSE 'CB' END
     || repeat('; RB', l_linenumber % 3) || repeat(';TE ', CAST(l_quantity AS INTEGER) % 3)
     || repeat(';WR', 5 - l_linenumber % 3 - CAST(l_quantity AS INTEGER) % 3)
@@ -192,6 +195,10 @@ SELECT l_orderkey, l_linenumber, year(l_shipdate) AS season,
     || CASE WHEN l_linestatus = 'O' THEN '' ELSE ' ' END || 'WR'
     || CASE WHEN l_returnflag = 'N' THEN ', 2 CB' WHEN l_returnflag = 'A' THEN ', 1 fb' ELSE '' END
     AS offense_personnel
+"""
+
+SNAP_ENCODINGS_SQL = f"""
+SELECT l_orderkey, l_linenumber, year(l_shipdate) AS season, {SNAP_COLUMNS_SQL.strip()}
 FROM lineitem
 """
 

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from huddlekit.operators.increment import gate, pending, work_matrix
 from huddlekit.session import scratch_path
-from huddlekit.sources.store import create_table_if_missing, merge_upsert, replace_season, replaced, upsert
+from huddlekit.sources.store import (create_table_if_missing, drop_table, kept_copy, merge_upsert, replace_season,
+                                     replaced, upsert)
 from huddlekit.plans.tables import rounded, table
 
 
@@ -76,6 +77,13 @@ FROM o WHERE season = 1995 AND o_orderstatus = 'F'
 
 
 
+def taken(spark: SparkSession, name: str, columns: list[str]) -> DataFrame:
+    """The rows of a table made for one query, which is dropped."""
+    rows = kept_copy(spark.table(name).select(*columns), f"result-{name}")
+    drop_table(spark, name)
+    return rows
+
+
 def upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored parts after the batch, a rerun of it and an empty batch."""
     stored, batch = table(spark, sf_dir, "part"), _part_batch(spark, sf_dir)
@@ -83,8 +91,7 @@ def upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     create_table_if_missing(spark, name, stored.schema, location=path)
     for rows in (stored, batch, batch, batch.where("false")):
         upsert(spark, name, rows, ["p_partkey"], cluster_by=("p_partkey",))
-    spark.sql(f"DROP TABLE {name}")   # an external table: its files stay for the result
-    return rounded(spark.read.schema(stored.schema).parquet(path).select(*stored.columns))
+    return rounded(taken(spark, name, stored.columns))
 
 
 UPSERT_WRITTEN_SQL = UPSERT_RESULT_SQL
@@ -102,8 +109,7 @@ def replace_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunk = o.where(F.col("season").isin(1995, 1996) & (F.col("o_orderstatus") == "F")).drop("o_totalprice")
     for rows, season in ((chunk, 1995), (chunk, 1995), (o.where("false"), 1998)):
         replace_season(spark, name, rows, season, required=("o_orderkey",))
-    spark.sql(f"DROP TABLE {name}")
-    return rounded(spark.read.schema(o.schema).parquet(path).select(*o.columns))
+    return rounded(taken(spark, name, o.columns))
 
 
 REPLACE_WRITTEN_SQL = """

@@ -1,7 +1,7 @@
 """Registered queries and their DuckDB oracle SQL."""
 from __future__ import annotations
 
-from huddlekit.plans import checks, landing, layouts, loads, players, scheme, streams
+from huddlekit.plans import checks, landing, layouts, loads, players, scheme, season_loads, streams
 
 QUERIES = {
     "team_week_fingerprint": scheme.team_week_fingerprint_q,
@@ -36,7 +36,14 @@ QUERIES = {
     "play_level_join": checks.play_level_join,
     "bridge_left_join": checks.bridge_left_join,
     "stream_snapshot": streams.stream_snapshot,
+    "stream_late_versions": streams.stream_late_versions,
     "adp_vs_points": checks.adp_vs_points,
+    "load_seasons": season_loads.load_seasons,
+    "quarantined_rows": season_loads.quarantined_rows,
+    "vintage_drift": season_loads.vintage_drift,
+    "vintage_rows": season_loads.vintage_rows,
+    "team_week_written": season_loads.team_week_written,
+    "verify_stored": season_loads.verify_stored,
 }
 
 ORACLE_SQL = {
@@ -72,5 +79,12 @@ ORACLE_SQL = {
     "play_level_join": checks.PLAY_LEVEL_JOIN_SQL,
     "bridge_left_join": checks.BRIDGE_LEFT_JOIN_SQL,
     "stream_snapshot": streams.STREAM_SNAPSHOT_SQL,
+    "stream_late_versions": streams.STREAM_LATE_VERSIONS_SQL,
     "adp_vs_points": checks.ADP_VS_POINTS_SQL,
+    "load_seasons": season_loads.LOAD_SEASONS_SQL,
+    "quarantined_rows": season_loads.QUARANTINED_ROWS_SQL,
+    "vintage_drift": season_loads.VINTAGE_DRIFT_SQL,
+    "vintage_rows": season_loads.VINTAGE_ROWS_SQL,
+    "team_week_written": season_loads.TEAM_WEEK_WRITTEN_SQL,
+    "verify_stored": season_loads.VERIFY_STORED_SQL,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # loads of several tables run side by side, one scheduler pool each
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.ui.retainedExecutions": "5",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -64,6 +67,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark resolves it; a missing one is fine."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def temporary_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder that is removed when
+    the application ends, for results that outlive the call that made them."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def cluster_settings(input_bytes: int, cores: int, *, target_partition_bytes: int = 128 << 20) -> dict:
     """Settings sized for a cluster run over ``input_bytes`` of Parquet.
 

@@ -1,10 +1,8 @@
-"""Landed-file sources: the two ADP feeds (JSON), wiki pages (JSON), season
-feeds whose column types drift between vintages (Parquet), and the id bridge
-(CSV). Network fetching is out of scope; these read what was landed."""
+"""Landed-file sources: the two ADP feeds (JSON), wiki pages (JSON) and the id
+bridge (CSV); season feeds are in ``vintages``. Network fetching is out of
+scope; these read what was landed."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,39 +165,6 @@ def read_wiki_pages(spark: SparkSession, path: str) -> DataFrame:
                        F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
-# --- season feeds with drifting types ------------------------------------------
-
-def read_seasons(spark: SparkSession, path_for_season, seasons, casts: dict[str, str],
-                 season_column: str = "season") -> DataFrame:
-    """One read per season (each vintage keeps its own file types), cast the
-    drifting columns to stable types, stamp the load season as
-    ``feed_season`` and union by name (missing columns become NULL).
-    A single read with ``mergeSchema`` fails on int/double conflicts."""
-    parts = []
-    for s in seasons:
-        df = spark.read.parquet(path_for_season(s))
-        cols = []
-        for c in df.columns:
-            t = casts.get(c)
-            if t == "long":
-                cols.append(to_long(F.col(c)).alias(c))
-            elif t == "double":
-                cols.append(to_double(F.col(c)).alias(c))
-            elif t:
-                cols.append(F.col(c).cast(t).alias(c))
-            else:
-                cols.append(F.col(c))
-        parts.append(df.select(*cols, F.lit(s).cast("long").alias("feed_season")))
-    if not parts:
-        raise ValueError("no seasons requested")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def sample_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Schema of a sample Parquet file (footer only, no data read)."""
-    return spark.read.parquet(path).schema
-
-
 def read_bridge_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.option("header", True)
     if schema is not None:

@@ -1,32 +1,41 @@
-"""Idempotent writes to Parquet catalog tables (no MERGE-capable format is
-assumed).
-
-* ``merge_upsert``: the MERGE as a plan: target rows whose key is not staged,
-  plus every staged row (keys match on equality; NULL keys are refused).
-* ``upsert``: stage the batch under the shared checkpoint folder, build the
-  merged rows of only the partitions the batch touches (dynamic partition
-  pruning through a semi-join, no collect), stage those, then overwrite just
-  those partitions. Re-running the same batch is a no-op.
-* ``replace_season``: keep the chunk's own season (foreign and NULL seasons
-  dropped and counted on the same pass), stage it, check it, then a static
-  ``INSERT OVERWRITE ... PARTITION (season=S)``, which also clears a season
-  that became empty.
-
-Every staged copy goes to ``spark.checkpoint.dir`` (a shared folder on a
-cluster), so a lost executor recomputes from a written copy, never from the
-table being overwritten.
+"""Idempotent, atomic writes to Parquet catalog tables (no MERGE-capable
+format is assumed).
+
+* ``upsert``: the MERGE as a plan over only the partitions the batch touches
+  (dynamic partition pruning through a semi-join). A staged row replaces the
+  stored row of its key, or with ``latest_by`` only if it is not older.
+* ``replace_season``: keep the chunk's own season, set foreign and NULL
+  seasons aside (counted, listed, and kept in a quarantine table where one is
+  given), and put the season's rows in the place of the former ones. A season
+  that became empty is cleared.
+
+Nothing is overwritten in place. New rows go to a version folder of their own
+below the table (``_versions/<id>``); when they are written whole, the catalog
+is pointed at them, one partition at a time (``ALTER TABLE .. SET LOCATION``;
+an unpartitioned table as a whole). A reader sees a partition before or after
+a write, never in between; a failed write removes its folder and changes
+nothing. The version just left stays until the next write of its partition,
+so that running readers can finish; older ones are removed
+(``drop_old_versions`` removes both). Tables are read through the catalog.
+
+Batches are staged once below ``spark.checkpoint.dir`` (a shared folder on a
+cluster), so all checks and a retry after a lost executor read a written copy;
+staged folders are removed when the write ends, well or badly.
 """
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from huddlekit import __version__
 from huddlekit.operators.contracts import INGESTED_AT
-from huddlekit.session import scratch_path
+from huddlekit.session import path_exists, remove_path, scratch_path, temporary_path
 
 
 def _ident(name: str) -> str:
@@ -71,6 +80,14 @@ def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType
     spark.sql(sql)
 
 
+def add_columns(spark: SparkSession, table: str, fields: list[T.StructField]) -> None:
+    """Columns that a later vintage brought; NULL in the rows stored so far."""
+    if fields:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {_ident(table)} ADD COLUMNS ({cols})")
+        spark.catalog.refreshTable(table)
+
+
 def clustered(df: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFrame:
     """Cluster rows for writing without partitioning: range-partition on the
     clustering columns and sort within each task, so every written file
@@ -118,21 +135,162 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: list[str] | tuple[s
     return kept.unionByName(staged.select(*target.columns))
 
 
-def _stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def merge_latest(target: DataFrame, staged: DataFrame, keys: list[str] | tuple[str, ...],
+                 latest_by: str) -> DataFrame:
+    """Rows after MERGE ... WHEN MATCHED AND the staged row is not older: of
+    two rows of one key that with the larger ``latest_by`` stays (NULL is the
+    oldest; ties by the remaining columns), so the order in which batches
+    arrive does not matter and a replay changes nothing."""
+    keys = list(keys)
+    rest = [latest_by, *[c for c in target.columns if c != latest_by and c not in keys]]
+    old = target.select(*keys, F.struct(*rest).alias("_old"))
+    new = staged.select(*keys, F.struct(*rest).alias("_new"))
+    best = F.greatest("_old", "_new")
+    return old.join(new, keys, "full_outer").select(*keys, best.alias("_row")).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns])
+
+
+@contextmanager
+def staged_copy(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder and read back; removed at the
+    end of the block."""
     path = scratch_path(spark, f"staging/{label}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
+
+
+def kept_copy(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, until the
+    application ends."""
+    path = temporary_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --- versions -----------------------------------------------------------------
+
+VERSIONS = "_versions"
+
+
+def _described(spark: SparkSession, table: str, partition: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {_ident(table)}{partition}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")   # a partition's own place stands before the table's
+
+
+def _root(spark: SparkSession, table: str) -> str:
+    """The table's own folder, whichever version it points at."""
+    return _described(spark, table).split(f"/{VERSIONS}/")[0]
+
+
+def _quoted(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _partition_sql(columns: tuple[str, ...], values: Row) -> str:
+    return " PARTITION (" + ", ".join(f"`{c}` = {_quoted(v)}" for c, v in zip(columns, values)) + ")"
+
+
+def _partition_folder(spark: SparkSession, columns: tuple[str, ...], values: Row) -> str:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{escape(c)}={escape(str(v))}" for c, v in zip(columns, values))
+
+
+def _children(spark: SparkSession, pattern: str) -> list[str]:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return [str(f.getPath().toString()) for f in found or []]
 
 
+def _same_folder(a: str, b: str) -> bool:
+    """Whether two paths name one folder (``file:/x`` and ``/x`` do)."""
+    return a.split(":", 1)[-1].replace("///", "/").rstrip("/") == b.split(":", 1)[-1].replace("///", "/").rstrip("/")
+
+
+def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: tuple[str, ...] = (),
+            partitions: list[Row] | None = None) -> None:
+    """Put ``rows`` in the place of the given partitions (of the whole table,
+    if it has none): written whole to a new version folder first, then pointed
+    at. ``rows`` may read the table itself. Partitions without rows are
+    cleared."""
+    root = _root(spark, table)
+    version = f"{root}/{VERSIONS}/{uuid.uuid4().hex}"
+    columns = [c for c in spark.table(table).columns if c not in partition_by]
+    try:
+        writer = rows.select(*columns, *partition_by).write
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(version)
+        empty = rows.sparkSession.createDataFrame([], rows.select(*columns).schema)
+        places = []
+        for values in partitions or []:
+            folder = f"{version}/{_partition_folder(spark, partition_by, values)}"
+            if not _children(spark, folder):
+                empty.write.parquet(folder)
+            places.append((values, folder))
+    except BaseException:
+        remove_path(spark, version)
+        raise
+    if not partition_by:
+        former = _described(spark, table)
+        spark.sql(f"ALTER TABLE {_ident(table)} SET LOCATION {_quoted(version)}")
+        _retire(spark, f"{root}/{VERSIONS}/*", version, former)
+    for values, folder in places:
+        at = _partition_sql(partition_by, values)
+        known = spark.sql(f"SHOW PARTITIONS {_ident(table)}{at}").collect()
+        if known:
+            former = _described(spark, table, at)
+            spark.sql(f"ALTER TABLE {_ident(table)}{at} SET LOCATION {_quoted(folder)}")
+            if former.startswith(f"{root}/") and f"/{VERSIONS}/" not in former:
+                remove_path(spark, former)   # a folder of the table, written without a version
+            _retire(spark, f"{root}/{VERSIONS}/*/{_partition_folder(spark, partition_by, values)}", folder, former)
+        else:
+            spark.sql(f"ALTER TABLE {_ident(table)} ADD{at} LOCATION {_quoted(folder)}")
+    spark.catalog.refreshTable(table)
+
+
+def _retire(spark: SparkSession, pattern: str, *kept: str) -> None:
+    for folder in _children(spark, pattern):
+        if not any(_same_folder(folder, k) for k in kept):
+            remove_path(spark, folder)
+
+
+def drop_old_versions(spark: SparkSession, table: str) -> None:
+    """Remove every version the catalog does not point at, those of writes
+    that died included. Call it while no one reads or writes the table."""
+    partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    root = _root(spark, table)
+    kept = [_described(spark, table)]
+    for row in spark.sql(f"SHOW PARTITIONS {_ident(table)}").collect() if partition_by else []:
+        values = Row(*[unescape(part.split("=", 1)[1]) for part in row["partition"].split("/")])
+        kept.append(_described(spark, table, _partition_sql(tuple(partition_by), values)))
+    depth = "/*" * len(partition_by)
+    _retire(spark, f"{root}/{VERSIONS}/*{depth}", *kept)
+    for version in _children(spark, f"{root}/{VERSIONS}/*"):
+        if partition_by and not _children(spark, f"{version}{depth}"):
+            remove_path(spark, version)
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop the table with all its versions."""
+    root = _root(spark, table)
+    spark.sql(f"DROP TABLE {_ident(table)}")
+    remove_path(spark, root)
+
+
+# --- writes -------------------------------------------------------------------
+
 def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] | tuple[str, ...],
            *, partition_by: tuple[str, ...] = (), required: tuple[str, ...] = (),
-           cluster_by: tuple[str, ...] = ()) -> int:
+           cluster_by: tuple[str, ...] = (), latest_by: str | None = None) -> int:
     """Upsert ``staged`` into catalog table ``table``; returns rows staged.
-    An empty batch is a no-op. With ``cluster_by`` the rewritten rows are
-    range-partitioned and sorted on (partition columns, cluster columns), so
-    files cover narrow key ranges and a large partition is written by many
-    tasks. Partition columns must be keys: otherwise a key whose row moves to
-    another partition would stay behind in the old one."""
+    An empty batch is a no-op. With ``latest_by`` a stored row that is newer
+    than the staged one stays (``merge_latest``). With ``cluster_by`` the
+    rewritten rows are range-partitioned and sorted on (partition columns,
+    cluster columns), so files cover narrow key ranges and a large partition
+    is written by many tasks. Partition columns must be keys: otherwise a key
+    whose row moves to another partition would stay behind in the old one."""
     target = spark.table(table)
     cols = target.columns
     missing = [k for k in keys if k not in cols]
@@ -144,27 +302,22 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
     # stage once, then validate the written copy: the batch's lineage is
     # computed a single time however many checks run on it
     obs = Observation("staged")
-    st = _stage(spark, staged.select(*cols).observe(obs, F.count(F.lit(1)).alias("n")), "batch")
-    n = obs.get["n"]
-    if n == 0:
-        return 0
-    check_keys(st, keys, cols)
-    check_required(st, [c for c in required if c not in keys])
-    scope = target
-    if partition_by:
-        scope = target.join(st.select(*partition_by).distinct(), list(partition_by), "left_semi")
-    merged_rows = merge_upsert(scope.select(*cols), st, keys)
-    if cluster_by:
-        merged_rows = clustered(merged_rows, [*partition_by, *cluster_by])
-    merged = _stage(spark, merged_rows, "merged")
-    # the mode is an option of this write, not a session setting
-    spark.catalog.refreshTable(table)
-    scope = (" WITH (partitionOverwriteMode = 'dynamic') PARTITION ("
-             + ", ".join(f"`{c}`" for c in partition_by) + ")") if partition_by else ""
-    data_cols = [c for c in cols if c not in partition_by] + list(partition_by)
-    spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)}{scope} SELECT * FROM {{rows}}",
-              rows=merged.select(*data_cols))
-    spark.catalog.refreshTable(table)
+    with staged_copy(spark, staged.select(*cols).observe(obs, F.count(F.lit(1)).alias("n")), "batch") as st:
+        n = obs.get["n"]
+        if n == 0:
+            return 0
+        check_keys(st, keys, cols)
+        check_required(st, [c for c in required if c not in keys])
+        scope, touched = target, None
+        if partition_by:
+            # one row per partition of the batch
+            touched = st.select(*partition_by).distinct().collect()
+            scope = target.join(st.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        scope = scope.select(*cols)
+        rows = merge_latest(scope, st, keys, latest_by) if latest_by else merge_upsert(scope, st, keys)
+        if cluster_by:
+            rows = clustered(rows, [*partition_by, *cluster_by])
+        publish(spark, table, rows, tuple(partition_by), touched)
     return n
 
 
@@ -172,46 +325,65 @@ def upsert(spark: SparkSession, table: str, staged: DataFrame, keys: list[str] |
 class WriteSeasonResult:
     written: int
     dropped: int
-    offending: DataFrame | None   # foreign seasons with their row counts
+    offending: list   # the foreign seasons, sorted; a NULL season is not listed
+
+
+QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()), T.StructField("season", T.LongType()),
+    T.StructField("reason", T.StringType()), T.StructField("row", T.StringType()),
+    T.StructField("rejected_at", T.TimestampType())])
+FOREIGN = "foreign season"
 
 
 def replace_season(spark: SparkSession, table: str, df: DataFrame, season: int,
                    *, column: str = "season", required: tuple[str, ...] = (),
-                   cluster_by: tuple[str, ...] = ()) -> WriteSeasonResult:
+                   cluster_by: tuple[str, ...] = (), quarantine: str | None = None) -> WriteSeasonResult:
     """Replace partition ``column = season`` of ``table`` with the rows of
     ``df`` that belong to it. A frame without the season column is taken to
-    be the chunk itself. Columns the frame lacks become typed NULLs."""
-    target = spark.table(table).schema
-    data_cols = [f for f in target.fields if f.name != column]
-    if column in df.columns:
-        belongs = F.coalesce(F.col(column) == F.lit(season), F.lit(False))
-        obs = Observation("season_guard")
-        observed = df.observe(obs, F.count_if(belongs).alias("written"),
-                              F.count_if(~belongs).alias("dropped"))
-        # the guard's counts come from the same pass that stages the rows
-        st = _stage(spark, observed.withColumn("_keep", belongs), "season")
-        keep = st.where("_keep").drop("_keep")
-        check_required(keep, [c for c in required if c in keep.columns])
-        m = obs.get
-        foreign = st.where(~F.col("_keep")).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-        result = WriteSeasonResult(int(m["written"]), int(m["dropped"]), foreign)
-    else:
-        keep = _stage(spark, df, "season")
-        check_required(keep, [c for c in required if c in keep.columns])
-        result = WriteSeasonResult(keep.count(), 0, None)
-
-    def value(f: T.StructField):
-        if f.name in keep.columns:
-            return F.col(f.name)
-        return F.current_timestamp() if f.name == INGESTED_AT else F.lit(None).cast(f.dataType)
-
-    rows = keep.select(*[value(f).alias(f.name) for f in data_cols])
-    if cluster_by:
-        rows = clustered(rows, cluster_by)
-    spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} PARTITION (`{column}` = {int(season)}) "
-              "SELECT * FROM {rows}", rows=rows)
-    spark.catalog.refreshTable(table)
-    return result
+    be the chunk itself. Columns the frame lacks become typed NULLs.
+
+    The rows are read once: that pass stages them with the reason why a row
+    is rejected, if it is, and counts. Rows of a foreign or NULL season are
+    left out. A NULL in a ``required`` column fails the season, and the stored
+    one stays. ``quarantine`` names a folder to which rejected rows of both
+    kinds are appended (``QUARANTINE_SCHEMA``, the row as JSON)."""
+    schema = spark.table(table).schema
+    chunk = df if column in df.columns else df.withColumn(column, F.lit(season))
+    lacking = [F.when(F.col(c).isNull(), F.lit(c)) for c in required if c in df.columns]
+    reason = F.when(~F.coalesce(F.col(column) == F.lit(season), F.lit(False)), F.lit(FOREIGN))
+    if lacking:
+        reason = reason.otherwise(F.nullif(F.concat_ws(", ", *lacking), F.lit("")))
+    obs = Observation("season_guard")
+    marked = chunk.withColumn("_reason", reason).observe(
+        obs, F.count_if(F.col("_reason").isNull()).alias("written"),
+        F.count_if(F.col("_reason") == FOREIGN).alias("dropped"),
+        F.count_if(F.col("_reason") != FOREIGN).alias("refused"))
+    with staged_copy(spark, marked, "season") as st:
+        seen = obs.get
+        rejected = st.where("_reason is not null")
+        if quarantine and seen["dropped"] + seen["refused"]:
+            rejected.select(
+                F.lit(table).alias("table_name"), F.lit(season).cast("long").alias("season"),
+                F.when(F.col("_reason") == FOREIGN, F.col("_reason"))
+                .otherwise(F.concat(F.lit("NULL in "), "_reason")).alias("reason"),
+                F.to_json(F.struct(*chunk.columns)).alias("row"), F.current_timestamp().alias("rejected_at"),
+            ).write.mode("append").parquet(quarantine)
+        if seen["refused"]:
+            counts = rejected.where(F.col("_reason") != FOREIGN).groupBy("_reason").count().orderBy("_reason").collect()
+            raise ValueError(f"NULL values in required columns: { {r['_reason']: r['count'] for r in counts} }")
+        # one value per foreign season
+        foreign = rejected.where(F.col(column).isNotNull()).agg(F.sort_array(F.collect_set(column))).first()[0]
+
+        def value(f: T.StructField):
+            if f.name in chunk.columns:
+                return F.col(f.name)
+            return F.current_timestamp() if f.name == INGESTED_AT else F.lit(None).cast(f.dataType)
+
+        rows = st.where("_reason is null").select(*[value(f).cast(f.dataType).alias(f.name) for f in schema.fields])
+        if cluster_by:
+            rows = clustered(rows, cluster_by)
+        publish(spark, table, rows, (column,), [Row(season)])
+        return WriteSeasonResult(int(seen["written"]), int(seen["dropped"]), [int(s) for s in foreign])
 
 
 def replaced(existing: DataFrame, chunk: DataFrame, season: int, column: str = "season") -> DataFrame:
@@ -225,9 +397,9 @@ def replaced(existing: DataFrame, chunk: DataFrame, season: int, column: str = "
 RUN_STATUSES = ("success", "empty", "failed")
 
 
-def run_log_rows(chunks: DataFrame, status, rows=None, error=None, version: str = "") -> DataFrame:
+def run_log_rows(chunks: DataFrame, status, rows=None, error=None, version: str = __version__) -> DataFrame:
     """Run-log rows for chunks: status, rows written, the whole error text,
-    run time and code version."""
+    run time and code version. Each may be a value or a column."""
     def c(x):
         return x if not isinstance(x, (str, int, type(None))) else F.lit(x)
     return chunks.select("*", c(status).cast("string").alias("status"),
@@ -236,6 +408,11 @@ def run_log_rows(chunks: DataFrame, status, rows=None, error=None, version: str
                          F.current_timestamp().alias("run_at"), F.lit(version).alias("version"))
 
 
+def log_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The log written so far, if any."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
 def append_run_log(log_rows: DataFrame, path: str) -> bool:
     """Append run-log rows. A failed append is reported (False, and logged)
     but never raised: the data it describes is already written and the

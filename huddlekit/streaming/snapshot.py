@@ -7,8 +7,10 @@ or a whole batch (after a failure, or a duplicate delivery) is a no-op, and
 the stream's checkpoint in the shared checkpoint folder makes a restarted
 query resume after the last committed batch.
 
-Exact duplicate deliveries inside a batch are collapsed before the upsert,
-and of several versions of a key the latest one is kept (``latest_by``);
+Exact duplicate deliveries inside a batch are collapsed before the upsert. Of
+several versions of a key the latest one is kept (``latest_by``), inside a
+batch and against the stored row alike, so an old version that lands late
+never replaces a newer one;
 optionally, duplicates that arrive in *different* batches within a time
 window are dropped early with ``dropDuplicatesWithinWatermark`` (rows
 older than the watermark are late and discarded by Spark, so only use it
@@ -49,20 +51,24 @@ def upsert_stream(stream: DataFrame, table: str, keys: list[str], checkpoint: st
                   available_now: bool = True):
     """Start a query that upserts every micro-batch into catalog table
     ``table``; with ``available_now`` it processes what has landed and stops.
-    With ``latest_by`` a batch may hold several versions of a key: the row with
-    the largest value of that column wins (ties by the remaining columns, so
-    a replay decides alike); without it two versions are an error.
+    With ``latest_by`` there may be several versions of a key, in one batch or
+    over many: the row with the largest value of that column wins (ties by the
+    remaining columns, so the order of arrival does not matter and a replay
+    changes nothing); without it two versions in a batch are an error and the
+    later batch wins.
     The query runs in a cloned session: refresh the table in the calling
     session (``spark.catalog.refreshTable``) before reading it there."""
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch) if transform else batch
         if latest_by:
-            rest = [latest_by, *[c for c in rows.columns if c != latest_by and c not in keys]]
+            # the stored columns in their order, as the merge compares them
+            stored = rows.sparkSession.table(table).columns
+            rest = [latest_by, *[c for c in stored if c != latest_by and c not in keys]]
             rows = (rows.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
                     .select(*keys, *[f"_row.{c}" for c in rest]))
         else:
             rows = rows.dropDuplicates()
-        upsert(rows.sparkSession, table, rows, keys, partition_by=partition_by)
+        upsert(rows.sparkSession, table, rows, keys, partition_by=partition_by, latest_by=latest_by)
 
     writer = (stream.writeStream.foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint))

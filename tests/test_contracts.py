@@ -31,7 +31,7 @@ def test_specs_from_frame():
                                  "season": {"description": "year", "unit": "years"},
                                  "w": {"type": "STRING", "source_field": "wt"}, "flag": {"mode": "REPEATED"}})
     assert [(s.name, s.type, s.mode) for s in specs] == [
-        ("season", "INT64", "REQUIRED"), ("w", "INT64", "NULLABLE"), ("flag", "BOOL", "REPEATED"),
+        ("season", "INT64", "REQUIRED"), ("w", "STRING", "NULLABLE"), ("flag", "BOOL", "REPEATED"),
         ("ingested_at", "TIMESTAMP", "REQUIRED")]
     assert specs[0].description == "year" and specs[0].extra == {"unit": "years"}
     assert specs[1].source_field == "wt"

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from huddlekit.sources.feeds import (FEED_A_FORMATS, check_formats, conform_feed_a, conform_feed_b,
-                                     feed_a_damage, feed_a_document_totals, read_feed_a, read_seasons, read_text_documents,
+                                     feed_a_damage, feed_a_document_totals, read_feed_a, read_text_documents,
                                      read_wiki_pages)
 
 def _doc_a(players, **meta):
@@ -78,13 +78,3 @@ def test_wiki_pages(spark, tmp_path):
     (d / "b.json").write_text(json.dumps({"error": {"code": "missingtitle", "info": "nope"}}))
     got = sorted((r.title or "", r.wikitext, r.error_code) for r in read_wiki_pages(spark, str(d)).collect())
     assert got == [("", None, "missingtitle"), ("T", "{{x}}", None)]
-
-
-def test_multi_vintage_union(spark, tmp_path):
-    a = str(tmp_path / "season=2019")
-    b = str(tmp_path / "season=2020")
-    spark.createDataFrame([(1.0, "x")], "play_id double, t string").write.parquet(a)
-    spark.createDataFrame([(2, 7)], "play_id int, extra int").write.parquet(b)
-    df = read_seasons(spark, lambda s: str(tmp_path / f"season={s}"), [2019, 2020], {"play_id": "long"})
-    got = sorted((r.play_id, r.t, r.extra, r.feed_season) for r in df.collect())
-    assert got == [(1, "x", None, 2019), (2, None, 7, 2020)]

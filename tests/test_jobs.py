@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from huddlekit.operators.jobs import (TableSpec, conform_participation, load_seasons, run_tallies,
-                                      sync_adp, sync_bridge, sync_coordinators, sync_rankings)
+from huddlekit.operators.jobs import (load_seasons, run_tallies, sync_adp, sync_bridge, sync_coordinators,
+                                      sync_rankings)
+from huddlekit.operators.specs import TableSpec, conform_participation
 from huddlekit.operators.pages import page_title
 from huddlekit.sources.feeds import read_bridge_csv, read_feed_a
 from huddlekit.sources.store import clustered, create_table_if_missing
@@ -127,8 +128,8 @@ def test_load_seasons(spark, tmp_path):
                            T.StructField("season", T.LongType())])
     create_table_if_missing(spark, table, schema, partition_by=("season",), location=str(tmp_path / table))
 
-    def transform(df):
-        df = conform_participation(df)
+    def transform(df, season):
+        df = conform_participation(df, season)
         # upstream stamps the season from the id for the odd foreign row
         return df.withColumn("season", F.when(F.col("nflverse_game_id").startswith("2018"), 2018)
                              .otherwise(F.col("season")))

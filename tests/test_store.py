@@ -57,7 +57,7 @@ def test_replace_season_types_missing_columns(spark, tmp_path):
     name = _season_table(spark, tmp_path)
     res = replace_season(spark, name, spark.createDataFrame([(2025,), (2026,), (2026,)], "season long"), 2025)
     assert spark.table(name).where("season = 2025").first().val is None
-    assert [tuple(r) for r in res.offending.collect()] == [(2026, 2)]
+    assert (res.dropped, res.offending) == (2, [2026])
 
 
 def test_merge_upsert_plan(spark):
