@@ -1,15 +1,18 @@
 """Skew-aware building blocks.
 
-* ``left_lookup``: a left join whose NULL-key rows skip the join. A NULL key
-  can never match, yet a shuffle join hashes every NULL to one reducer; with
-  a third of the rows unresolved that reducer would get a third of the data.
-  The NULL-key rows are split off, given NULL lookup columns and unioned back
-  (no shuffle for them).
+* ``left_lookup``: a left join that spreads its NULL-key rows. A NULL key can
+  never match, yet a shuffle join hashes every NULL to one reducer; with a
+  third of the rows unresolved that reducer would get a third of the data. A
+  second join key is 0 on the right and, on the left, 0 for rows with a key
+  and a hash of the row for rows without: they stay in the one join, read
+  once, and go to many reducers.
 * ``dense_rank_by_value``: dense rank computed over the *distinct* values of
   each group, range-partitioned so that even a group with a third of all
   distinct values is ranked by many tasks (local ranks plus per-slice
   offsets), then joined back on (group, value); AQE can split that join when
   one (group, value) is hot.
+* ``top_by_value``: the rows of the k highest distinct values of each group,
+  cut down in every task before the shuffle.
 """
 from __future__ import annotations
 
@@ -17,18 +20,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SALTS = 1024
+
+
 def left_lookup(left: DataFrame, right: DataFrame, left_key: Column, right_key: str,
                 extra_condition: Column | None = None) -> DataFrame:
     """``left`` LEFT JOIN ``right`` ON left_key = right[right_key] (and the
     extra condition); the output has left's columns then right's columns."""
-    keyed = left.withColumn("_lk", left_key)
-    cond = F.col("_lk") == F.col(right_key)
+    hashable = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(SALTS)) + 1 if hashable else F.lit(1).cast("long")
+    keyed = left.withColumn("_lk", left_key).withColumn(
+        "_ls", F.when(F.col("_lk").isNull(), salt).otherwise(F.lit(0).cast("long")))
+    # always 0, but not a literal: it has to stay a join key
+    plain = right.withColumn("_rs", F.pmod(F.xxhash64(right_key), F.lit(1).cast("long")))
+    on = (F.col("_lk") == F.col(right_key)) & (F.col("_ls") == F.col("_rs"))
     if extra_condition is not None:
-        cond = cond & extra_condition
-    matched = keyed.where(F.col("_lk").isNotNull()).join(right, cond, "left")
-    unmatched = keyed.where(F.col("_lk").isNull()).select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return matched.unionByName(unmatched).drop("_lk")
+        on = on & extra_condition
+    return keyed.join(plain, on, "left").drop("_lk", "_ls", "_rs")
 
 
 def dense_rank_by_value(df: DataFrame, value: str, group: list[str], out: str) -> DataFrame:
@@ -64,3 +72,17 @@ def dense_rank_by_value(df: DataFrame, value: str, group: list[str], out: str) -
     ranked = df.where(rankable).join(ranks, keys, "inner")
     unranked = df.where(~rankable).withColumn(out, F.lit(None).cast("long"))
     return ranked.unionByName(unranked).select(*df.columns, out)
+
+
+def top_by_value(df: DataFrame, value: str, group: list[str], k: int, out: str) -> DataFrame:
+    """The rows whose dense rank of ``value`` descending within ``group`` is
+    at most ``k``, ties included; rows with a NULL value or group key have no
+    rank. Every task keeps only its own k highest values of each group before
+    the shuffle (Spark's group limit), so what meets in a group's task is at
+    most k values of each task; no other row is ranked."""
+    rankable = F.col(value).isNotNull()
+    for g in group:
+        rankable = rankable & F.col(g).isNotNull()
+    order = Window.partitionBy(*group).orderBy(F.col(value).desc())
+    return (df.where(rankable).withColumn(out, F.dense_rank().over(order)).where(F.col(out) <= k)
+            .withColumn(out, F.col(out).cast("long")))

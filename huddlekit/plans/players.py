@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from huddlekit.operators.identity import resolve_by_id, resolve_by_name, resolve_ids
+from huddlekit.operators.identity import (bridge_index, id_key, index_tally, name_key, resolve_any, resolve_by_id,
+                                          resolve_by_name, resolve_ids)
 from huddlekit.operators.scoring import dense_rank_desc, points_weekly
+from huddlekit.operators.skew import top_by_value
 from huddlekit.plans.tables import rounded, table
 
 SQL_NORMALIZE = ("coalesce(regexp_replace(trim(regexp_replace(regexp_replace(lower({x}), "
@@ -48,6 +50,15 @@ FROM e
 """
 
 
+def top_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three highest values of every position and week, ties included."""
+    ev = _events_week(table(spark, sf_dir, "events"))
+    return top_by_value(ev, "points", ["season", "week", "position"], 3, "position_rank")
+
+
+TOP_WEEKLY_SQL = f"SELECT * FROM ({WEEKLY_POSITION_RANK_SQL}) WHERE position_rank <= 3"
+
+
 def _line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     std = F.col("l_extendedprice") / 1000
@@ -257,3 +268,76 @@ LEFT JOIN ui ON f.source = 'mfl' AND {_sql_to_long('f.source_player_id')} = ui.m
 LEFT JOIN un ON f.source = 'ffc' AND {SQL_NORMALIZE.format(x='f.player_name')} = un.k_name
   AND coalesce(f.position, '') = un.k_pos AND {SQL_NORMALIZE.format(x='f.player_name')} <> ''
 """
+
+
+# --- any id system, refused keys ------------------------------------------------
+
+def _wide_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a bridge with three id systems: a number, a name that is
+    unique and a text id that several customers share."""
+    cu = table(spark, sf_dir, "customer")
+    return cu.select(F.col("c_custkey").alias("mfl_id"), F.concat(F.lit(" "), F.col("c_name")).alias("yahoo_id"),
+                     F.concat_ws("-", "c_mktsegment", (F.col("c_custkey") / 3).cast("long").cast("string")).alias("pfr_id"),
+                     F.when(F.col("c_nationkey") != 7, F.concat(F.lit("00-"), F.col("c_custkey"))).alias("gsis_id"))
+
+
+def _asked_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that name their customer in one system or another."""
+    cu = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders").join(cu, F.col("o_custkey") == F.col("c_custkey"))
+    p = F.substring("o_orderpriority", 1, 1)
+    system = (F.when(p == "1", "mfl_id").when(p == "2", "yahoo_id").when(p == "3", "pfr_id").when(p == "4", "espn_id"))
+    key = (F.when(p == "1", F.concat(F.lit("0"), F.col("o_custkey"), F.lit(".0"))).when(p == "2", F.col("c_name"))
+           .otherwise(F.concat_ws("-", "c_mktsegment", (F.col("c_custkey") / 3).cast("long").cast("string"))))
+    return o.select("o_orderkey", system.alias("id_system"),
+                    F.when(F.col("o_orderstatus") != "P", key).alias("id"))
+
+
+def resolve_any_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve_any(_asked_ids(spark, sf_dir), _wide_bridge(spark, sf_dir), ["mfl_id", "yahoo_id", "pfr_id"],
+                       outcome="outcome")
+
+
+RESOLVE_ANY_ID_SQL = """
+WITH bridge AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS mfl, c_name AS yahoo, c_mktsegment || '-' || (c_custkey // 3) AS pfr,
+         CASE WHEN c_nationkey <> 7 THEN '00-' || c_custkey END AS gid FROM customer),
+index AS (
+  SELECT system, k, count(*) AS n, min(gid) AS gid FROM (
+    SELECT 'mfl_id' AS system, mfl AS k, gid FROM bridge UNION ALL SELECT 'yahoo_id', yahoo, gid FROM bridge
+    UNION ALL SELECT 'pfr_id', pfr, gid FROM bridge) WHERE gid IS NOT NULL GROUP BY system, k),
+asked AS (
+  SELECT o_orderkey, CASE o_orderpriority[1] WHEN '1' THEN 'mfl_id' WHEN '2' THEN 'yahoo_id' WHEN '3' THEN 'pfr_id'
+                          WHEN '4' THEN 'espn_id' END AS id_system,
+         CASE WHEN o_orderstatus <> 'P' THEN CASE o_orderpriority[1] WHEN '1' THEN '0' || o_custkey || '.0'
+              WHEN '2' THEN c_name ELSE c_mktsegment || '-' || (c_custkey // 3) END END AS id,
+         CASE WHEN o_orderstatus <> 'P' THEN CASE o_orderpriority[1] WHEN '1' THEN CAST(o_custkey AS VARCHAR)
+              WHEN '2' THEN c_name WHEN '3' THEN c_mktsegment || '-' || (c_custkey // 3) END END AS k
+  FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT o_orderkey, id_system, id, CASE WHEN n = 1 THEN gid END AS gsis_id,
+       CASE WHEN a.k IS NULL THEN 'no key' WHEN n IS NULL THEN 'unknown' WHEN n > 1 THEN 'refused'
+            ELSE 'resolved' END AS outcome
+FROM asked a LEFT JOIN index i ON i.system = a.id_system AND i.k = a.k
+"""
+
+
+def refused_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the two bridges and how many of them are refused."""
+    names = bridge_index(part_bridge(spark, sf_dir), {"name": name_key("merge_name", "position"),
+                                                      "name alone": name_key("merge_name", F.lit(""))})
+    ids = bridge_index(customer_bridge(spark, sf_dir), {"id": id_key("mfl_id")})
+    return index_tally(names).unionByName(index_tally(ids))
+
+
+REFUSED_KEYS_SQL = f"""
+WITH bridge AS ({PART_BRIDGE_SQL}), ids AS ({CUSTOMER_BRIDGE_SQL}),
+keys AS (
+  SELECT 'name' AS system, {SQL_NORMALIZE.format(x='merge_name')} || '|' || coalesce(position, '') AS k FROM bridge
+  WHERE {SQL_NORMALIZE.format(x='merge_name')} <> ''
+  UNION ALL
+  SELECT 'name alone', {SQL_NORMALIZE.format(x='merge_name')} FROM bridge WHERE {SQL_NORMALIZE.format(x='merge_name')} <> ''
+  UNION ALL
+  SELECT 'id', CAST(mfl_id AS VARCHAR) FROM ids WHERE gsis_id IS NOT NULL)
+SELECT system, count(*)::BIGINT AS keys, (count(*) FILTER (WHERE n > 1))::BIGINT AS refused
+FROM (SELECT system, k, count(*) AS n FROM keys GROUP BY ALL) GROUP BY system
+"""

@@ -38,6 +38,9 @@ QUERIES = {
     "stream_snapshot": streams.stream_snapshot,
     "stream_late_versions": streams.stream_late_versions,
     "adp_vs_points": checks.adp_vs_points,
+    "top_weekly": players.top_weekly,
+    "resolve_any_id": players.resolve_any_id,
+    "refused_keys": players.refused_keys,
     "load_seasons": season_loads.load_seasons,
     "quarantined_rows": season_loads.quarantined_rows,
     "vintage_drift": season_loads.vintage_drift,
@@ -81,6 +84,9 @@ ORACLE_SQL = {
     "stream_snapshot": streams.STREAM_SNAPSHOT_SQL,
     "stream_late_versions": streams.STREAM_LATE_VERSIONS_SQL,
     "adp_vs_points": checks.ADP_VS_POINTS_SQL,
+    "top_weekly": players.TOP_WEEKLY_SQL,
+    "resolve_any_id": players.RESOLVE_ANY_ID_SQL,
+    "refused_keys": players.REFUSED_KEYS_SQL,
     "load_seasons": season_loads.LOAD_SEASONS_SQL,
     "quarantined_rows": season_loads.QUARANTINED_ROWS_SQL,
     "vintage_drift": season_loads.VINTAGE_DRIFT_SQL,

@@ -55,3 +55,42 @@ def test_dense_rank_hot_group_spans_many_slices(spark):
     w = Window.partitionBy("g").orderBy(F.col("v").desc())
     want = {r.id: r.r for r in df.select("id", F.dense_rank().over(w).alias("r")).collect()}
     assert got == want
+
+
+def test_left_lookup_reads_its_rows_once_and_spreads_null_keys(spark):
+    left = spark.range(4000).selectExpr("id", "case when id % 3 = 0 then cast(id as string) end as k")
+    right = spark.range(50).selectExpr("cast(id as string) as rk", "id as val")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = left_lookup(left, right, F.col("k"), "rk")
+        assert out._jdf.queryExecution().executedPlan().toString().count("Range (0, 4000") == 1
+        per_task = [r["count"] for r in out.where("k is null").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(per_task) == 2666 and len(per_task) == 4 and max(per_task) < 2666 / 2
+    assert out.where("val is not null").count() == 17
+
+
+def test_left_lookup_with_maps_extra_conditions_and_repeated_keys(spark):
+    left = spark.createDataFrame([(1, "a", {"x": 1}), (2, None, None), (3, "b", None)], "id int, k string, m map<string,int>")
+    right = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "rk string, val int")
+    assert {(r.id, r.val) for r in left_lookup(left, right, F.col("k"), "rk", F.col("val") < 3).collect()} == {
+        (1, 1), (1, 2), (2, None), (3, None)}
+
+
+def test_top_by_value_keeps_ties_and_limits_before_the_shuffle(spark):
+    from huddlekit.operators.skew import top_by_value
+    for seed in range(3):
+        rows = _random_rows(seed)
+        df = spark.createDataFrame(rows, "id int, g string, wk int, v double")
+        best = top_by_value(df, "v", ["g", "wk"], 2, "r")
+        want = {}
+        for g in {(r[1], r[2]) for r in rows if r[1]}:
+            top = sorted({r[3] for r in rows if (r[1], r[2]) == g and r[3] is not None}, reverse=True)[:2]
+            want.update({r[0]: top.index(r[3]) + 1 for r in rows if (r[1], r[2]) == g and r[3] in top})
+        assert {r.id: r.r for r in best.collect()} == want
+    plan = top_by_value(df, "v", ["g", "wk"], 2, "r")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Join" not in plan
