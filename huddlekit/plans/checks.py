@@ -97,11 +97,8 @@ def _sql_rate_denominators() -> str:
     from huddlekit.operators.quality import RATE_DENOMINATOR_PAIRS
     parts = []
     for rate, den in RATE_DENOMINATOR_PAIRS:
-        if rate.startswith("personnel"):
-            nd, o1 = "0", "0"
-        else:
-            nd = f"count(*) FILTER (WHERE {rate} IS NOT NULL AND {den} IS NULL)"
-            o1 = f"count(*) FILTER (WHERE {rate} IS NOT NULL AND {rate} > 1.0)"
+        nd = f"count(*) FILTER (WHERE {rate} IS NOT NULL AND {den} IS NULL)"
+        o1 = f"count(*) FILTER (WHERE {rate} IS NOT NULL AND {rate} > 1.0)"
         parts.append(f"SELECT season, count(*) AS n, 'scheme_denominators[{rate}]' AS \"check\", "
                      f"CAST({nd} AS BIGINT) AS null_denominator, CAST({o1} AS BIGINT) AS over_one, "
                      f"{nd} = 0 AND {o1} = 0 AND count(*) > 0 AS passed FROM fp GROUP BY season")
@@ -114,7 +111,7 @@ FILL_CEILING = 0.75
 
 
 def check_fill_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") <= 12)
+    li = table(spark, sf_dir, "lineitem")
     rf = F.col("l_returnflag")
     mz = (F.when(rf == "R", "MAN_COVERAGE").when(rf == "A", "ZONE_COVERAGE")
           .when(F.col("l_linenumber") % 2 == 0, "  "))
@@ -127,7 +124,7 @@ SELECT 'fill_matrix' AS "check", CAST(year(l_shipdate) AS BIGINT) AS season, cou
        count(*) FILTER (WHERE l_returnflag IN ('R', 'A')) AS n_filled,
        round(count(*) FILTER (WHERE l_returnflag IN ('R', 'A')) / count(*), 6) AS fill_rate,
        count(*) FILTER (WHERE l_returnflag IN ('R', 'A')) / count(*) <= {FILL_CEILING} + 0.001 AS passed
-FROM lineitem WHERE l_quantity <= 12 GROUP BY 2
+FROM lineitem GROUP BY 2
 """
 
 
@@ -226,13 +223,15 @@ FROM s WINDOW w AS (PARTITION BY user_id ORDER BY stint_no)
 
 def play_level_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    part = ev.where(F.col("event_type").isin("click", "view")).select(
+    part = ev.select(
         F.col("user_id").cast("string").alias("game_id"),
         F.col("event_id").cast("double").alias("play_id"),
         F.col("event_type").alias("participation_type"))
-    ftn = ev.where(F.col("value") > 10).select(
+    # the second feed charts the play after, and writes some ids as text no number can be read from
+    ftn = ev.select(
         F.col("user_id").cast("string").alias("nflverse_game_id"),
-        F.col("event_id").cast("string").alias("nflverse_play_id"),
+        F.when(F.col("event_type") == "error", F.concat(F.lit("x"), "event_id"))
+        .otherwise((F.col("event_id") + F.col("event_id") % 2).cast("string")).alias("nflverse_play_id"),
         F.col("value").alias("ftn_value"))
     p = part.withColumn("play_id", to_long("play_id"))
     f = ftn.withColumn("nflverse_play_id", to_long("nflverse_play_id"))
@@ -243,8 +242,8 @@ def play_level_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLAY_LEVEL_JOIN_SQL = """
 SELECT CAST(a.user_id AS VARCHAR) AS game_id, a.event_id AS play_id,
        a.event_type AS participation_type, b.value AS ftn_value
-FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id = b.event_id
-WHERE a.event_type IN ('click', 'view') AND b.value > 10
+FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id = b.event_id + b.event_id % 2
+WHERE b.event_type <> 'error'
 """
 
 

@@ -13,16 +13,25 @@
 * personnel: a line item is a charted snap; its list and summary encodings
   are built from line number, quantity and return flag.
 * pages: title / heading / first navigation link of each page.
+* wiki pages: every page is a capture of a team-season page (its id gives
+  season and team, a larger id is a later capture) whose infobox names the
+  host or the address as coordinator, as a link, a labelled link with a small
+  note, or plain text; an address with ``=`` reads as a bled field. The job
+  asks for all teams and seasons and one team that does not exist.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from huddlekit.functions.exprs import season_week_from_key
 from huddlekit.functions.personnel import parse_legacy, parse_modern, with_personnel
-from huddlekit.operators.pages import role_rows
+from huddlekit.operators.jobs import sync_coordinators_from_pages
+from huddlekit.operators.pages import TEAM_PAGE_NAMES, page_title, role_rows
 from huddlekit.operators.reshape import reconcile_eras, season_guard, unpivot_sides
+from huddlekit.plans.loads import taken
 from huddlekit.plans.tables import table
 
 
@@ -292,3 +301,49 @@ SELECT page_id, role, name,
             THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.75 AS DOUBLE) END AS confidence
 FROM c WHERE name <> '' AND NOT regexp_matches(name, '[|=]')
 """
+
+
+WIKI_SEASONS = tuple(range(2000, 2025))
+
+
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    teams = F.array(*[F.lit(t) for t in TEAM_PAGE_NAMES])
+    team = F.element_at(teams, (F.col("page_id") % len(TEAM_PAGE_NAMES) + 1).cast("int"))
+    season = F.col("page_id") % len(WIKI_SEASONS) + WIKI_SEASONS[0]
+    host = F.regexp_extract("url", "//([^/?#]+)", 1)
+    kind = F.col("page_id") % 5
+    off = (F.when(kind == 0, F.concat(F.lit("| off_coach = [["), host, F.lit("]]\n")))
+           .when(kind == 1, F.concat(F.lit("| off_coach = [[Site|"), host, F.lit("]] {{small|(interim)}}\n")))
+           .when(kind == 2, F.concat(F.lit("| off_coach =  "), "url", F.lit("  \n")))
+           .when(kind == 3, F.lit("| off_coach =\n")).otherwise(F.lit("")))
+    box = F.concat(F.lit("{{Infobox season\n| record = 1\n"), off, F.lit("| def_coach = "), host, F.lit("\n}}\ntext"))
+    return pages.select(F.replace(page_title(season, team), F.lit("_"), F.lit(" ")).alias("title"),
+                        F.when(F.col("page_id") % 11 != 0, box).alias("wikitext"),
+                        F.timestamp_seconds("page_id").alias("landed_at"))
+
+
+def coordinators_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored coordinators after the pages were synced, twice."""
+    name = f"coordinators_{uuid.uuid4().hex[:12]}"
+    landed = _captures(spark, sf_dir)
+    for _ in range(2):
+        sync_coordinators_from_pages(spark, name, landed, list(WIKI_SEASONS), [*TEAM_PAGE_NAMES, "XX"])
+    return taken(spark, name, ["season", "team", "role", "name", "source", "confidence"])
+
+
+COORDINATORS_WRITTEN_SQL = f"""
+WITH captures AS (
+  SELECT {len(WIKI_SEASONS)} AS n, page_id, {WIKI_SEASONS[0]} + page_id % {len(WIKI_SEASONS)} AS season,
+         {list(TEAM_PAGE_NAMES)}[page_id % {len(TEAM_PAGE_NAMES)} + 1] AS team,
+         regexp_extract(url, '//([^/?#]+)', 1) AS host, url, page_id % 5 AS kind
+  FROM pages WHERE page_id % 11 <> 0),
+newest AS (SELECT * FROM captures QUALIFY row_number() OVER (PARTITION BY season, team ORDER BY page_id DESC) = 1),
+raw AS (
+  SELECT season, team, 'DC' AS role, host AS name, 0.75 AS confidence FROM newest
+  UNION ALL
+  SELECT season, team, 'OC', CASE WHEN kind IN (0, 1) THEN host WHEN kind = 2 THEN trim(url) END,
+         CASE WHEN kind = 0 THEN 1.0 ELSE 0.75 END FROM newest)
+SELECT CAST(season AS BIGINT) AS season, team, role, name, 'wikipedia' AS source, CAST(confidence AS DOUBLE) AS confidence
+FROM raw WHERE name <> '' AND NOT regexp_matches(name, '[|=]')
+"""

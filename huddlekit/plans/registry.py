@@ -16,6 +16,7 @@ QUERIES = {
     "personnel_legacy": layouts.personnel_legacy,
     "personnel_dispatch": layouts.personnel_dispatch,
     "page_fields": layouts.page_fields,
+    "coordinators_written": layouts.coordinators_written,
     "key_from_id": layouts.key_from_id,
     "conform_feed_a": landing.conform_feed_a_q,
     "conform_feed_b": landing.conform_feed_b_q,
@@ -62,6 +63,7 @@ ORACLE_SQL = {
     "personnel_legacy": layouts.PERSONNEL_LEGACY_SQL,
     "personnel_dispatch": layouts.PERSONNEL_DISPATCH_SQL,
     "page_fields": layouts.PAGE_FIELDS_SQL,
+    "coordinators_written": layouts.COORDINATORS_WRITTEN_SQL,
     "key_from_id": layouts.KEY_FROM_ID_SQL,
     "conform_feed_a": landing.CONFORM_FEED_A_SQL,
     "conform_feed_b": landing.CONFORM_FEED_B_SQL,

@@ -3,9 +3,9 @@
 Mapping: an order is a play (``orders`` joined to ``customer``); status F is a
 pass, O a run, P a special-teams snap that the fingerprint filters out. The
 season is the order year, the week the order month, the team the customer's
-nation (nation 24 stands for a play with no team). Line items are charting
-rows: quantity up to 12 feeds coverage/pressure charting, above 40 the FTN
-charting. Nation names are the team-week labels.
+nation (nation 24 stands for a play with no team). Every line item is a row of
+both charting feeds, with its personnel as text (``layouts``). Nation names are
+the team-week labels.
 """
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from huddlekit.operators.fingerprint import team_week_fingerprint
+from huddlekit.plans.layouts import (SNAP_COLUMNS_SQL, SQL_LEGACY_LABS, SQL_LEGACY_NUMS, _sql_legacy_select,
+                                     snap_encodings)
 from huddlekit.plans.tables import rounded, table
 
 
@@ -35,18 +37,19 @@ def plays_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def participation_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") <= 12)
+    li = snap_encodings(table(spark, sf_dir, "lineitem"))
     rf = F.col("l_returnflag")
     return li.select(
         F.col("l_orderkey").alias("play_id"),
         F.when(rf == "R", "MAN_COVERAGE").when(rf == "A", "ZONE_COVERAGE")
          .when(F.col("l_linenumber") % 2 == 0, "  ").alias("defense_man_zone_type"),
         F.col("l_quantity").alias("defenders_in_box"),
-        F.when(rf != "N", F.col("l_linestatus") == "F").alias("was_pressure"))
+        F.when(rf != "N", F.col("l_linestatus") == "F").alias("was_pressure"),
+        "offense_positions", "offense_personnel")
 
 
 def ftn_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > 40)
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("play_id"),
         (F.col("l_returnflag") == "R").alias("is_play_action"),
@@ -67,11 +70,15 @@ def team_week_fingerprint_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     fp = team_week_fingerprint(plays_from_orders(spark, sf_dir),
                                participation_from_lineitem(spark, sf_dir),
                                ftn_from_lineitem(spark, sf_dir),
-                               team_labels(spark, sf_dir))
-    return rounded(fp.drop("plays_with_personnel", "personnel_11_rate", "personnel_12_rate",
-                           "personnel_21_rate", "personnel_source"))
+                               team_labels(spark, sf_dir), personnel=True)
+    return rounded(fp)
 
 
+# line items with their personnel counts (all seasons here are of the summary encoding)
+_PERSONNEL_SQL = f"""SELECT l_orderkey, l_linenumber, {_sql_legacy_select()}
+  FROM (SELECT *, {SQL_LEGACY_NUMS} AS nums, {SQL_LEGACY_LABS} AS labs
+        FROM (SELECT l_orderkey, l_linenumber, {SNAP_COLUMNS_SQL.strip()} FROM lineitem))"""
+
 TEAM_WEEK_FINGERPRINT_SQL = """
 WITH plays AS (
   SELECT CAST(year(o.o_orderdate) AS BIGINT) AS season,
@@ -108,10 +115,18 @@ cov AS (
                     WHEN l_linenumber % 2 = 0 THEN '  ' END AS mz,
                l_quantity AS dib,
                CASE WHEN l_returnflag <> 'N' THEN l_linestatus = 'F' END AS wp
-        FROM lineitem WHERE l_quantity <= 12) t
+        FROM lineitem) t
   JOIN ref r ON t.play_id = r.play_id
   GROUP BY r.season, r.week, r.team
 ),
+pers AS (
+  SELECT r.season, r.week, r.team, count(*) FILTER (WHERE plausible) AS n,
+         count(*) FILTER (WHERE plausible AND n_rb = 1 AND n_te = 1) AS n11,
+         count(*) FILTER (WHERE plausible AND n_rb = 1 AND n_te = 2) AS n12,
+         count(*) FILTER (WHERE plausible AND n_rb = 2 AND n_te = 1) AS n21
+  FROM (PERSONNEL) t JOIN ref r ON t.l_orderkey = r.play_id
+  GROUP BY r.season, r.week, r.team
+),
 ftn AS (
   SELECT r.season, r.week, r.team, count(t.play_id) AS n,
          count(*) FILTER (WHERE t.pa) AS n_pa, count(*) FILTER (WHERE t.mo) AS n_mo,
@@ -121,7 +136,7 @@ ftn AS (
   FROM (SELECT l_orderkey AS play_id, l_returnflag = 'R' AS pa, l_returnflag = 'A' AS mo,
                l_linestatus = 'O' AS rpo, l_discount >= 0.08 AS scr,
                nullif(l_linenumber - 2, 0) AS nb, l_linenumber AS nr
-        FROM lineitem WHERE l_quantity > 40) t
+        FROM lineitem) t
   JOIN ref r ON t.play_id = r.play_id
   GROUP BY r.season, r.week, r.team
 )
@@ -130,6 +145,10 @@ SELECT b.season, b.week, b.team, n.n_name AS head_coach,
        round(b.shotgun_rate, 6) AS shotgun_rate, round(b.no_huddle_rate, 6) AS no_huddle_rate,
        round(b.pass_rate, 6) AS pass_rate, round(b.proe, 6) AS proe,
        round(b.epa_per_play, 6) AS epa_per_play,
+       CAST(pers.n AS BIGINT) AS plays_with_personnel, round(pers.n11 / nullif(pers.n, 0), 6) AS personnel_11_rate,
+       round(pers.n12 / nullif(pers.n, 0), 6) AS personnel_12_rate,
+       round(pers.n21 / nullif(pers.n, 0), 6) AS personnel_21_rate,
+       CASE WHEN pers.n IS NOT NULL THEN 'offense_personnel' END AS personnel_source,
        CAST(cov.charted AS BIGINT) AS plays_charted_coverage,
        round(cov.n_man / nullif(cov.charted, 0), 6) AS man_rate,
        round(cov.n_zone / nullif(cov.charted, 0), 6) AS zone_rate,
@@ -146,5 +165,6 @@ SELECT b.season, b.week, b.team, n.n_name AS head_coach,
 FROM base b
 LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = b.team
 LEFT JOIN cov ON cov.season = b.season AND cov.week = b.week AND cov.team = b.team
+LEFT JOIN pers ON pers.season = b.season AND pers.week = b.week AND pers.team = b.team
 LEFT JOIN ftn ON ftn.season = b.season AND ftn.week = b.week AND ftn.team = b.team
-"""
+""".replace("PERSONNEL", _PERSONNEL_SQL)
