@@ -3,6 +3,7 @@ flagship plan has the shape it is meant to have."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -14,6 +15,8 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "plays" in df.columns and "man_rate" in df.columns
+    seen = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
+    assert all(seen[c] > 0 for c in df.columns)     # every block is bound
 
 
 OWN = sorted(set(E.queries()) - set(E.LLM_QUERIES))
@@ -23,12 +26,28 @@ def test_every_query_has_an_oracle():
     assert set(OWN) <= set(E.oracle_sql())
 
 
+# these run whole loads; they are compared row by row by tools/oracle_check.py
+LOADS = {"load_seasons", "team_week_written", "verify_stored", "stream_snapshot", "stream_late_versions",
+         "upsert_written", "replace_written", "coordinators_written"}
+
+
 @pytest.mark.parametrize("name", OWN)
 def test_query_runs(spark, name):
     df = E.queries()[name](spark, SF)
-    schema = df.schema
-    assert df.count() >= 0
-    assert E.queries()[name](spark, SF).schema == schema
+    assert df.count() > 0 or name in ("resolve_mixed", "check_fill_matrix")
+    if name not in LOADS:
+        assert E.queries()[name](spark, SF).schema == df.schema
+
+
+@pytest.mark.parametrize("gone", ["huddlekit.llm", "xxhash", "corpus_pipeline"])
+def test_the_rest_works_without_the_optional_part(gone):
+    import subprocess
+    import sys
+    code = (f"import sys; sys.modules[{gone!r}] = None; import __spark_entry__ as E; "
+            "print(len(E.queries()), len(E.oracle_sql()), any(q.startswith('op') for q in E.queries()))")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root)
+    assert out.stdout.split() == [str(len(OWN)), str(len(OWN)), "False"], out.stderr
 
 
 def test_flagship_plan(spark):
@@ -37,5 +56,6 @@ def test_flagship_plan(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     import re
     pushed = " ".join(re.findall(r"PushedFilters: \[[^\]]*\]", plan))
-    assert "LessThanOrEqual(l_quantity,12.0)" in pushed and "GreaterThan(l_quantity,40.0)" in pushed
     assert "IsNotNull(l_orderkey)" in pushed
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert all("l_comment" not in columns and "l_tax" not in columns for columns in read)
