@@ -13,8 +13,8 @@ its k-th best document so far.
    of a block is what every task holds.
 2. One pass over the texts writes the restricted vectors and the lengths, from
    which Spark counts N, L and the document frequencies.
-3. The vectors are range-partitioned by path (a hot path is cut by id), so a
-   task holds neighbouring branches of one tree; it builds and walks the tree
+3. The vectors are range-partitioned by the first terms of their paths (a hot
+   beginning is cut by id), so a task holds neighbouring branches of one tree; it builds and walks the tree
    in runs of ``BLOCK_DOCS`` documents and keeps k documents per item.
 4. A small hashed part of the documents is searched first. Its k-th best
    document is a lower bound of the k-th best of all, with which the tasks
@@ -38,6 +38,7 @@ from huddlekit.llm.common import blobs, cut
 BLOCK_TERMS = 50_000    # (item, term) pairs of a block of items
 BLOCK_DOCS = 8192       # documents of one tree
 LEAF = 32               # documents of a leaf bucket
+HEAD_TERMS = 6          # first terms of a path that decide its partition
 FIRST_PART = 32         # one document in so many is searched first
 NO_ID = 2**63 - 1       # stands for a null id: last of equal scores
 # bytes of terms, A-Z lower-cased; the rest become blanks
@@ -344,8 +345,10 @@ def search_block(docs: DataFrame, pairs: list[tuple], k: int, id_col: str, text_
     # one row per item of the block
     for row in best_of(part, query, k, floor, floor_id).filter(F.col("rank") == k).collect():
         floor[row["item"]], floor_id[row["item"]] = row["score"], row["doc_id"]
+    # the bounds are drawn from the first terms of sampled paths, not from whole paths
     placed = (documents.withColumn("salt", F.monotonically_increasing_id())
-              .repartitionByRange("path", "doc_id", "salt").drop("salt").sortWithinPartitions("path"))
+              .withColumn("head", F.substring("path", 1, 4 * HEAD_TERMS))
+              .repartitionByRange("head", "doc_id", "salt").drop("head", "salt").sortWithinPartitions("path"))
     best = best_of(placed, query, k, floor, floor_id)
     names = docs.sparkSession.createDataFrame(list(enumerate(items)), "item long, item_id long")
     return best.join(F.broadcast(names), "item").select(
