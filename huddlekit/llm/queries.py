@@ -96,7 +96,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_spelling_variants": op13_spelling_variants,
 }
 
+# SHA-1 in base32: five hexadecimal digits at a time are four letters
+WARC_SQL = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, url, octet_length(payload)::BIGINT AS payload_bytes, upper(sha1(payload)) AS hex FROM p),
+b AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id,
+         list_aggregate(list_transform(range(0, 8), lambda g: list_aggregate(list_transform([15, 10, 5, 0], lambda k:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((CAST('0x' || substr(hex, CAST(5 * g + 1 AS BIGINT), 5) AS BIGINT) >> k) & 31) + 1, 1)),
+           'string_agg', '')), 'string_agg', '') AS payload_digest FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to, url
+FROM b
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": WARC_SQL,
     "op12_lexical_search": lexical_search.SEARCH_SQL,
     "op13_spelling_variants": spelling.SPELLING_SQL,
 }
