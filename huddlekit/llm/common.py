@@ -2,8 +2,10 @@
 hashes, and streaming over sorted Arrow batches."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +21,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, removed when the driver
-    ends."""
-    path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return path
+    ends. The path names its file system, so that what opens it without Spark
+    finds the same folder."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}"))
+    files = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(hpath)
+    return files.makeQualified(hpath).toString()
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -41,6 +43,28 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. A reused Python worker otherwise
+    keeps, to the end of the application, what its largest task held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc has it
+    if trim:
+        trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema) -> DataFrame:
+    """``mapInArrow`` that leaves nothing behind in the worker: what ``run``
+    holds ends with its batches, and the memory is given back."""
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return df.mapInArrow(lean, schema)
+
+
 class WordHash(dict):
     """word bytes -> 64-bit hash, memoized up to a fixed number of words."""
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from huddlekit.llm.common import WordHash, blobs, cut, shingle_hashes, whole_groups, words_of
+from huddlekit.llm.common import WordHash, blobs, cut, map_batches, shingle_hashes, whole_groups, words_of
 from huddlekit.llm.components import components
 
 SKETCH_BITS, SKETCH_BLOCK = 20, 1 << 14   # count sketch: cells and cells per row
@@ -112,7 +112,7 @@ def signatures_and_sketch(docs: DataFrame, k: int) -> DataFrame:
                  pa.array(range(size), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
                 names=["doc_id", "sig", "n", "part", "cells"])
 
-    return docs.mapInArrow(run, "doc_id long, sig binary, n long, part int, cells binary")
+    return map_batches(docs, run, "doc_id long, sig binary, n long, part int, cells binary")
 
 
 def sketch_classes(sketch: DataFrame) -> np.ndarray:
@@ -132,7 +132,7 @@ def sketch_classes(sketch: DataFrame) -> np.ndarray:
                                          names=["part", "cells"])
 
     schema = "part int, cells binary"
-    summed = sketch.mapInArrow(add, schema).repartition("part").mapInArrow(add, schema).toArrow()
+    summed = map_batches(map_batches(sketch, add, schema).repartition("part"), add, schema).toArrow()
     out = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCK * SKETCH_BLOCK, np.uint8).reshape(-1, SKETCH_BLOCK)
     for part, cells in zip(summed["part"].to_pylist(), summed["cells"].to_pylist()):
         out[part] = (2 * np.log2(np.frombuffer(cells, np.uint64) + 1.0)).astype(np.uint8)
@@ -161,8 +161,9 @@ def classes_with_prefixes(docs: DataFrame, rank: np.ndarray, k: int, percent: in
                                                        pa.binary(), pa.binary()))],
                 names=["doc_id", "sig", "n", "text_key", "prefix", "parity", "wide"])
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
-        run, "doc_id long, sig binary, n long, text_key long, prefix binary, parity binary, wide binary")
+    rows = map_batches(
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), run,
+        "doc_id long, sig binary, n long, text_key long, prefix binary, parity binary, wide binary")
     # all rows of a class agree on n, prefix and parity; text_key is that of one of them
     merged = rows.groupBy("sig").agg(F.min("doc_id").alias("min_doc"), F.min("n").alias("n"),
                                      F.min("text_key").alias("text_key"), F.first("prefix").alias("prefix"),
@@ -184,7 +185,7 @@ def postings(classes: DataFrame) -> DataFrame:
                 [pa.array(np.concatenate(prefixes)), pa.array(np.repeat(b.column(0).to_numpy(), sizes)),
                  pa.array(np.repeat(b.column(1).to_numpy(), sizes)), pa.array(pos)], names=["token", "cid", "n", "pos"])
 
-    return classes.select("cid", "n", "prefix").mapInArrow(run, "token long, cid long, n long, pos int")
+    return map_batches(classes.select("cid", "n", "prefix"), run, "token long, cid long, n long, pos int")
 
 
 def shared_lists(entries: DataFrame) -> DataFrame:
@@ -216,7 +217,7 @@ def shared_lists(entries: DataFrame) -> DataFrame:
                                              names=["token", "cid", "n", "pos", "seq"])
 
     ordered = entries.repartition("token").sortWithinPartitions("token", "pos", "n", "cid")
-    return ordered.mapInArrow(run, "token long, cid long, n long, pos int, seq long")
+    return map_batches(ordered, run, "token long, cid long, n long, pos int, seq long")
 
 
 def meetings(lists: DataFrame, percent: int) -> DataFrame:
@@ -294,7 +295,7 @@ def candidate_pairs(tagged: DataFrame, percent: int, nearest: bool) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     dealt = tagged.repartition("gid").sortWithinPartitions("gid", "pos", "n", "cid")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return map_batches(dealt, run, "a long, b long").distinct()
 
 
 def still_possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -309,7 +310,7 @@ def still_possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
         return classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "wide_a", "wide_b")
-    return both.mapInArrow(run, "a long, b long")
+    return map_batches(both, run, "a long, b long")
 
 
 # ---- verification ------------------------------------------------------------------------------
@@ -333,7 +334,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "items"])
 
     reread = docs.select("text", F.pmod(F.xxhash64("text"), F.lit(1 << FILTER_BITS)).alias("k"))
-    rows = reread.mapInArrow(run, "sig binary, items binary")
+    rows = map_batches(reread, run, "sig binary, items binary")
     return rows.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"])
 
 
@@ -360,7 +361,7 @@ def differences(pairs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFra
     both = keyed.join(sets.select(F.col("sig").alias("sig_a"), F.col("items").alias("sa")), "sig_a") \
                 .join(sets.select(F.col("sig").alias("sig_b"), F.col("items").alias("sb")), "sig_b") \
                 .select("a", "b", "na", "nb", "sa", "sb")
-    return both.mapInArrow(run, "a long, b long, na long, nb long, delta long")
+    return map_batches(both, run, "a long, b long, na long, nb long, delta long")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, name: str) -> DataFrame:
