@@ -8,11 +8,12 @@ exactly zero, so the model that is sent to the scoring tasks is a short list
 of (index, weight).
 
 The classifier is fitted on at most ``max_rows`` labelled rows of each class
-(those of the smallest id hash), dealt into a fixed number of shards; in each
-round every shard runs FTRL passes from the common state, and the changes are
-averaged per coordinate by a Spark aggregation. Rows of the smaller class are
-weighted up, so that both classes weigh alike whatever their numbers and the
-bound. Every text is scored whole.
+(one row per id, those of the smallest id hash), dealt into a fixed number of
+shards; in each round every shard runs FTRL passes from the common state, and
+the changes are averaged per coordinate by a Spark aggregation. Rows of the
+smaller class take several turns in a pass, so that both classes have about as
+many whatever their numbers and the bound; a weight in the gradient would also
+slow the per-coordinate rates. Every text is scored whole.
 """
 from __future__ import annotations
 
@@ -23,9 +24,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from huddlekit.llm.common import WordHash, blobs, cut, mix
+from huddlekit.llm.common import WordHash, blobs, cut, map_batches, mix, release_memory
 
 BITS = 20
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.1
@@ -72,63 +72,84 @@ def ftrl_weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def ftrl_passes(texts: list[bytes], labels: np.ndarray, z: np.ndarray, n: np.ndarray, passes: int,
-                weight_of: tuple[float, float] = (1.0, 1.0)) -> None:
-    """Passes over the rows in the given order, updating the state in place;
-    ``weight_of`` gives the weight of a row by its label."""
+                turns: np.ndarray | None = None) -> None:
+    """Passes over the rows, updating the state in place; ``turns`` gives the
+    rows of a pass in order (default: each once)."""
     features, bias = Features(), 1 << BITS
     rows = [np.unique(features(t)).astype(np.int32) for t in texts]
     seen = np.bincount(np.concatenate(rows), minlength=bias + 1) if rows else np.zeros(bias + 1)
     rows = [np.append(r[seen[r] >= LEAST_ROWS], bias) for r in rows]
     for _ in range(passes):
-        for idx, y in zip(rows, labels):
+        for k in range(len(rows)) if turns is None else turns:
+            idx = rows[k]
             n0 = n[idx]
             w = ftrl_weights(z[idx], n0)
-            g = weight_of[int(y)] * (sigmoid(w.sum()) - y)
+            g = sigmoid(w.sum()) - labels[k]
             n1 = n0 + g * g
             z[idx] += g - (np.sqrt(n1) - np.sqrt(n0)) / ALPHA * w
             n[idx] = n1
 
 
+def turns_of(labels: np.ndarray, times: tuple[int, int], order: np.ndarray) -> np.ndarray:
+    """Every row as often as its class says, mixed by a hash of the row's
+    order and the number of its turn."""
+    rows = np.repeat(np.arange(len(labels)), np.where(labels == 1, times[1], times[0]))
+    again = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    key = mix(order.astype(np.uint64)[rows], again.astype(np.uint64) + np.uint64(1))
+    return rows[np.argsort(key, kind="stable")]
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows: int = 5000, shards: int = 4,
                  rounds: int = 3, passes: int = 2, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
     """(indices, weights) of the fitted model; the last index is the bias.
 
     ``usable`` is a condition on ``doc_id`` that says which labelled rows may
-    be learned from. At most ``max_rows`` rows of each class are used, and
-    the rows of the class with fewer weigh as much together as the others', so
-    the fit has the class ratio 1 to 1 at every size. Labels
-    of a repeated id count as toxic if any of them does; rows with a null id,
-    label or text are not learned from. Without rows of both classes the
-    model is empty and scores 0.5 less a little."""
+    be learned from. At most ``max_rows`` rows of each class are used, one per
+    id (that of least text hash), of ids that stand in ``docs`` with a text.
+    Rows of the class with fewer take more turns, so the fit has a class ratio
+    of about 1 to 1 at every size. Labels of a repeated id count as toxic if
+    any of them does; rows with a null id, label or text are not learned from.
+    Without rows of both classes the model is empty and scores 0.5."""
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
              .filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
              .filter(usable).withColumn("order", F.xxhash64("doc_id")))
+    src = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+           .filter("doc_id is not null and text is not null"))
+    known = known.join(src.select("doc_id").distinct(), "doc_id", "left_semi")
     picked = [known.filter(F.col("y") == c).orderBy("order", "doc_id").limit(max_rows) for c in (0, 1)]
     ids = picked[0].unionByName(picked[1])
     # at most 2 * max_rows ids
-    sample = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-                 .filter(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
-                 .select("y", "text", F.pmod("order", F.lit(shards)).cast("int").alias("shard"), "order"), "toxic-sample")
+    one = (src.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y", "order")
+           .agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row")))
+    sample = cut(one.select("y", F.col("row.text"), F.pmod("order", F.lit(shards)).cast("int").alias("shard"), "order"),
+                 "toxic-sample")
     n_of = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
     if len(n_of) < 2:
         return np.empty(0, np.int64), np.empty(0)
     most = max(n_of.values())
-    weight_of = (most / n_of[0], most / n_of[1])
+    times = (round(most / n_of[0]), round(most / n_of[1]))
     for _ in range(rounds):
         used = np.flatnonzero(n)
         state = spark.sparkContext.broadcast((used, z[used], n[used]))
 
         def learn(part: pd.DataFrame) -> pd.DataFrame:
+            try:
+                return changes(part)
+            finally:
+                release_memory()
+
+        def changes(part: pd.DataFrame) -> pd.DataFrame:
             z1, n1 = np.zeros(size), np.zeros(size)
             at, z_at, n_at = state.value
             z1[at], n1[at] = z_at, n_at
             part = part.sort_values(["order", "text"])
-            ftrl_passes([t.encode() for t in part["text"]], part["y"].to_numpy(float), z1, n1, passes,
-                        weight_of)
+            y = part["y"].to_numpy(float)
+            ftrl_passes([t.encode() for t in part["text"]], y, z1, n1, passes,
+                        turns_of(y, times, part["order"].to_numpy()))
             z0, n0 = np.zeros(size), np.zeros(size)
             z0[at], n0[at] = z_at, n_at
             idx = np.flatnonzero(n1 != n0)
@@ -147,10 +168,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
 
 
 def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, id_col: str = "doc_id",
-                   text_col: str = "text", carry: bool = False) -> DataFrame:
-    """``doc_id, score`` per row, or with ``carry`` all columns of ``docs``
-    plus ``toxic_score``. Null and empty texts get the bias score. Rows are
-    neither dropped nor shuffled; repeated rows score alike."""
+                   text_col: str = "text") -> DataFrame:
+    """``doc_id, score`` per row. Null and empty texts get the bias score.
+    Rows are neither dropped nor shuffled; repeated rows score alike."""
     index, weights = model
 
     def scorer():
@@ -164,30 +184,23 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, id_
             return float(sigmoid(bias + table[idx].sum()))
         return score
 
-    if carry:
-        name = "toxic_score"
-        docs = docs.drop(name)
-        at = docs.columns.index(text_col)
-        schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
-
-        def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            score = scorer()
-            for b in batches:
-                s = pa.array([score(t) for t in blobs(b.column(at))], pa.float64())
-                yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*b.schema.names, name])
-        return docs.mapInArrow(run_all, schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer()
         for b in batches:
             s = pa.array([score(t) for t in blobs(b.column(1))], pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), s], names=["doc_id", "score"])
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, score double")
+    return map_batches(src, run, "doc_id long, score double")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, usable: Column, *, threshold: float = 0.5,
-                  **options) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more."""
-    model = fit_toxicity(docs, labels, usable, **options)
-    return score_toxicity(docs, model, carry=True).filter(F.col("toxic_score") < threshold).select(*docs.columns)
+                  text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more. Only texts
+    go to Python and only scores come back; rows are named by a hash of the
+    text, which alone decides the score, so null and repeated ids do not
+    matter. A null text is scored as an empty one."""
+    model = fit_toxicity(docs, labels, usable, text_col=text_col, **options)
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    scored = score_toxicity(docs.select(key.alias("text_key"), text_col), model, id_col="text_key", text_col=text_col)
+    lost = cut(scored.filter(F.col("score") >= threshold).select(F.col("doc_id").alias("lost_key")).distinct(), "lost")
+    return docs.join(lost, key == F.col("lost_key"), "left_anti")
