@@ -16,6 +16,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +65,8 @@ NOTICES = (
 
 def text_words(text: Column) -> Column:
     """Words of a lower-cased text; the ends may hold one empty string."""
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_BREAK, -1)
+    # A-Z alone: a letter like U+212A is no k
+    return F.split(F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase), WORD_BREAK, -1)
 
 
 def word_count(words: Column) -> Column:

@@ -42,7 +42,7 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    raise ValueError(f"a path must name its file system: {path}")
 
 
 def url_key(url: str | None) -> str:
