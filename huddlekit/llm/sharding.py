@@ -6,8 +6,9 @@ with the shard's residual capacity is highest. To place billions of groups,
 only the heavy ones (more than ``1 / heavy_share`` of a shard in some
 dimension, a number bounded by the parameters) are placed one by one; the
 rest meet in a fixed number of hashed bundles, each placed as one item. A
-group larger than a whole shard is cut into pieces by a hash of its ids: it
-cannot be whole in balanced shards.
+group larger than a whole shard is cut into pieces by a hash of the number
+that each of its rows got when the sizes were written: it cannot be whole in
+balanced shards, and neither null nor repeated ids keep it together.
 """
 from __future__ import annotations
 
@@ -54,12 +55,16 @@ def pack_shards(docs: DataFrame, n_shards: int = 16, *, heavy_share: int = 200,
 
     A null text counts as empty (size 1) and groups with empty texts. Rows
     with null ids and repeated rows are placed like any other; slots are
-    gapless from 0 per shard, in order of (hash bucket, id, checksum). An
-    empty table gives an empty result. Other columns are not read.
+    gapless from 0 per shard, in order of (hash bucket, id, checksum). A text
+    is never cut: one that is larger than a shard's worth makes its shard that
+    much larger. An empty table gives an empty result. Other columns are not
+    read.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), *text_sizes(text)), "sizes")
+    # the row number is written, so every later use sees the same one
+    rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), *text_sizes(text),
+                           F.monotonically_increasing_id().alias("row")), "sizes")
     groups = rows.groupBy("group_key").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"),
                                            F.count(F.lit(1)).alias("rows"))
     total = groups.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(d) for d in DIMS]).first()
@@ -83,7 +88,7 @@ def pack_shards(docs: DataFrame, n_shards: int = 16, *, heavy_share: int = 200,
             sizes.append([float(r[d]) for d in DIMS])
     many = spark.createDataFrame([(bytearray.fromhex(k), n) for k, n in pieces_of.items()],
                                  "group_key binary, pieces int")
-    piece = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece")
+    piece = F.pmod(F.xxhash64("row", F.lit(7)), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece")
     if max(pieces_of.values(), default=1) > 1:      # at most 8 pieces for each shard's worth
         cut_groups = (rows.join(F.broadcast(many.filter("pieces > 1")), "group_key")
                       .groupBy(F.hex("group_key").alias("key"), piece)
@@ -104,7 +109,7 @@ def pack_shards(docs: DataFrame, n_shards: int = 16, *, heavy_share: int = 200,
     placed = (rows.join(F.broadcast(many), "group_key", "left").withColumn("piece", piece)   # bounded: see above
               .join(F.broadcast(heavy_to), ["group_key", "piece"], "left")
               .withColumn("bundle", bundle).join(F.broadcast(bundle_to), "bundle", "left")
-              .select("doc_id", "size", "text_crc32", "tokens",
+              .select("doc_id", "size", "text_crc32", "tokens", "row",
                       F.coalesce("heavy_shard", "bundle_shard").alias("shard")))
     return number_slots(placed, max(1, -(-int(total["rows"]) // (n_shards * slot_rows))))
 
@@ -113,12 +118,12 @@ def number_slots(placed: DataFrame, buckets: int) -> DataFrame:
     """Gapless slot numbers per shard without sorting a shard in one task:
     rows are numbered within (shard, hash bucket) and shifted by the counts
     of the buckets before."""
-    bucket = F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(11)), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64("row", F.lit(11)), F.lit(buckets))
     rows = placed.withColumn("bucket", bucket)
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
               .select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
-    inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size", "row")
     return (rows.withColumn("n", F.row_number().over(inside)).join(starts, ["shard", "bucket"])
             .withColumn("slot", (F.col("start") + F.col("n") - 1).cast("long"))
-            .drop("bucket", "n", "start"))
+            .drop("bucket", "n", "start", "row"))

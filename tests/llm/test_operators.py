@@ -331,6 +331,83 @@ def test_toxicity_classes_weigh_alike_at_every_size(spark):
         assert 0.3 < toxicity.score_toxicity(docs.limit(1), model).first()["score"] < 0.7
 
 
+def test_toxicity_takes_one_row_per_id(spark):
+    rows = [(7, f"vilething {i}", "s") for i in range(400)] + [(i, prose(20), "s") for i in range(100, 140)]
+    labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(100, 140)] + [(9000, 1)], "doc_id long, toxic int")
+    seen = []
+    cut = toxicity.cut
+    toxicity.cut = lambda df, name: seen.append(cut(df, name)) or seen[-1]
+    try:
+        toxicity.fit_toxicity(plain.documents(spark, rows), labels, F.lit(True), max_rows=10, rounds=1)
+    finally:
+        toxicity.cut = cut
+    assert {r["y"]: r["count"] for r in seen[0].groupBy("y").count().collect()} == {0: 10, 1: 1}
+
+
+def test_toxicity_turns_and_updates_as_a_plain_ftrl():
+    order = np.arange(7) * 1000
+    turns = toxicity.turns_of(np.array([0, 0, 1, 0, 0, 0, 1.0]), (1, 3), order)
+    assert Counter(turns.tolist()) == {0: 1, 1: 1, 2: 3, 3: 1, 4: 1, 5: 1, 6: 3}
+    texts = [b"aa bb cc", b"aa bb dd", b"aa bb ee", b"ff gg", b"aa bb"] * 3
+    y = np.array([0, 1, 1, 0, 1.0] * 3)
+    turns = toxicity.turns_of(y, (2, 1), np.arange(15))
+    size = (1 << toxicity.BITS) + 1
+    z, n = np.zeros(size), np.zeros(size)
+    toxicity.ftrl_passes(texts, y, z, n, 2, turns)
+    features = [set(toxicity.Features()(t).tolist()) for t in texts]
+    held = Counter(f for fs in features for f in fs)
+    pz, pn = Counter(), Counter()
+
+    def weight(f):
+        if abs(pz[f]) <= toxicity.L1:
+            return 0.0
+        rate = (toxicity.BETA + math.sqrt(pn[f])) / toxicity.ALPHA + toxicity.L2
+        return -(pz[f] - math.copysign(toxicity.L1, pz[f])) / rate
+    for _ in range(2):
+        for k in turns:
+            fs = [f for f in features[k] if held[f] >= toxicity.LEAST_ROWS] + [size - 1]
+            w = {f: weight(f) for f in fs}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y[k]
+            for f in fs:
+                pz[f] += g - (math.sqrt(pn[f] + g * g) - math.sqrt(pn[f])) / toxicity.ALPHA * w[f]
+                pn[f] += g * g
+    assert set(np.flatnonzero(n)) == {f for f in pn if pn[f]}
+    assert all(z[f] == pytest.approx(pz[f]) and n[f] == pytest.approx(pn[f]) for f in pn)
+
+
+def test_licenses_lower_only_ascii_letters(spark):
+    docs = plain.documents(spark, [(1, "MIT License", "s"), (2, "M\u0130T L\u0131cense wor\u212a \u212a", "s")])
+    got = {r["doc_id"]: (r["n_words"], r["n_base"], r["labels"]) for r in license_scan.license_labels(docs).collect()}
+    assert got[1][:2] == (2, 1) and got[2] == (4, 0, "")
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "distinct"])
+def test_a_hot_group_is_cut_whatever_its_ids(spark, ids):
+    rng = random.Random(2)
+    hot = prose(40, rng)
+    rows = [(i, prose(40, rng), "s") for i in range(3000)]
+    rows += [({"null": None, "one": 5, "distinct": 10_000 + i}[ids], hot, "s") for i in range(1500)]
+    out = sharding.pack_shards(plain.documents(spark, rows)).withColumn("row", F.lit(1)).toPandas()
+    assert len(out) == 4500 and out["shard"].between(0, 15).all()
+    per = out.groupby("shard").agg(size=("size", "sum"), n=("doc_id", "size"), top=("slot", "max"))
+    assert len(per) == 16 and per["size"].max() < 1.1 * per["size"].mean() and per["n"].max() < 1.1 * per["n"].mean()
+    assert (per["top"] + 1 == per["n"]).all() and not out.duplicated(["shard", "slot"]).any()
+
+
+def test_a_text_larger_than_a_shard(spark):
+    rows = [(i, "ab cd", "s") for i in range(50)] + [(99, "x" * 20_000, "s")]
+    out = sharding.pack_shards(plain.documents(spark, rows), n_shards=4).toPandas()
+    big = out[out["doc_id"] == 99].iloc[0]
+    assert big["size"] == 20_001 and len(out) == 51
+
+
+def test_scratch_folders_name_their_file_system(spark):
+    from huddlekit.llm.common import new_folder
+    assert new_folder(spark, "x").startswith("file:/")
+    with pytest.raises(ValueError):
+        warc.opened("/checkpoints/x")
+
+
 def test_token_counts(spark):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
