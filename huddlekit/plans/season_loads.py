@@ -67,15 +67,19 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(priority != "5-LOW", F.col("o_totalprice")).alias("pass_oe"), F.col("o_totalprice").alias("epa"))
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
-    return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+def _lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Line items with the season, month and game of their order."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey"), _season().alias("feed"), F.month("o_orderdate").alias("week"), _game_id().alias("nflverse_game_id"))
+    return (table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .select("feed", "week", "nflverse_game_id", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag",
+                    "l_linestatus", *more))
 
 
-def participation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def participation(lines: DataFrame) -> DataFrame:
     flag = F.col("l_returnflag")
-    return snap_encodings(_lines(spark, sf_dir)).select(
-        _season().alias("feed"), _game_id().alias("nflverse_game_id"), F.col("l_orderkey").alias("play_id"),
+    return snap_encodings(lines).select(
+        "feed", "nflverse_game_id", F.col("l_orderkey").alias("play_id"),
         F.when(flag == "R", "MAN_COVERAGE").when(flag == "A", "ZONE_COVERAGE")
         .when(F.col("l_linenumber") % 2 == 0, "  ").alias("defense_man_zone_type"),
         F.col("l_quantity").alias("defenders_in_box"),
@@ -83,10 +87,9 @@ def participation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "offense_positions", "offense_personnel", F.col("l_linenumber").alias("line"))
 
 
-def charting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).select(
-        _season().alias("feed"), F.month("o_orderdate").alias("week"), _game_id().alias("nflverse_game_id"),
-        F.col("l_orderkey").cast("int").alias("nflverse_play_id"),
+def charting(lines: DataFrame) -> DataFrame:
+    return lines.select(
+        "feed", "week", "nflverse_game_id", F.col("l_orderkey").cast("int").alias("nflverse_play_id"),
         (F.col("l_returnflag") == "R").alias("is_play_action"), (F.col("l_returnflag") == "A").alias("is_motion"),
         (F.col("l_linestatus") == "O").alias("is_rpo"), (F.col("l_discount") >= 0.08).alias("is_screen_pass"),
         F.nullif(F.col("l_linenumber") - 2, F.lit(0)).alias("n_blitzers"), F.col("l_linenumber").alias("n_pass_rushers"))
@@ -108,8 +111,9 @@ def _write(rows: DataFrame, folder: str, mode: str = "append") -> None:
     rows.write.partitionBy("feed").mode(mode).parquet(folder)
 
 
-def land_participation(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    rows = participation(spark, sf_dir).drop("line")
+def land_participation(lines: DataFrame, folder: str) -> None:
+    """``lines`` are staged by season: each vintage reads its own seasons."""
+    rows = participation(lines).drop("line")
     year = F.col("feed")
     for which, type_ in ((year % 2 == 1, "int"), ((year % 2 == 0) & (year != 2020), "double"), (year == 2020, "string")):
         vintage = rows.where(which).withColumn("play_id", F.col("play_id").cast(type_))
@@ -125,6 +129,7 @@ class Landing:
         self.folder = scratch_path(spark, f"season-loads-{self.key}")
         self.log, self.quarantine = f"{self.folder}/log", f"{self.folder}/quarantine"
         self.made: set[str] = set()
+        self.staged: DataFrame | None = None
 
     def path(self, feed: str, season: int) -> str:
         return f"{self.folder}/{feed}/feed={season}"
@@ -132,10 +137,23 @@ class Landing:
     def table_of(self, name: str) -> str:
         return f"{name}_{self.key}"
 
+    def lines(self, *more: str) -> DataFrame:
+        """Line items joined with their orders once, written by season; every
+        feed of line items is landed from this copy."""
+        if self.staged is None:
+            rows = _lines(self.spark, self.sf_dir, *more)
+            _write(rows, f"{self.folder}/lines")
+            self.staged = self.spark.read.schema(rows.schema).parquet(f"{self.folder}/lines")
+        return self.staged
+
+    def land_participation(self) -> None:
+        land_participation(self.lines(), f"{self.folder}/participation")
+
     def land(self) -> None:
+        lines = self.lines("l_discount")
         _write(plays(self.spark, self.sf_dir), f"{self.folder}/play_by_play")
-        land_participation(self.spark, self.sf_dir, f"{self.folder}/participation")
-        _write(charting(self.spark, self.sf_dir), f"{self.folder}/ftn_charting")
+        self.land_participation()
+        _write(charting(lines), f"{self.folder}/ftn_charting")
         _write(schedules(self.spark, self.sf_dir), f"{self.folder}/schedules")
 
     def land_depth_charts(self) -> None:
@@ -246,7 +264,7 @@ FROM depth WHERE season <> 2023
 
 def vintage_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = Landing(spark, sf_dir)
-    land_participation(spark, sf_dir, f"{landing.folder}/participation")
+    landing.land_participation()
     report = drift_report(spark, footers(spark, lambda s: landing.path("participation", s), [2016, *SEASONS]))
     return landing.result(report.select(
         "column", "type", F.concat_ws(",", F.col("seasons").cast("array<string>")).alias("seasons"), "common_type",
@@ -275,7 +293,7 @@ FROM seen GROUP BY "column", type
 
 def vintage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = Landing(spark, sf_dir)
-    land_participation(spark, sf_dir, f"{landing.folder}/participation")
+    landing.land_participation()
     rows = read_vintages(spark, lambda s: landing.path("participation", s), SEASONS)
     return landing.result(rows.select("feed_season", "nflverse_game_id", "play_id", "defenders_in_box", "was_pressure",
                                       "defense_notes"))
@@ -300,7 +318,7 @@ def _changed_landing(spark: SparkSession, sf_dir: str) -> Landing:
     landing = Landing(spark, sf_dir)
     landing.land()
     landing.load(TABLES, SEASONS)
-    again = participation(spark, sf_dir).where((F.col("feed") == CHANGED) & (F.col("line") <= 3))
+    again = participation(landing.lines()).where((F.col("feed") == CHANGED) & (F.col("line") <= 3))
     again.drop("line", "feed").write.mode("overwrite").parquet(landing.path("participation", CHANGED))
     landing.load(["participation"], [CHANGED])
     landing.load(["team_scheme_week"], SEASONS, resume=True)

@@ -381,7 +381,8 @@ def replace_season(spark: SparkSession, table: str, df: DataFrame, season: int,
 
         rows = st.where("_reason is null").select(*[value(f).cast(f.dataType).alias(f.name) for f in schema.fields])
         if cluster_by:
-            rows = clustered(rows, cluster_by)
+            # the partition column first: the writer then takes the rows as they are sorted
+            rows = clustered(rows, [column, *cluster_by])
         publish(spark, table, rows, (column,), [Row(season)])
         return WriteSeasonResult(int(seen["written"]), int(seen["dropped"]), [int(s) for s in foreign])
 

@@ -210,3 +210,37 @@ def test_check_groups_over_stored_tables(site, spark, tmp_path):
     assert spark.read.parquet(log).count() == len(got)
     with pytest.raises(ValueError, match="point-weekly"):
         verify_tables(spark, {"point-weekly": "x"}, [2022])
+
+
+@pytest.mark.parametrize("query", ["vintage_drift", "load_seasons"])
+def test_line_items_are_joined_with_their_orders_once(spark, tmp_path, monkeypatch, query):
+    """Every feed of line items comes from one joined, written copy."""
+    from huddlekit.plans import season_loads
+    day = "timestamp_ntz'%d-03-01 00:00:00'"
+    tables = {
+        "nation": "select explode(sequence(0, 24)) n_nationkey, 'N' n_name",
+        "customer": "select explode(sequence(0, 9)) c_custkey, 1 c_nationkey",
+        "orders": "select id o_orderkey, id % 10 o_custkey, 'F' o_orderstatus, 2.0D o_totalprice, '1-URGENT' o_orderpriority, "
+                  f"element_at(array({', '.join(day % y for y in range(1995, 2002))}), cast(id % 7 + 1 as int)) o_orderdate "
+                  "from range(70)",
+        "lineitem": "select id % 70 l_orderkey, cast(id / 70 as int) + 1 l_linenumber, 'R' l_returnflag, 'F' l_linestatus, "
+                    "5.0D l_quantity, 0.05D l_discount from range(210)",
+        "events": "select id event_id, timestamp_ntz'2024-01-02 00:00:00' ts, 1 user_id, 'view' event_type, 2.0D value, "
+                  "'{\"k\": 1}' props from range(5)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(str(tmp_path / f"{name}.parquet"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    given = season_loads.table
+
+    def table(session, folder, name):
+        rows = given(session, folder, name)
+        return rows.mapInArrow(counted, rows.schema) if name == "lineitem" else rows
+    monkeypatch.setattr(season_loads, "table", table)
+    assert season_loads.__dict__[query](spark, str(tmp_path)).count() == {"vintage_drift": 10, "load_seasons": 34}[query]
+    assert read.value == 210
