@@ -14,7 +14,6 @@ found as well.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,6 @@ from huddlekit.llm.common import WordHash, blobs, cut, map_batches, mix, shingle
 
 FILTER_BITS = 23        # fixed-size filter over n-gram hashes
 MATCH, MISMATCH, GAP = 2, -1, -1
-COUNT_ONE_IN = 8        # texts in which grams are counted to choose seeds
 BATCH_CELLS = 1 << 22   # cells of one row of a batch of alignments
 # letters and digits in lower case, all other ASCII as blanks
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -112,26 +110,50 @@ def gram_filter(grams: DataFrame) -> np.ndarray:
     return np.packbits(table)
 
 
-def seeds(docs: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
+def gram_hits(docs: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
+    """``doc, doc_id, words, at, grams``: of every text with grams that may be
+    an item's, its word hashes and those grams with their positions. The
+    filter has a fixed size; it only saves work, the joins are exact."""
+    shared = docs.sparkSession.sparkContext.broadcast(gram_filter(items.select(F.explode("grams").alias("g"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = Hits(shared.value, widths)
+        for b in batches:
+            rows = []
+            for doc, doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), blobs(b.column(2))):
+                w, at, grams = find(text)
+                if len(at):
+                    rows.append((doc, doc_id, w.astype(np.uint32).tobytes(), at.astype(np.int32), grams.astype(np.int64)))
+            cols = list(zip(*rows)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()),
+                                                       pa.list_(pa.int64())))],
+                names=["doc", "doc_id", "words", "at", "grams"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text")
+    return cut(map_batches(rows, run, "doc long, doc_id long, words binary, at array<int>, grams array<long>"), "hits")
+
+
+def seeds(hits: DataFrame, items: DataFrame) -> DataFrame:
     """``g, item, first, last``: grams of the ``picks`` positions of each
-    item that the fewest of the sampled texts hold, with the first and last
-    such position. Any choice finds the same copies, so the counts, of one
-    text in ``COUNT_ONE_IN`` and by filter bucket, only save work."""
+    item that the fewest texts hold, with the first and last such position.
+    Any choice finds the same copies, so the counts, of all texts and by
+    filter bucket, only save work."""
     grams = items.select("item", "picks", F.explode(F.arrays_zip("grams", "places")).alias("h")) \
                  .select("item", "picks", F.col("h.grams").alias("g"), F.col("h.places").alias("place"))
-    shared = docs.sparkSession.sparkContext.broadcast(gram_filter(grams))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Hits(shared.value, widths)
-        held: Counter[int] = Counter()          # of the benchmark's buckets only
+        held = np.zeros(1 << FILTER_BITS, np.int64)      # of the benchmark's buckets only
         for b in batches:
-            for text in blobs(b.column(0)):
-                held.update(np.unique(find(text)[2] >> np.uint64(64 - FILTER_BITS)).tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())],
-                                         names=["k", "n"])
-
-    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(COUNT_ONE_IN)) == 0).select("text")
-    held = map_batches(some, count, "k long, n long").groupBy("k").agg(F.sum("n").alias("texts"))
+            column = b.column(0)
+            row = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+            bucket = (column.flatten().to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            once = np.unique((row << FILTER_BITS) + bucket)
+            np.add.at(held, once & ((1 << FILTER_BITS) - 1), 1)
+        k = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(held[k])], names=["k", "n"])
+
+    held = map_batches(hits.select("grams"), count, "k long, n long").groupBy("k").agg(F.sum("n").alias("texts"))
     counted = (grams.withColumn("k", F.shiftrightunsigned("g", 64 - FILTER_BITS)).join(held, "k", "left")
                .groupBy("item", "picks", "place").agg(F.sum(F.coalesce("texts", F.lit(0))).alias("texts"),
                                                       F.collect_set("g").alias("gs")))
@@ -141,31 +163,37 @@ def seeds(docs: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
                .agg(F.min("place").alias("first"), F.max("place").alias("last")), "seeds")
 
 
-def passages(docs: DataFrame, items: DataFrame, wanted: DataFrame, widths: list[int]) -> DataFrame:
+def passages(hits: DataFrame, items: DataFrame, wanted: DataFrame) -> DataFrame:
     """``doc, doc_id, passage, start, words, grams, lows, highs``: the
     stretches of each text around grams that may be seeds, with those grams
     and the first and last position of each.
 
-    The filter has a fixed size; it only saves work, the seed join is exact.
     A stretch reaches as far around a gram as an alignment with the longest
     item can: its words, and as many inserted ones."""
     reach = 2 * int(items.agg(F.max("length")).first()[0] or 0) + 2
-    shared = docs.sparkSession.sparkContext.broadcast(gram_filter(wanted))
+    shared = hits.sparkSession.sparkContext.broadcast(gram_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Hits(shared.value, widths)
+        hit = np.unpackbits(shared.value).astype(bool)
         for b in batches:
             rows = []
-            for doc, doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), blobs(b.column(2))):
-                w, at, grams = find(text)
+            ends = b.column(3).offsets.to_numpy()
+            ends = ends - ends[0]
+            places = b.column(3).flatten().to_numpy()
+            found = b.column(4).flatten().to_numpy()
+            seed = hit[(found.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+            for doc, doc_id, words, lo, hi in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
+                                                  b.column(2).to_pylist(), ends[:-1], ends[1:]):
+                at, grams = places[lo:hi][seed[lo:hi]], found[lo:hi][seed[lo:hi]]
                 if not len(at):
                     continue
+                w = np.frombuffer(words, np.uint32)
                 # hits closer than two reaches share a stretch
                 for k, part in enumerate(np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > 2 * reach) + 1)):
                     lo, hi = max(0, int(at[part[0]]) - reach), min(len(w), int(at[part[-1]]) + reach)
                     own, low = np.unique(grams[part], return_index=True)
                     high = len(part) - 1 - np.unique(grams[part][::-1], return_index=True)[1]
-                    rows.append((doc, doc_id, k, lo, w[lo:hi].astype(np.uint32).tobytes(), own.astype(np.int64),
+                    rows.append((doc, doc_id, k, lo, w[lo:hi].tobytes(), own,
                                  (at[part[low]] - lo).astype(np.int32), (at[part[high]] - lo).astype(np.int32)))
             cols = list(zip(*rows)) if rows else [[]] * 8
             yield pa.RecordBatch.from_arrays(
@@ -174,9 +202,8 @@ def passages(docs: DataFrame, items: DataFrame, wanted: DataFrame, widths: list[
                                                        pa.list_(pa.int32())))],
                 names=["doc", "doc_id", "passage", "start", "words", "grams", "lows", "highs"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text")
-    return cut(map_batches(rows, run, "doc long, doc_id long, passage int, start long, words binary, "
-                                    "grams array<long>, lows array<int>, highs array<int>"), "passages")
+    return cut(map_batches(hits, run, "doc long, doc_id long, passage int, start long, words binary, "
+                                      "grams array<long>, lows array<int>, highs array<int>"), "passages")
 
 
 def local_alignment(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -188,15 +215,21 @@ def local_alignment(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[n
     for k, (x, y) in enumerate(zip(items, texts)):
         a[k, :len(x)], b[k, :len(y)] = x, y
     shift = np.arange(cols, dtype=np.int32) * -GAP
-    h = np.zeros((len(items), cols), np.int32)
+    h, diagonal = np.zeros((len(items), cols), np.int32), np.empty((len(items), cols), np.int32)
+    same = np.empty((len(items), cols), bool)
     best, end = np.zeros(len(items), np.int32), np.zeros(len(items), np.int64)
     for i in range(rows):
-        diagonal = np.empty_like(h)
-        diagonal[:, 0], diagonal[:, 1:] = 0, h[:, :-1]
-        diagonal += np.where(b == a[:, i:i + 1], MATCH, MISMATCH).astype(np.int32)
-        h = np.maximum(np.maximum(diagonal, h + GAP), 0)
+        np.equal(b, a[:, i:i + 1], out=same)
+        np.multiply(same, np.int32(MATCH - MISMATCH), out=diagonal)
+        diagonal += np.int32(MISMATCH)
+        diagonal[:, 1:] += h[:, :-1]
+        h += np.int32(GAP)
+        np.maximum(diagonal, h, out=h)
+        np.maximum(h, 0, out=h)
         # gaps along the text: running maximum of h[k] - gap * (j - k)
-        h = np.maximum.accumulate(h + shift, axis=1) - shift
+        h += shift
+        np.maximum.accumulate(h, axis=1, out=h)
+        h -= shift
         top = h.max(axis=1)
         better = top > best
         best[better], end[better] = top[better], h[better].argmax(axis=1) + 1
@@ -258,8 +291,9 @@ def contaminated(docs: DataFrame, bench: DataFrame, *, n: int = 3, threshold: fl
     widths = sorted(r["width"] for r in items.filter("length > 0").select("width").distinct().collect())   # below n
     if not widths:
         widths = [0]
-    wanted = seeds(docs, items, widths)
-    found = passages(docs, items, wanted, widths)
+    held = gram_hits(docs, items, widths)
+    wanted = seeds(held, items)
+    found = passages(held, items, wanted)
     hits = found.select("doc", "passage", F.explode(F.arrays_zip("grams", "lows", "highs")).alias("h")) \
                 .select("doc", "passage", F.col("h.grams").alias("g"), F.col("h.lows").alias("low"),
                         F.col("h.highs").alias("high"))

@@ -261,6 +261,15 @@ def test_contaminated_edited_copies_beside_an_exact_one(spark):
     assert got == pytest.approx(want) and len(want) > 200
 
 
+def test_seeds_are_counted_in_all_texts(spark):
+    """The place that most texts hold is no seed, whichever texts hold it."""
+    common = spark.range(200).select(F.concat(F.lit("q1 q2 other"), "id").alias("t")).where("pmod(xxhash64(t), 8) <> 0")
+    rows = [(1, "q1 q2 q3 q4 q5 q6", "s")] + [(k, r["t"], "s") for k, r in enumerate(common.collect(), 2)]
+    bench = spark.createDataFrame([(10, "q1 q2 q3 q4 q5 q6")], "item_id long, text string")
+    got = decontamination.contaminated(plain.documents(spark, rows), bench).collect()
+    assert [(r["doc_id"], r["similarity"], r["seeds"]) for r in got] == [(1, 1.0, 7)]
+
+
 def test_vector_tree_finds_exact_neighbours_of_small_tables(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 8)).astype(np.float32)
