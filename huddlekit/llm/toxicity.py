@@ -7,12 +7,12 @@ and pairs that skip one word. Training keeps, per coordinate, the FTRL state
 exactly zero, so the model that is sent to the scoring tasks is a short list
 of (index, weight).
 
-The classifier is fitted on at most ``max_rows`` labelled rows of each class
-(one row per id, those of the smallest id hash), dealt into a fixed number of
-shards; in each round every shard runs FTRL passes from the common state, and
-the changes are averaged per coordinate by a Spark aggregation. Rows of the
+The classifier is fitted on all labelled rows (one row per id), dealt into
+shards whose number grows with theirs; in each round every shard runs FTRL
+passes from the common state, and the changes are averaged per coordinate by a
+Spark aggregation. Rows of the
 smaller class take several turns in a pass, so that both classes have about as
-many whatever their numbers and the bound; a weight in the gradient would also
+many whatever their numbers; a weight in the gradient would also
 slow the per-coordinate rates. Every text is scored whole.
 """
 from __future__ import annotations
@@ -30,6 +30,8 @@ from huddlekit.llm.common import WordHash, blobs, cut, map_batches, mix, release
 BITS = 20
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.1
 LEAST_ROWS = 3      # features of fewer rows of a shard are not learned
+SHARD_ROWS = 2500   # labelled rows of a shard, about
+ID_BUCKETS = 1 << 20    # of the filter that keeps unlabelled texts from being shuffled
 # bytes that are letters or digits, lower-cased; the rest become blanks
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
                for b in range(256))
@@ -75,19 +77,34 @@ def ftrl_passes(texts: list[bytes], labels: np.ndarray, z: np.ndarray, n: np.nda
                 turns: np.ndarray | None = None) -> None:
     """Passes over the rows, updating the state in place; ``turns`` gives the
     rows of a pass in order (default: each once)."""
-    features, bias = Features(), 1 << BITS
-    rows = [np.unique(features(t)).astype(np.int32) for t in texts]
-    seen = np.bincount(np.concatenate(rows), minlength=bias + 1) if rows else np.zeros(bias + 1)
-    rows = [np.append(r[seen[r] >= LEAST_ROWS], bias) for r in rows]
+    features = Features()
+    ftrl_rows([np.unique(features(t)).astype(np.int32) for t in texts], labels, z, n, passes, turns)
+
+
+def ftrl_rows(rows: list[np.ndarray], labels: np.ndarray, z: np.ndarray, n: np.ndarray, passes: int,
+              turns: np.ndarray | None = None) -> None:
+    """``ftrl_passes`` over rows of distinct feature indices. Only the learned
+    coordinates are held while it runs, with the roots of ``n``."""
+    bias = 1 << BITS
+    learned = np.bincount(np.concatenate(rows), minlength=bias + 1) >= LEAST_ROWS if rows else np.zeros(bias + 1, bool)
+    learned[bias] = True
+    used = np.flatnonzero(learned)
+    place = np.zeros(bias + 1, np.int32)
+    place[used] = np.arange(len(used))
+    rows = [place[np.append(r[learned[r]], bias)] for r in rows]
+    z_used, n_used = z[used], n[used]
+    root = np.sqrt(n_used)
     for _ in range(passes):
         for k in range(len(rows)) if turns is None else turns:
             idx = rows[k]
-            n0 = n[idx]
-            w = ftrl_weights(z[idx], n0)
+            z0, r0 = z_used[idx], root[idx]
+            w = (np.minimum(np.maximum(z0, -L1), L1) - z0) / ((BETA + r0) / ALPHA + L2)
             g = sigmoid(w.sum()) - labels[k]
-            n1 = n0 + g * g
-            z[idx] += g - (np.sqrt(n1) - np.sqrt(n0)) / ALPHA * w
-            n[idx] = n1
+            n1 = n_used[idx] + g * g
+            r1 = np.sqrt(n1)
+            z_used[idx] = z0 + (g - (r1 - r0) / ALPHA * w)
+            n_used[idx], root[idx] = n1, r1
+    z[used], n[used] = z_used, n_used
 
 
 def turns_of(labels: np.ndarray, times: tuple[int, int], order: np.ndarray) -> np.ndarray:
@@ -99,14 +116,31 @@ def turns_of(labels: np.ndarray, times: tuple[int, int], order: np.ndarray) -> n
     return rows[np.argsort(key, kind="stable")]
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows: int = 5000, shards: int = 4,
-                 rounds: int = 3, passes: int = 2, id_col: str = "doc_id", text_col: str = "text",
+PACKED = (np.float64, np.int64, np.int64, np.int32)
+
+
+def packed(part: pd.DataFrame) -> pd.DataFrame:
+    """A shard as one row: labels, orders, and of each row the number of its
+    features and the gaps between their sorted indices."""
+    part, features = part.sort_values(["order", "text"]), Features()
+    rows = [np.unique(features(t.encode())) for t in part["text"]]
+    values = [part["y"], part["order"], [len(r) for r in rows],
+              np.concatenate([np.diff(r, prepend=0) for r in rows])]
+    out = pd.DataFrame({c: [np.asarray(v).astype(t).tobytes()]
+                        for c, v, t in zip(("y", "orders", "lengths", "gaps"), values, PACKED)})
+    release_memory()
+    return out
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows: int | None = None,
+                 shards: int = 4, rounds: int = 3, passes: int = 2, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
     """(indices, weights) of the fitted model; the last index is the bias.
 
     ``usable`` is a condition on ``doc_id`` that says which labelled rows may
-    be learned from. At most ``max_rows`` rows of each class are used, one per
-    id (that of least text hash), of ids that stand in ``docs`` with a text.
+    be learned from. All of them are used (with ``max_rows``, at most so many
+    of each class), one per id (that of least text hash), of ids that stand in
+    ``docs`` with a text. There are at least ``shards`` shards.
     Rows of the class with fewer take more turns, so the fit has a class ratio
     of about 1 to 1 at every size. Labels of a repeated id count as toxic if
     any of them does; rows with a null id, label or text are not learned from.
@@ -114,18 +148,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
              .filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
-             .filter(usable).withColumn("order", F.xxhash64("doc_id")))
+             .filter("y in (0, 1)").filter(usable).withColumn("order", F.xxhash64("doc_id")))
     src = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
            .filter("doc_id is not null and text is not null"))
     known = known.join(src.select("doc_id").distinct(), "doc_id", "left_semi")
-    picked = [known.filter(F.col("y") == c).orderBy("order", "doc_id").limit(max_rows) for c in (0, 1)]
-    ids = picked[0].unionByName(picked[1])
-    # at most 2 * max_rows ids
-    one = (src.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y", "order")
+    if max_rows is not None:
+        picked = [known.filter(F.col("y") == c).orderBy("order", "doc_id").limit(max_rows) for c in (0, 1)]
+        known = picked[0].unionByName(picked[1])
+    known = cut(known, "toxic-ids")
+    n_of = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shards = max(shards, -(-sum(n_of.values()) // SHARD_ROWS))
+    # at most ID_BUCKETS rows; it only saves work, the join after it is exact
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS)).alias("bucket")
+    used = F.broadcast(known.select(bucket).distinct())
+    some = src.withColumn("bucket", bucket).join(used, "bucket", "left_semi").drop("bucket")
+    one = (some.join(known, "doc_id").groupBy("doc_id", "y", "order")
            .agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row")))
-    sample = cut(one.select("y", F.col("row.text"), F.pmod("order", F.lit(shards)).cast("int").alias("shard"), "order"),
-                 "toxic-sample")
-    n_of = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    dealt = one.select("y", F.pmod("order", F.lit(shards)).cast("int").alias("shard"), "order", F.col("row.text"))
+    # written once, a shard to a row: no round shuffles or reads texts again
+    sample = cut(dealt.groupBy("shard").applyInPandas(packed, "y binary, orders binary, lengths binary, gaps binary"),
+                 "toxic-rows")
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
     if len(n_of) < 2:
@@ -136,26 +178,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
         used = np.flatnonzero(n)
         state = spark.sparkContext.broadcast((used, z[used], n[used]))
 
-        def learn(part: pd.DataFrame) -> pd.DataFrame:
-            try:
-                return changes(part)
-            finally:
-                release_memory()
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for k in range(b.num_rows):
+                    yield changes(*[np.frombuffer(c[k].as_py(), t) for c, t in zip(b.columns, PACKED)])
 
-        def changes(part: pd.DataFrame) -> pd.DataFrame:
+        def changes(y: np.ndarray, orders: np.ndarray, lengths: np.ndarray, gaps: np.ndarray) -> pa.RecordBatch:
             z1, n1 = np.zeros(size), np.zeros(size)
             at, z_at, n_at = state.value
             z1[at], n1[at] = z_at, n_at
-            part = part.sort_values(["order", "text"])
-            y = part["y"].to_numpy(float)
-            ftrl_passes([t.encode() for t in part["text"]], y, z1, n1, passes,
-                        turns_of(y, times, part["order"].to_numpy()))
+            rows = [np.cumsum(g, dtype=np.int32) for g in np.split(gaps, np.cumsum(lengths)[:-1])]
+            ftrl_rows(rows, y, z1, n1, passes, turns_of(y, times, orders))
             z0, n0 = np.zeros(size), np.zeros(size)
             z0[at], n0[at] = z_at, n_at
             idx = np.flatnonzero(n1 != n0)
-            return pd.DataFrame({"idx": idx, "dz": (z1 - z0)[idx], "dn": (n1 - n0)[idx]})
+            return pa.RecordBatch.from_arrays([pa.array(idx), pa.array((z1 - z0)[idx]), pa.array((n1 - n0)[idx])],
+                                              names=["idx", "dz", "dn"])
 
-        merged = (sample.groupBy("shard").applyInPandas(learn, "idx long, dz double, dn double")
+        merged = (map_batches(sample, learn, "idx long, dz double, dn double")
                   .groupBy("idx").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn"))
                   .toArrow())    # at most 2**BITS + 1 rows
         idx = merged["idx"].to_numpy()

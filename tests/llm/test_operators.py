@@ -353,6 +353,16 @@ def test_toxicity_takes_one_row_per_id(spark):
     assert {r["y"]: r["count"] for r in seen[0].groupBy("y").count().collect()} == {0: 10, 1: 1}
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    docs = plain.documents(spark, [(i, ".", "s") for i in range(5300)])
+    labels = spark.createDataFrame([(i, int(i >= 5200)) for i in range(5300)] + [(5299, 2)], "doc_id long, toxic int")
+    seen, cut = [], toxicity.cut
+    monkeypatch.setattr(toxicity, "cut", lambda df, name: seen.append(cut(df, name)) or seen[-1])
+    toxicity.fit_toxicity(docs, labels, F.lit(True), rounds=1)
+    y = np.concatenate([np.frombuffer(r["y"], float) for r in seen[-1].collect()])
+    assert Counter(y.tolist()) == {0: 5200, 1: 99}
+
+
 def test_toxicity_turns_and_updates_as_a_plain_ftrl():
     order = np.arange(7) * 1000
     turns = toxicity.turns_of(np.array([0, 0, 1, 0, 0, 0, 1.0]), (1, 3), order)
