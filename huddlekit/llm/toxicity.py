@@ -31,6 +31,7 @@ BITS = 20
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.1
 LEAST_ROWS = 3      # features of fewer rows of a shard are not learned
 SHARD_ROWS = 2500   # labelled rows of a shard, about
+TASK_SHARDS = 4     # shards that a task runs one after another, about
 ID_BUCKETS = 1 << 20    # of the filter that keeps unlabelled texts from being shuffled
 # bytes that are letters or digits, lower-cased; the rest become blanks
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -179,24 +180,32 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
         state = spark.sparkContext.broadcast((used, z[used], n[used]))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            dz, dn, held = np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
             for b in batches:
                 for k in range(b.num_rows):
-                    yield changes(*[np.frombuffer(c[k].as_py(), t) for c, t in zip(b.columns, PACKED)])
-
-        def changes(y: np.ndarray, orders: np.ndarray, lengths: np.ndarray, gaps: np.ndarray) -> pa.RecordBatch:
+                    idx, z1, n1 = changes(*[np.frombuffer(c[k].as_py(), t) for c, t in zip(b.columns, PACKED)])
+                    dz[idx] += z1
+                    dn[idx] += n1
+                    held[idx] += 1
+            idx = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (idx, dz[idx], dn[idx], held[idx])],
+                                             names=["idx", "dz", "dn", "held"])
+
+        def changes(y: np.ndarray, orders: np.ndarray, lengths: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, ...]:
             z1, n1 = np.zeros(size), np.zeros(size)
             at, z_at, n_at = state.value
             z1[at], n1[at] = z_at, n_at
             rows = [np.cumsum(g, dtype=np.int32) for g in np.split(gaps, np.cumsum(lengths)[:-1])]
             ftrl_rows(rows, y, z1, n1, passes, turns_of(y, times, orders))
-            z0, n0 = np.zeros(size), np.zeros(size)
-            z0[at], n0[at] = z_at, n_at
-            idx = np.flatnonzero(n1 != n0)
-            return pa.RecordBatch.from_arrays([pa.array(idx), pa.array((z1 - z0)[idx]), pa.array((n1 - n0)[idx])],
-                                              names=["idx", "dz", "dn"])
-
-        merged = (map_batches(sample, learn, "idx long, dz double, dn double")
-                  .groupBy("idx").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn"))
+            z1[at] -= z_at
+            n1[at] -= n_at
+            idx = np.flatnonzero(n1)
+            return idx, z1[idx], n1[idx]
+
+        # a task adds up the changes of a few shards before they are shuffled
+        merged = (map_batches(sample.coalesce(max(4, shards // TASK_SHARDS)), learn,
+                              "idx long, dz double, dn double, held long")
+                  .groupBy("idx").agg((F.sum("dz") / F.sum("held")).alias("dz"), (F.sum("dn") / F.sum("held")).alias("dn"))
                   .toArrow())    # at most 2**BITS + 1 rows
         idx = merged["idx"].to_numpy()
         z[idx] += merged["dz"].to_numpy()
