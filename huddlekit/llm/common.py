@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,18 @@ def release_memory() -> None:
         trim(0)
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Within the block at most about ``limit`` bytes are handed to Python at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    former = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, former)
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema) -> DataFrame:
     """``mapInArrow`` that leaves nothing behind in the worker: what ``run``

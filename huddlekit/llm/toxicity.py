@@ -20,18 +20,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from huddlekit.llm.common import WordHash, blobs, cut, map_batches, mix, release_memory
+from huddlekit.llm.common import WordHash, batch_bytes, blobs, cut, map_batches, mix
 
 BITS = 20
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.1
 LEAST_ROWS = 3      # features of fewer rows of a shard are not learned
 SHARD_ROWS = 2500   # labelled rows of a shard, about
 TASK_SHARDS = 4     # shards that a task runs one after another, about
+PACK_ROWS = 500     # rows whose features are handed over at a time
+LEARN_BYTES = 8 << 20   # of features handed to a learning task at a time
 ID_BUCKETS = 1 << 20    # of the filter that keeps unlabelled texts from being shuffled
 # bytes that are letters or digits, lower-cased; the rest become blanks
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -87,7 +88,10 @@ def ftrl_rows(rows: list[np.ndarray], labels: np.ndarray, z: np.ndarray, n: np.n
     """``ftrl_passes`` over rows of distinct feature indices. Only the learned
     coordinates are held while it runs, with the roots of ``n``."""
     bias = 1 << BITS
-    learned = np.bincount(np.concatenate(rows), minlength=bias + 1) >= LEAST_ROWS if rows else np.zeros(bias + 1, bool)
+    held = np.zeros(bias + 1, np.int32)
+    for r in rows:
+        held[r] += 1
+    learned = held >= LEAST_ROWS
     learned[bias] = True
     used = np.flatnonzero(learned)
     place = np.zeros(bias + 1, np.int32)
@@ -117,20 +121,37 @@ def turns_of(labels: np.ndarray, times: tuple[int, int], order: np.ndarray) -> n
     return rows[np.argsort(key, kind="stable")]
 
 
-PACKED = (np.float64, np.int64, np.int64, np.int32)
-
-
-def packed(part: pd.DataFrame) -> pd.DataFrame:
-    """A shard as one row: labels, orders, and of each row the number of its
-    features and the gaps between their sorted indices."""
-    part, features = part.sort_values(["order", "text"]), Features()
-    rows = [np.unique(features(t.encode())) for t in part["text"]]
-    values = [part["y"], part["order"], [len(r) for r in rows],
-              np.concatenate([np.diff(r, prepend=0) for r in rows])]
-    out = pd.DataFrame({c: [np.asarray(v).astype(t).tobytes()]
-                        for c, v, t in zip(("y", "orders", "lengths", "gaps"), values, PACKED)})
-    release_memory()
-    return out
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``shard, y, orders, gaps`` for ``shard, y, order, text``: the gaps between
+    a row's sorted features, as bytes. Batches stay small on the way out."""
+    features = Features()
+    for whole in batches:
+        for start in range(0, whole.num_rows, PACK_ROWS):
+            b = whole.slice(start, PACK_ROWS)
+            y, orders = (c.to_numpy(zero_copy_only=False) for c in b.columns[1:3])
+            gaps = [np.diff(np.unique(features(t)), prepend=0).astype(np.int32).tobytes() for t in blobs(b.column(3))]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([v.tobytes() for v in y.astype(np.float64)], pa.binary()),
+                 pa.array([v.tobytes() for v in orders.astype(np.int64)], pa.binary()), pa.array(gaps, pa.binary())],
+                names=["shard", "y", "orders", "gaps"])
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Labels, orders and feature indices of a shard at a time. A shard's rows
+    stand together; only in files of more than a row group it may come in parts."""
+    shard, y, orders, rows = None, [], [], []
+    for b in batches:
+        column = b.column(3)
+        for k, (s, label, order) in enumerate(zip(*[c.to_pylist() for c in b.columns[:3]])):
+            if s != shard and rows:
+                yield np.frombuffer(b"".join(y), np.float64), np.frombuffer(b"".join(orders), np.int64), rows
+                y, orders, rows = [], [], []
+            shard = s
+            y.append(label)
+            orders.append(order)
+            rows.append(np.cumsum(np.frombuffer(column[k].as_buffer(), np.int32), dtype=np.int32))
+    if rows:
+        yield np.frombuffer(b"".join(y), np.float64), np.frombuffer(b"".join(orders), np.int64), rows
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows: int | None = None,
@@ -158,21 +179,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
         known = picked[0].unionByName(picked[1])
     known = cut(known, "toxic-ids")
     n_of = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n_of) < 2:
+        return np.empty(0, np.int64), np.empty(0)
     shards = max(shards, -(-sum(n_of.values()) // SHARD_ROWS))
-    # at most ID_BUCKETS rows; it only saves work, the join after it is exact
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS)).alias("bucket")
-    used = F.broadcast(known.select(bucket).distinct())
-    some = src.withColumn("bucket", bucket).join(used, "bucket", "left_semi").drop("bucket")
-    one = (some.join(known, "doc_id").groupBy("doc_id", "y", "order")
-           .agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row")))
-    dealt = one.select("y", F.pmod("order", F.lit(shards)).cast("int").alias("shard"), "order", F.col("row.text"))
-    # written once, a shard to a row: no round shuffles or reads texts again
-    sample = cut(dealt.groupBy("shard").applyInPandas(packed, "y binary, orders binary, lengths binary, gaps binary"),
-                 "toxic-rows")
+    # 64 bits a row, at most ID_BUCKETS rows; it only saves work, the rows are matched exactly after it
+    bucket = F.expr(f"pmod(shiftright(xxhash64(doc_id), 6), {ID_BUCKETS})").alias("bucket")
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))")
+    used = F.broadcast(known.groupBy(bucket).agg(F.bit_or(bit).alias("bits")))
+    some = src.withColumn("bucket", bucket).join(used, "bucket").filter(F.col("bits").bitwiseAND(bit) != 0)
+    # labels and texts meet in their shard: texts are shuffled once
+    row = F.struct(F.xxhash64("text").alias("hash"), "text")
+    both = some.select("doc_id", F.lit(None).cast("int").alias("y"), row.alias("row")).unionByName(
+        known.select("doc_id", "y", F.lit(None).cast("struct<hash: bigint, text: string>").alias("row")))
+    one = (both.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).repartition(shards, "shard")
+           .groupBy("shard", "doc_id").agg(F.max("y").alias("y"), F.min("row").alias("row"))
+           .filter("y is not null and row is not null").sortWithinPartitions("shard", "doc_id")
+           .select("shard", "y", F.xxhash64("doc_id").alias("order"), "row.text"))
+    # features are written once: no round shuffles or reads texts again
+    sample = cut(map_batches(one, packed, "shard int, y binary, orders binary, gaps binary"), "toxic-rows")
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
-    if len(n_of) < 2:
-        return np.empty(0, np.int64), np.empty(0)
     most = max(n_of.values())
     times = (round(most / n_of[0]), round(most / n_of[1]))
     for _ in range(rounds):
@@ -181,21 +207,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             dz, dn, held = np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
-            for b in batches:
-                for k in range(b.num_rows):
-                    idx, z1, n1 = changes(*[np.frombuffer(c[k].as_py(), t) for c, t in zip(b.columns, PACKED)])
-                    dz[idx] += z1
-                    dn[idx] += n1
-                    held[idx] += 1
+            for y, orders, rows in unpacked(batches):
+                idx, z1, n1 = changes(y, orders, rows)
+                dz[idx] += z1
+                dn[idx] += n1
+                held[idx] += 1
             idx = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (idx, dz[idx], dn[idx], held[idx])],
                                              names=["idx", "dz", "dn", "held"])
 
-        def changes(y: np.ndarray, orders: np.ndarray, lengths: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, ...]:
+        def changes(y: np.ndarray, orders: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, ...]:
             z1, n1 = np.zeros(size), np.zeros(size)
             at, z_at, n_at = state.value
             z1[at], n1[at] = z_at, n_at
-            rows = [np.cumsum(g, dtype=np.int32) for g in np.split(gaps, np.cumsum(lengths)[:-1])]
             ftrl_rows(rows, y, z1, n1, passes, turns_of(y, times, orders))
             z1[at] -= z_at
             n1[at] -= n_at
@@ -203,10 +227,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, *, max_rows
             return idx, z1[idx], n1[idx]
 
         # a task adds up the changes of a few shards before they are shuffled
-        merged = (map_batches(sample.coalesce(max(4, shards // TASK_SHARDS)), learn,
-                              "idx long, dz double, dn double, held long")
-                  .groupBy("idx").agg((F.sum("dz") / F.sum("held")).alias("dz"), (F.sum("dn") / F.sum("held")).alias("dn"))
-                  .toArrow())    # at most 2**BITS + 1 rows
+        with batch_bytes(spark, LEARN_BYTES):
+            merged = (map_batches(sample.coalesce(max(4, shards // TASK_SHARDS)), learn,
+                                  "idx long, dz double, dn double, held long")
+                      .groupBy("idx").agg((F.sum("dz") / F.sum("held")).alias("dz"),
+                                          (F.sum("dn") / F.sum("held")).alias("dn"))
+                      .toArrow())    # at most 2**BITS + 1 rows
         idx = merged["idx"].to_numpy()
         z[idx] += merged["dz"].to_numpy()
         n[idx] += merged["dn"].to_numpy()

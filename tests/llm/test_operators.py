@@ -481,3 +481,18 @@ def test_sharding(spark):
         if r["doc_id"] is None or r["doc_id"] < 5000:
             where.setdefault((r["text_crc32"], r["size"]), set()).add(r["shard"])
     assert all(len(s) == 1 for s in where.values())
+
+
+def test_toxicity_hands_rows_not_whole_shards_to_python(spark, monkeypatch):
+    texts = [prose(40, random.Random(i)) + (" vilething" if i % 3 == 0 else "") for i in range(60)]
+    docs = plain.documents(spark, [(i, t, "s") for i, t in enumerate(texts)] + [(3, None, "s"), (4, texts[4], "s"), (90, "x", "s")])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(77, 1)], "doc_id long, toxic int")
+    seen, cut = [], toxicity.cut
+    monkeypatch.setattr(toxicity, "cut", lambda df, name: seen.append(cut(df, name)) or seen[-1])
+    toxicity.fit_toxicity(docs, labels, F.lit(True), rounds=1)
+    written = seen[-1].collect()
+    assert len(written) == 60       # one row a text, however many a shard has
+    features = toxicity.Features()
+    want = sorted((float(i % 3 == 0), np.unique(features(t.encode())).tolist()) for i, t in enumerate(texts))
+    assert want == sorted((np.frombuffer(r["y"], float)[0], np.cumsum(np.frombuffer(r["gaps"], np.int32)).tolist())
+                          for r in written)
