@@ -236,19 +236,28 @@ def local_alignment(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[n
     return best, end
 
 
-def align(pairs: DataFrame) -> DataFrame:
-    """Scores of joined pairs; texts are cut to the seeds' diagonals first."""
+def align(pairs: DataFrame, threshold: float = 0.0) -> DataFrame:
+    """Scores of joined pairs; texts are cut to the seeds' diagonals first.
+    Pairs that cannot reach ``threshold`` are left out: an alignment has no
+    more matches than the item has words that the text holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c = {name: batch.column(name) for name in batch.schema.names}
-            xs = [np.frombuffer(v, np.uint32) for v in c["item_words"].to_pylist()]
-            ys, cuts = [], []
-            for v, x, lo, hi in zip(c["words"].to_pylist(), xs, c["lo"].to_pylist(), c["hi"].to_pylist()):
-                y = np.frombuffer(v, np.uint32)
+            xs, ys, cuts, kept = [], [], [], []
+            for k, (v, u, lo, hi) in enumerate(zip(c["words"].to_pylist(), c["item_words"].to_pylist(),
+                                                   c["lo"].to_pylist(), c["hi"].to_pylist())):
+                x, y = np.frombuffer(u, np.uint32), np.frombuffer(v, np.uint32)
                 slack = len(x) + 2      # as many words as can be inserted
                 first, last = max(0, lo - slack), min(len(y), hi + len(x) + slack)
-                ys.append(y[first:last])
+                y = y[first:last]
+                if sum(map(set(y.tolist()).__contains__, x.tolist())) / max(1, len(x)) < threshold:
+                    continue
+                xs.append(x)
+                ys.append(y)
                 cuts.append(first)
+                kept.append(k)
+            c = {name: column.take(pa.array(kept, pa.int64())) for name, column in c.items()
+                 if name not in ("words", "item_words")}
             best, end = np.zeros(len(xs), np.int64), np.zeros(len(xs), np.int64)
             order = sorted(range(len(xs)), key=lambda k: (len(xs[k]), len(ys[k])))
             start = 0
@@ -264,7 +273,7 @@ def align(pairs: DataFrame) -> DataFrame:
             score = best / np.array([MATCH * max(1, len(x)) for x in xs], float)
             yield pa.RecordBatch.from_arrays(
                 [c["doc"], c["doc_id"], c["item"], c["item_id"], c["seeds"], pa.array(score),
-                 pa.array(np.array(c["start"].to_pylist(), np.int64) + cuts + end)],
+                 pa.array(np.array(c["start"].to_pylist(), np.int64) + np.array(cuts, np.int64) + end)],
                 names=["doc", "doc_id", "item", "item_id", "seeds", "similarity", "doc_end"])
 
     return map_batches(pairs, run, "doc long, doc_id long, item long, item_id long, seeds long, similarity double, "
@@ -303,7 +312,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, *, n: int = 3, threshold: fl
     pairs = (joined.join(found.drop("grams", "lows", "highs"), ["doc", "passage"])
              .join(items.select("item", "item_id", F.col("words").alias("item_words")), "item"))
     best = Window.partitionBy("doc", "item").orderBy(F.desc("similarity"), "doc_end")
-    return (align(pairs).filter(F.col("similarity") >= threshold)
+    return (align(pairs, threshold).filter(F.col("similarity") >= threshold)
             .withColumn("r", F.row_number().over(best)).filter("r = 1")
             .select("doc_id", "item_id", "similarity", "seeds", "doc_end"))
 

@@ -496,3 +496,16 @@ def test_toxicity_hands_rows_not_whole_shards_to_python(spark, monkeypatch):
     want = sorted((float(i % 3 == 0), np.unique(features(t.encode())).tolist()) for i, t in enumerate(texts))
     assert want == sorted((np.frombuffer(r["y"], float)[0], np.cumsum(np.frombuffer(r["gaps"], np.int32)).tolist())
                           for r in written)
+
+
+def test_decontamination_aligns_only_pairs_that_can_reach_the_threshold(spark):
+    words = lambda *w: np.array(w, np.uint32).tobytes()
+    item, rows = words(*range(1, 9)), []
+    for doc, text in enumerate([words(1, 2, 3, 4, 90, 91), words(1, 2, 3, 90, 91, 92), words(*range(1, 9))]):
+        rows.append((doc, doc, 0, 0, 1, 0, 0, 0, text, item))
+    pairs = spark.createDataFrame(rows, "doc long, doc_id long, item long, item_id long, seeds long, lo int, hi int, "
+                                        "start long, words binary, item_words binary")
+    scores = {r["doc"]: r["similarity"] for r in decontamination.align(pairs).collect()}
+    assert scores == {0: 0.5, 1: 0.375, 2: 1.0}
+    assert {r["doc"]: r["similarity"] for r in decontamination.align(pairs, 0.5).collect()} == {0: 0.5, 2: 1.0}
+    assert decontamination.align(pairs.limit(0), 0.5).collect() == []
