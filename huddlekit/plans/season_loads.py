@@ -108,7 +108,7 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write(rows: DataFrame, folder: str, mode: str = "append") -> None:
     """One folder per season: ``folder/feed=S``."""
-    rows.write.partitionBy("feed").mode(mode).parquet(folder)
+    rows.write.option("compression", "zstd").partitionBy("feed").mode(mode).parquet(folder)
 
 
 def land_participation(lines: DataFrame, folder: str) -> None:

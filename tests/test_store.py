@@ -118,3 +118,10 @@ def test_required_columns_enforced(spark, tmp_path):
     with pytest.raises(ValueError, match="required"):
         replace_season(spark, season, spark.createDataFrame([(None, 2025)], "val double, season long"),
                        2025, required=("val",))
+
+
+def test_staged_copies_are_packed_tightly(spark):
+    from huddlekit.sources.store import staged_copy
+    with staged_copy(spark, spark.range(100), "packed") as staged:
+        assert staged.count() == 100
+        assert all(f.endswith(".zstd.parquet") for f in staged.inputFiles())
