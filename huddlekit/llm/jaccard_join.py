@@ -16,10 +16,14 @@ one class; the join runs over classes and is exact up to hash collisions:
    size of the symmetric difference; survivors pass a wider one).
 3. Answer-level skipping: a first round verifies only each entry's nearest
    partner. Sets it connects share a component, so no pair inside one is
-   looked at again. Of the pairs left between components, those of the
-   nearest verified neighbours ("hosts") are computed, and a set's answer
-   follows from its host's where the triangle inequality of the symmetric
-   difference decides; only undecided pairs are computed themselves.
+   looked at again. Entries that still pass the filters with another
+   component are connected to families by a spanning forest of each meeting.
+   The sets of a family then meet in blocks, and every pair is decided inside
+   the task: not at all once its components are joined, by the distances to a
+   component's first set ("host") where the triangle inequality of the
+   symmetric difference decides, and else by its own difference. Rows are
+   made for links that join two components, so their number follows the
+   entries, not the pairs.
 
 No pairs within a group of similar documents are enumerated into rows, no
 list is held by one task, and nothing is dropped.
@@ -34,13 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from huddlekit.llm.common import WordHash, blobs, cut, map_batches, shingle_hashes, whole_groups, words_of
+from huddlekit.llm.common import (WordHash, batch_bytes, blobs, cut, map_batches, shingle_hashes, whole_groups,
+                                  words_of)
 from huddlekit.llm.components import components
 
 SKETCH_BITS, SKETCH_BLOCK = 20, 1 << 14   # count sketch: cells and cells per row
 BLOCK = 1024                              # index entries per block
 FILTER_BITS = 20                          # buckets of the reread filter
 SMALL = 24                                # group size up to which pairs are made by offsets
+SET_BLOCK = 1 << 20                       # shingles of a block of sets, 8 MB
 
 
 class ShingleSet:
@@ -243,59 +249,104 @@ def meetings(lists: DataFrame, percent: int) -> DataFrame:
     return lists.join(sides, ["token", "block"]).select("gid", "side", "token", "cid", "n", "pos")
 
 
-def candidate_pairs(tagged: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """``a, b`` (a < b) of candidates within meetings whose components
-    differ; with ``nearest`` each entry's closest earlier partner only."""
-    def passing(i: np.ndarray, j: np.ndarray, c: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
-        n1, n2 = c["n"][i], c["n"][j]
-        ok = (c["comp"][i] != c["comp"][j]) & ((c["side"][i] == 0) | (c["side"][i] != c["side"][j]))
-        ok &= (np.minimum(n1, n2) * 100 >= np.maximum(n1, n2) * percent)
-        ok &= may_link(n1, n2, c["pos"][i] + c["pos"][j], percent)
-        i, j, n1, n2 = i[ok], j[ok], n1[ok], n2[ok]
-        far = np.bitwise_count(c["parity"][i] ^ c["parity"][j]).sum(axis=1).astype(np.int64)
-        ok = may_link(n1, n2, far, percent)
-        return i[ok], j[ok], far[ok]
+def passing(i: np.ndarray, j: np.ndarray, c: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, ...]:
+    """Of the pairs of rows, those of different components that pass the
+    length, the position and the difference filter, and their parity distance."""
+    n1, n2 = c["n"][i], c["n"][j]
+    ok = (c["comp"][i] != c["comp"][j]) & ((c["side"][i] == 0) | (c["side"][i] != c["side"][j]))
+    ok &= (np.minimum(n1, n2) * 100 >= np.maximum(n1, n2) * percent)
+    ok &= may_link(n1, n2, c["pos"][i] + c["pos"][j], percent)
+    i, j, n1, n2 = i[ok], j[ok], n1[ok], n2[ok]
+    far = np.bitwise_count(c["parity"][i] ^ c["parity"][j]).sum(axis=1).astype(np.int64)
+    ok = may_link(n1, n2, far, percent)
+    return i[ok], j[ok], far[ok]
 
-    def groups_of(gid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts = np.flatnonzero(np.append(True, gid[1:] != gid[:-1]))
-        return starts, np.diff(np.append(starts, len(gid)))
 
+def passing_pairs(c: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``i, j, far`` (rows, i < j) of all passing pairs within groups: those of
+    small groups by the distance of their rows, those of larger ones by ``j``."""
+    gid = c["gid"]
+    starts = np.flatnonzero(np.append(True, gid[1:] != gid[:-1]))
+    sizes = np.diff(np.append(starts, len(gid)))
+    size_of = np.repeat(sizes, sizes)
+    place = np.arange(len(size_of)) - np.repeat(starts, sizes)
+    small = size_of <= SMALL
+    for d in range(1, SMALL):       # rows d apart in a small group
+        j = np.flatnonzero(small & (place >= d))
+        if not len(j):
+            break
+        yield passing(j - d, j, c, percent)
+    for s, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
+        for r in range(s + 1, s + size):
+            yield passing(np.arange(s, r), np.full(r - s, r), c, percent)
+
+
+def arrays_of(t: pa.Table, *names: str) -> dict[str, np.ndarray]:
+    c = {x: t.column(x).to_numpy().astype(np.int64) for x in names}
+    c["parity"] = np.frombuffer(b"".join(t.column("parity").to_pylist()), np.uint64).reshape(-1, 4)
+    return c
+
+
+MEETING = ("gid", "side", "cid", "n", "pos", "comp")
+
+
+def by_meeting(entries: DataFrame) -> DataFrame:
+    return entries.repartition("gid").sortWithinPartitions("gid", "pos", "n", "cid")
+
+
+def nearest_pairs(tagged: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` (a < b): each entry with its closest earlier partner within
+    the meeting, of those that pass the filters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "gid"):
             t = t.combine_chunks()
-            c = {x: t.column(x).to_numpy().astype(np.int64) for x in ("gid", "side", "cid", "n", "pos", "comp")}
-            c["parity"] = np.frombuffer(b"".join(t.column("parity").to_pylist()), np.uint64).reshape(-1, 4)
-            starts, sizes = groups_of(c["gid"])
-            size_of = np.repeat(sizes, sizes)
-            place = np.arange(len(size_of)) - np.repeat(starts, sizes)
-            found: list[tuple[np.ndarray, ...]] = []
-            small = size_of <= SMALL
-            for d in range(1, SMALL):       # rows d apart in a small group
-                j = np.flatnonzero(small & (place >= d))
-                if not len(j):
-                    break
-                found.append(passing(j - d, j, c))
-            for s, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
-                for r in range(s + 1, s + size):
-                    i, j, far = passing(np.arange(s, r), np.full(r - s, r), c)
-                    if nearest and len(i):
-                        best = int(np.argmin(far))
-                        i, j, far = i[best:best + 1], j[best:best + 1], far[best:best + 1]
-                    if len(i):
-                        found.append((i, j, far))
-            if not found:
-                continue
-            i, j, far = (np.concatenate(x) for x in zip(*found))
-            if nearest:                     # the closest earlier partner of each row
+            c = arrays_of(t, *MEETING)
+            best, least = np.full(t.num_rows, -1), np.full(t.num_rows, np.iinfo(np.int64).max)
+            for i, j, far in passing_pairs(c, percent):
                 o = np.lexsort((i, far, j))
                 o = o[np.append(True, j[o][1:] != j[o][:-1])] if len(o) else o
-                i, j = i[o], j[o]
-            a, b = c["cid"][i], c["cid"][j]
+                o = o[far[o] <= least[j[o]]]
+                best[j[o]], least[j[o]] = i[o], far[o]
+            j = np.flatnonzero(best >= 0)
+            a, b = c["cid"][best[j]], c["cid"][j]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    dealt = tagged.repartition("gid").sortWithinPartitions("gid", "pos", "n", "cid")
-    return map_batches(dealt, run, "a long, b long").distinct()
+    return map_batches(by_meeting(tagged.withColumn("comp", F.col("cid"))), run, "a long, b long").distinct()
+
+
+def with_partners(tagged: DataFrame, percent: int) -> DataFrame:
+    """The entries that pass the filters with any entry of their meeting that
+    is of another component. Pairs stay inside the task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "gid"):
+            t = t.combine_chunks()
+            kept = np.zeros(t.num_rows, bool)
+            for i, j, _ in passing_pairs(arrays_of(t, *MEETING), percent):
+                kept[i] = kept[j] = True
+            yield from t.filter(pa.array(kept)).to_batches()
+
+    return map_batches(by_meeting(tagged), run, tagged.schema)
+
+
+def family_edges(entries: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs that also pass by their wide maps, as many as connect
+    the entries of a meeting like all such pairs do (a spanning forest)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "gid"):
+            t = t.combine_chunks()
+            c, wide = arrays_of(t, *MEETING), t.column("wide").to_pylist()
+            label, edges = np.arange(t.num_rows), []
+            for i, j, _ in passing_pairs(c, percent):
+                apart = label[i] != label[j]
+                for x, y in zip(i[apart].tolist(), j[apart].tolist()):
+                    if label[x] != label[y] and may_link(c["n"][x], c["n"][y], map_distance(wide[x], wide[y]), percent):
+                        label[label == label[x]] = label[y]
+                        edges.append((c["cid"][x], c["cid"][y]))
+            a, b = np.array(edges, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return map_batches(by_meeting(entries), run, "a long, b long")
 
 
 def still_possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -338,6 +389,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"])
 
 
+def difference(s: np.ndarray, t: np.ndarray) -> int:
+    """Size of the symmetric difference of two sorted sets."""
+    if len(s) > len(t):
+        s, t = t, s
+    at = np.searchsorted(t, s)
+    at[at == len(t)] = 0
+    return len(s) + len(t) - 2 * int((t[at] == s).sum())
+
+
 def differences(pairs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     """``a, b, na, nb, delta``: exact symmetric differences of pairs. Pairs
     meet the sets by signature, the key the sets are already dealt by."""
@@ -345,12 +405,7 @@ def differences(pairs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFra
         for batch in batches:
             delta = []
             for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(s) > len(t):
-                    s, t = t, s
-                at = np.searchsorted(t, s)
-                at[at == len(t)] = 0
-                delta.append(len(s) + len(t) - 2 * int((t[at] == s).sum()))
+                delta.append(difference(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(delta, pa.int64())],
                                              names=["a", "b", "na", "nb", "delta"])
 
@@ -377,53 +432,87 @@ def class_links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Da
     tagged = cut(meetings(lists, percent).join(classes.select("cid", "parity"), "cid"), "meetings")
     linked = may_link(F.col("na"), F.col("nb"), F.col("delta"), percent)
 
-    near = candidate_pairs(tagged.withColumn("comp", F.col("cid")), percent, nearest=True)
-    near = cut(still_possible(near, classes, percent), "near")
-    first = verified(docs, near, classes, k, "differences").withColumn("linked", linked)
-    links = first.filter("linked").select("a", "b")
-    labels = components(links)
-
-    named = (tagged.join(labels.withColumnRenamed("v", "cid"), "cid", "left")
-             .withColumn("comp", F.coalesce("root", "cid")).drop("root"))
-    left = candidate_pairs(named, percent, nearest=False)
-    left = left.join(first.select("a", "b"), ["a", "b"], "left_anti")
-    left = cut(still_possible(left, classes, percent), "rest")
+    near = cut(still_possible(nearest_pairs(tagged, percent), classes, percent), "near")
+    first = verified(docs, near, classes, k, "differences")
+    links = first.filter(linked).select("a", "b")
+    labels = components(links).withColumnRenamed("v", "cid")
+
+    named = (tagged.join(labels, "cid", "left").withColumn("comp", F.coalesce("root", "cid"))
+             .select("gid", "side", "cid", "n", "pos", "comp", "parity"))
+    left = cut(with_partners(named, percent), "partners")
     if left.isEmpty():
         return links
-    return links.unionByName(derived_links(docs, left, first, classes, k, percent))
-
-
-def derived_links(docs: DataFrame, left: DataFrame, first: DataFrame, classes: DataFrame, k: int,
-                  percent: int) -> DataFrame:
-    """Links among the remaining pairs. A set's host is its closest linked
-    set of smaller id. From the difference of two hosts, the members' lies
-    within the sum of their distances to them; pairs that this does not
-    decide are computed."""
-    hosts = (first.filter("linked").groupBy(F.col("b").alias("cid"))
-             .agg(F.min(F.struct("delta", "a")).alias("h")).select("cid", F.col("h.a").alias("host"), F.col("h.delta").alias("off")))
-    sizes = classes.select("cid", "n")
+    families = components(family_edges(left.join(classes.select("cid", "wide"), "cid"), percent))
+    if families.isEmpty():
+        return links
+    return links.unionByName(family_links(docs, families, labels, classes, k, percent))
+
+
+def family_links(docs: DataFrame, families: DataFrame, labels: DataFrame, classes: DataFrame, k: int,
+                 percent: int) -> DataFrame:
+    """Links between the components within families (``v, root``), as many as
+    connect them like all such links do. The sets of a family meet in blocks
+    of about ``SET_BLOCK`` shingles, and every pair is decided where it meets:
+    a row is made for a link that joins two components, for no other pair."""
+    comps = labels.select("cid", F.col("root").alias("comp"))
+    wanted = (classes.select("cid", "sig", "n", "text_key", "parity")
+              .join(families.select(F.col("v").alias("cid"), F.col("root").alias("family")), "cid")
+              .join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
+    wanted = cut(wanted, "wanted")
+    blocks = wanted.groupBy("family").agg(F.ceil(F.sum("n") / SET_BLOCK).alias("blocks"))
+    placed = (wanted.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("cid"), "blocks"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    gid = F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other"))
+    placed = placed.select("sig", gid.alias("gid"), side.alias("side"), "cid", "n", "comp", "parity")
+    dealt = (placed.join(sets_of(docs, wanted, k), "sig").drop("sig")
+             .repartition("gid").sortWithinPartitions("gid", "n", "cid"))
 
-    def side(x: str) -> DataFrame:
-        return hosts.select(*[F.col(c).alias(f"{c}_{x}" if c != "cid" else x) for c in ("cid", "host", "off")])
-
-    pairs = left.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    pairs = pairs.select("a", "b", F.coalesce("host_a", "a").alias("ha"), F.coalesce("host_b", "b").alias("hb"),
-                         (F.coalesce("off_a", F.lit(0)) + F.coalesce("off_b", F.lit(0))).alias("off"))
-    pairs = pairs.select("a", "b", F.least("ha", "hb").alias("x"), F.greatest("ha", "hb").alias("y"), "off")
-    pairs = cut(pairs.join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a")
-                .join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b"), "derive")
-    computed = verified(docs, pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).filter("a <> b").distinct(),
-                        classes, k, "host-differences")
-    known = pairs.join(computed.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("delta").alias("d")),
-                       ["x", "y"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
-    surely = may_link(F.col("na"), F.col("nb"), F.col("d") + F.col("off"), percent)
-    lower = may_link(F.col("na"), F.col("nb"), F.greatest(F.col("d") - F.col("off"), F.lit(0)), percent)
-    known = cut(known.withColumn("surely", surely).withColumn("open", ~surely & lower & (F.col("off") > 0)), "derived")
-    links = known.filter("surely").select("a", "b")
-    rest = known.filter("open").select("a", "b")
-    if not rest.isEmpty():
-        exact = verified(docs, cut(rest, "open"), classes, k, "open-differences")
-        links = links.unionByName(exact.filter(may_link(F.col("na"), F.col("nb"), F.col("delta"), percent)).select("a", "b"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "gid"):
+            t = t.combine_chunks()
+            c = arrays_of(t, "gid", "side", "cid", "n", "comp")
+            c["pos"] = np.zeros(t.num_rows, np.int64)       # whole sets meet, not places in a list
+            links = joining_links(c, [np.frombuffer(x, np.uint64) for x in t.column("items").to_pylist()], percent)
+            a, b = np.array(links, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    with batch_bytes(docs.sparkSession, 8 << 20):       # a row holds a set
+        return cut(map_batches(dealt, run, "a long, b long"), "family-links")
+
+
+def joining_links(c: dict[str, np.ndarray], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between sets of different components, without those whose
+    components are already joined by others. A component's first set is the
+    host of the others: where its distances to both sides decide a pair by
+    the triangle inequality, the pair's own difference is not computed."""
+    _, first, member = np.unique(c["comp"], return_index=True, return_inverse=True)
+    host = first[member].tolist()
+    label, links = c["comp"].copy(), []
+    off: dict[int, int] = {}        # distance of a set to its host
+    to_host: dict[int, int] = {}    # distance of the current set to the hosts it was compared with
+    current = -1
+    for i, j, _ in passing_pairs(c, percent):
+        apart = label[i] != label[j]
+        for x, y in zip(i[apart].tolist(), j[apart].tolist()):
+            if label[x] == label[y]:
+                continue
+            if y != current:
+                current, to_host = y, {}
+            n1, n2, via = c["n"][x], c["n"][y], to_host.get(host[x])
+            if via is not None:
+                if x not in off:
+                    off[x] = difference(sets[x], sets[host[x]])
+                if not may_link(n1, n2, abs(via - off[x]), percent):
+                    continue
+            if via is None or not may_link(n1, n2, via + off[x], percent):
+                delta = difference(sets[x], sets[y])
+                if x == host[x]:
+                    to_host[x] = delta
+                if not may_link(n1, n2, delta, percent):
+                    continue
+            label[label == label[x]] = label[y]
+            links.append((c["cid"][x], c["cid"][y]))
     return links
 
 

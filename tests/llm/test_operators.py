@@ -62,6 +62,61 @@ def test_jaccard_long_lists_are_cut_into_blocks(spark, monkeypatch):
     assert got == plain.component_ids([(i, t) for i, t, _ in rows], 3, 90)
 
 
+def test_jaccard_rows_follow_the_entries_not_the_pairs(spark, monkeypatch):
+    """A large group of texts just too unlike to link, with a few links in it."""
+    made = {}
+
+    def counted(df, name, write=jaccard_join.cut):
+        out = write(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+    monkeypatch.setattr(jaccard_join, "cut", counted)
+    monkeypatch.setattr(jaccard_join, "SET_BLOCK", 10_000, raising=False)      # families meet in several blocks
+    rng = random.Random(12)
+    base = [f"{rng.choice(VOCAB)}{j}" for j in range(300)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for j in rng.sample(range(5, 290, 6), 5):
+            w[j] = f"x{i}y{j}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(t.split()[:-1])) for i, t in rows[:90:9]]
+    got = sorted(tuple(r)[:3] for r in
+                 jaccard_join.jaccard_components(plain.documents(spark, [(*r, "s") for r in rows]), k=5, percent=80).collect())
+    assert got == plain.component_ids(rows, 5, 80)
+    assert len({c for _, _, c in got}) > 150                    # it stays many components
+    read = {"signatures", "classes", "lists", "meetings", "partners"}
+    assert max(n for name, n in made.items() if name not in read) <= 5 * len(rows), made
+    assert made["family-links"] < len(rows)
+
+
+def test_jaccard_links_within_a_block():
+    """Hosts decide as the differences do, and only joining links come back."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**64, 400, np.uint64)
+    sets = []
+    for _ in range(60):
+        s = base.copy()
+        s[rng.integers(0, 400, rng.integers(5, 30))] = rng.integers(0, 2**64, 1, np.uint64)
+        sets.append(np.unique(s))
+    sets.sort(key=len)
+    links = {(a, b) for a in range(60) for b in range(a + 1, 60)
+             if jaccard_join.may_link(len(sets[a]), len(sets[b]), len(np.setxor1d(sets[a], sets[b])), 90)}
+    for comp in (np.arange(60), np.arange(60) // 3 * 3):
+        c = {"gid": np.zeros(60, np.int64), "side": np.zeros(60, np.int64), "cid": np.arange(60), "comp": comp,
+             "n": np.array([len(s) for s in sets]), "pos": np.zeros(60, np.int64),
+             "parity": np.frombuffer(b"".join(map(jaccard_join.parity_map, sets)), np.uint64).reshape(-1, 4)}
+        got = jaccard_join.joining_links(c, sets, 90)
+
+        def labels(pairs):
+            label = comp.copy()
+            for a, b in pairs:
+                label[label == label[a]] = label[b]
+            return {frozenset(np.flatnonzero(label == x).tolist()) for x in label}
+        assert set(got) <= links and len(got) < len(set(comp.tolist()))
+        assert labels(got) == labels(links)
+
+
 def test_parity_maps_never_exceed_the_difference():
     rng = np.random.default_rng(1)
     for n in (5, 380, 420, 3900, 4100):
