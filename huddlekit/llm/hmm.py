@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -112,16 +113,14 @@ def boundary_states(parts: list[np.ndarray], owner: np.ndarray, start: np.ndarra
         return before, after
     order, x, live = lockstep([parts[p] for p in many])
     m = np.tile(np.eye(k), (len(many), 1, 1))
+    by_class, ones = np.ascontiguousarray(emit.T), np.ones(k * k)
     for t in range(len(x)):
         n = live[t]
-        step = m[:n] * emit[:, x[t, :n]].T[:, None, :]
-        if t + 1 < len(x):     # the transition after the last class is applied below
-            m[:n] = step
-            more = live[t + 1]
-            m[:more] = step[:more] @ trans
-        else:
-            m[:n] = step
-        m[:n] /= m[:n].sum(axis=(1, 2), keepdims=True)
+        step = m[:n] * by_class[x[t, :n]][:, None, :]
+        more = live[t + 1] if t + 1 < len(x) else 0     # the transition after the last class is applied below
+        m[more:n] = step[more:]
+        m[:more] = (step[:more].reshape(-1, k) @ trans).reshape(-1, k, k)
+        m[:n] /= (m[:n].reshape(-1, k * k) @ ones)[:, None, None]
     of = {int(many[o]): m[c] for c, o in enumerate(order)}
     for p in many:
         if p and owner[p - 1] == owner[p]:
@@ -145,13 +144,14 @@ def forward_log(seqs: list[np.ndarray], start: np.ndarray, trans: np.ndarray, em
     parts, owner = segments(seqs, STRETCH)
     before, _ = boundary_states(parts, owner, start, trans, emit)
     order, x, live = lockstep(parts)
-    v, logs = before[order], np.zeros(len(parts))
+    v, logs, onward = before[order].T, np.zeros(len(parts)), np.ascontiguousarray(trans.T)
     for t in range(len(x)):
         n = live[t]
-        a = v[:n] * emit[:, x[t, :n]].T
-        s = a.sum(axis=1)
+        a = v[:, :n] * np.take(emit, x[t, :n], axis=1)
+        s = a.sum(axis=0)
         logs[:n] += np.log(s)
-        v[:n] = (a / s[:, None]) @ trans
+        a /= s
+        v = onward @ a
     np.add.at(total, owner[order], logs)
     return total
 
@@ -165,46 +165,46 @@ def expected_counts(seqs: list[np.ndarray], start: np.ndarray, trans: np.ndarray
         return
     before, after = boundary_states(parts, owner, start, trans, emit)
     order, x, live = lockstep(parts)
-    k, by_class = len(start), np.ascontiguousarray(emit.T)
-    alpha = np.zeros((len(x), len(parts), k))
-    v = before[order]
+    k, onward = len(start), np.ascontiguousarray(trans.T)
+    alpha = np.zeros((k, len(x), len(parts)))       # states first: steps add up and scale whole rows
+    v = before[order].T
     for t in range(len(x)):
         n = live[t]
-        a = v[:n] * by_class[x[t, :n]]
-        a /= a.sum(axis=1, keepdims=True)
-        alpha[t, :n] = a
-        v[:n] = a @ trans
+        a = v[:, :n] * np.take(emit, x[t, :n], axis=1)
+        a /= a.sum(axis=0)
+        alpha[:, t, :n] = a
+        v = onward @ a
     place = np.empty(len(parts), np.int64)
     place[order] = np.arange(len(parts))
     joint = np.flatnonzero(owner[1:] == owner[:-1]) + 1     # stretches that continue a text
     lengths = np.array([len(p) for p in parts])
-    handed = alpha[lengths[joint - 1] - 1, place[joint - 1]]
-    beta = after[order]         # scaled backward vector behind the current class
+    handed = alpha[:, lengths[joint - 1] - 1, place[joint - 1]]
+    beta = np.ascontiguousarray(after[order].T)     # scaled backward vector behind the current class
     for t in range(len(x) - 1, -1, -1):
         n = live[t]
-        ahead = by_class[x[t, :n]] * beta[:n]
-        gamma = alpha[t, :n] * beta[:n]
-        alpha[t, :n] = gamma / gamma.sum(axis=1, keepdims=True)
+        ahead = np.take(emit, x[t, :n], axis=1) * beta[:, :n]
+        gamma = alpha[:, t, :n] * beta[:, :n]
+        alpha[:, t, :n] = gamma / gamma.sum(axis=0)
         if t:
-            moves += transitions(alpha[t - 1, :n], ahead, trans)
-            b = ahead @ trans.T
-            beta[:n] = b / b.sum(axis=1, keepdims=True)
+            moves += transitions(alpha[:, t - 1, :n], ahead, trans)
+            b = trans @ ahead
+            beta[:, :n] = b / b.sum(axis=0)
     if len(joint):
-        ahead = by_class[x[0, place[joint]]] * beta[place[joint]]
+        ahead = emit[:, x[0, place[joint]]] * beta[:, place[joint]]
         moves += transitions(handed, ahead, trans)
     opens = np.append(True, owner[1:] != owner[:-1])
-    first += alpha[0, place[opens]].sum(axis=0)
-    live_cells = np.arange(len(parts))[None, :] < live[:, None]
-    classes = x[live_cells]
+    first += alpha[:, 0, place[opens]].sum(axis=1)
+    cells = np.flatnonzero(np.arange(len(parts))[None, :] < live[:, None])
+    classes = x.reshape(-1)[cells]
     for s in range(k):
-        shown[s] += np.bincount(classes, weights=alpha[:, :, s][live_cells], minlength=shown.shape[1])
+        shown[s] += np.bincount(classes, weights=alpha[s].reshape(-1)[cells], minlength=shown.shape[1])
 
 
 def transitions(here: np.ndarray, ahead: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """Expected moves between the states of scaled forward rows ``here`` and
-    backward rows ``ahead`` (emission included)."""
-    weight = ((here @ trans) * ahead).sum(axis=1, keepdims=True)
-    return (here.T @ (ahead / weight)) * trans
+    """Expected moves between the states of scaled forward columns ``here``
+    and backward columns ``ahead`` (emission included)."""
+    weight = ((trans.T @ here) * ahead).sum(axis=0)
+    return (here @ (ahead / weight).T) * trans
 
 
 # ---- training ----------------------------------------------------------------------------------
@@ -226,8 +226,7 @@ class Encoder:
         words = words_of(text or b"")
         words.append(END)
         get, rest, size = self.code.get, self.classes.rest, self.size
-        codes = [get(w, -1) for w in words]
-        codes = np.array(codes, np.int64)
+        codes = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(codes < 0)
         tail = Counter(words[k] for k in unknown)
         if len(unknown):

@@ -228,6 +228,16 @@ def test_expected_counts_do_not_depend_on_stretches(monkeypatch):
     assert all(np.allclose(a, b) for a, b in zip(*found))
 
 
+def test_hmm_transitions_take_states_first():
+    rng = np.random.default_rng(2)
+    here, ahead, trans = rng.random((3, 50)), rng.random((3, 50)), rng.random((3, 3))
+    want = np.zeros((3, 3))
+    for n in range(50):
+        joint = here[:, n, None] * trans * ahead[:, n]
+        want += joint / joint.sum()
+    assert np.allclose(hmm.transitions(here, ahead, trans), want, rtol=1e-12)
+
+
 def test_hmm_scores(spark):
     rng = random.Random(8)
     langs = [[w for w in VOCAB if w[0] in "kl"], [w for w in VOCAB if w[0] in "nt"]]
