@@ -2,6 +2,7 @@
 long texts, repeated rows, empty tables and clashing column names."""
 import base64
 import hashlib
+import heapq
 import itertools
 import math
 import random
@@ -378,6 +379,87 @@ def test_vector_tree_fills_every_answer_beside_a_hot_group(spark):
     assert np.quantile(share, 0.15) >= 0.97 and np.mean(share) >= 0.95
 
 
+def shuffled_rows(plan) -> int:
+    """Rows written by all shuffles of a plan that has run."""
+    rows = plan.metrics().get("shuffleRecordsWritten").get().value() if "ShuffleExchange" in plan.getClass().getName() else 0
+    if hasattr(plan, "plan") and "QueryStage" in plan.getClass().getName():
+        return rows + shuffled_rows(plan.plan())
+    if "AdaptiveSparkPlan" in plan.getClass().getName():
+        return rows + shuffled_rows(plan.executedPlan())
+    kids = plan.children()
+    return rows + sum(shuffled_rows(kids.apply(i)) for i in range(kids.size()))
+
+
+def test_vector_tree_moves_no_row_for_each_query_and_leaf(spark):
+    """No leaf can be left out of vectors without any grouping; a query's copies
+    and answers must not grow with the leaves all the same."""
+    x = np.random.default_rng(5).normal(size=(2000, 24))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    table = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    out = vector_tree.nearest_neighbours(table, F.col("vec_id") % 10 == 0, k=10, leaf_rows=16, recall=1.0)
+    got = out.collect()
+    s = x[::10] @ x.T
+    s[np.arange(200), np.arange(0, 2000, 10)] = -np.inf
+    best = np.argsort(-s, axis=1)[:, :10]
+    share = np.mean([len({r["vec_id"] for r in got if r["query_id"] == 10 * q} & set(best[q].tolist())) / 10 for q in range(200)])
+    assert len(got) == 2000 and share >= 0.95
+    # vectors, queries to at most 12 groups and back; over 100 leaves would be 20,000 rows and more
+    assert 2000 < shuffled_rows(out._jdf.queryExecution().executedPlan()) <= 2000 + 2 * 12 * 200
+
+
+def test_vector_tree_visits_leaves_as_a_queue_of_nodes_does():
+    rng = np.random.default_rng(7)
+    for dim, rows in ((2, 30), (6, 3000), (40, 4000)):
+        x = rng.normal(size=(rows, dim))
+        x[:rows // 5] *= 3
+        fitted = vector_tree.fit_tree(x, 8, 32)
+        (centres, radii, children), (leaves, paths) = fitted.plain(), fitted.paths()
+        held = np.bincount(vector_tree.assign(x, centres, children), minlength=len(centres))[leaves]
+        q = rng.normal(size=(40, dim))
+        order = vector_tree.visit_order(q, centres, radii, paths)
+        counts = vector_tree.visits_to_hold(order, held, np.full(40, 50))
+        for i in range(40):
+            heap, met = [(0.0, 0)], []
+            while heap:
+                node = heapq.heappop(heap)[1]
+                if not children[node]:
+                    met.append(node)
+                for c in children[node]:
+                    heapq.heappush(heap, (-float(centres[c] @ q[i] + 0.3 * np.sqrt(q[i] @ q[i]) * radii[c]), c))
+            rows_met = np.cumsum(held[order[i]])
+            assert leaves[order[i]].tolist() == met
+            assert counts[i] == min(len(leaves), int((rows_met < 50).sum()) + 1)
+
+
+def test_vector_tree_scores_numbers_of_any_size_and_equal_rows_exactly():
+    """Single precision only sifts: ranges it does not have and rows it cannot tell apart."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(9000, 12))
+    x[:3000] = x[0]                             # equal
+    x[3000:6000] = x[0] * (1 + 1e-12 * rng.integers(0, 50, 3000))[:, None]
+    for scale, most in ((1.0, 9000), (1.0, 40), (1e-200, 9000), (1e-150, 2000), (1e150, 9000), (4e153, 9000)):
+        y, ids = x * scale, rng.permutation(9000) % most       # ids repeat below 9000
+        held = vector_tree.Held(ids, y, np.arange(9000) // 1000, 9, 20)
+        q, query_ids = y[[0, 100, 4000, 7000]], ids[[0, 100, 4000, 7000]]
+        want = np.ones((4, 9), bool)
+        want[1, 3:] = want[3, :2] = False
+        query, row, score = held.top(query_ids, q, want, 20)
+        for i in range(4):
+            full = np.ascontiguousarray(y * q[i]).sum(axis=1)
+            may = np.flatnonzero((ids != query_ids[i]) & np.repeat(want[i], 1000) & np.isfinite(full))
+            best = may[np.lexsort((ids[may], -full[may]))][:20]
+            assert held.ids[row[query == i]].tolist() == ids[best].tolist() and (score[query == i] == full[best]).all()
+    assert len(held.x) <= 9000 - 3 * (1000 - 21)       # of 1000 equal ones in a chunk, 21 ids can be answers
+
+
+def test_vector_tree_sample_is_that_of_least_hashes(spark):
+    order = F.xxhash64("vec_id")
+    for ids in ("id", "case when id % 2 = 0 then 7 else id end"):
+        table = spark.range(4000).selectExpr(f"{ids} as vec_id", "cast('v' as binary) as v")
+        rows = sorted(r["vec_id"] for r in table.orderBy(order, "vec_id").limit(50).collect())
+        assert sorted(vector_tree.least_hashes(table, order, 50)["vec_id"].to_pylist()) == rows
+
+
 def test_toxicity_learns_marked_words(spark):
     rng = random.Random(1)
     rows = [(i, prose(30, rng) + (" vilething " if i % 3 == 0 else " ") + prose(30, rng), "s") for i in range(900)]
